@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators import audit, corrections, diff, normalise
+from ledgerline.operators import audit, corrections, diff, normalise, slices
 from ledgerline.plans import derived, jobs
 from ledgerline.schemas import COMPARED, KEY, RAW_COLUMNS
 
@@ -163,6 +163,69 @@ def q_correction_totals(spark, sf_dir):
     return corrections.correction_totals(corrections_from_orders(spark, sf_dir))
 
 
+# --- calendar slicing --------------------------------------------------------------
+
+def _tagged_registry(spark, sf_dir):
+    reg = derived.registry_from_orders(spark, sf_dir)
+    return reg.withColumn("tag", F.when(audit.in_states("status"), F.lit("ACTIVE")).otherwise(F.lit("INACTIVE")))
+
+
+def q_assign_slices(spark, sf_dir):
+    """J7 + P10 + G5-G8: every registry row in the slice of its filing date and state."""
+    plan = slices.full_plan(spark, derived.TODAY)
+    out = slices.assign_slices(_tagged_registry(spark, sf_dir), "filing_date", plan, tag_col="tag")
+    return out.select("id", "slice_id", "kind")
+
+
+def q_assign_event_slices(spark, sf_dir):
+    """J7 on week slices: each event's day in the open-ended recent weeks."""
+    plan = slices.recent_plan(spark, derived.TODAY)
+    ev = derived.load(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("d"))
+    return slices.assign_slices(ev, "d", plan).select("event_id", "slice_id", "kind")
+
+
+def _month_plan(spark):
+    return slices.month_slices(spark, *slices.HISTORY_MONTHS, tag="ACTIVE").unionByName(
+        slices.month_slices(spark, *slices.HISTORY_MONTHS, tag="INACTIVE"))
+
+
+def _month_assigned(spark, sf_dir):
+    return slices.assign_slices(_tagged_registry(spark, sf_dir), "filing_date", _month_plan(spark), tag_col="tag")
+
+
+def q_slice_counts(spark, sf_dir):
+    """A5: registry rows per month slice and tag, zero for empty slices."""
+    return slices.slice_counts(_month_assigned(spark, sf_dir), _month_plan(spark))
+
+
+OVERFLOW_CAP = 200
+
+
+def q_slice_overflow(spark, sf_dir):
+    """A4: per non-empty month slice its count and the cap flag (cap 200)."""
+    return slices.slice_overflow(_month_assigned(spark, sf_dir), OVERFLOW_CAP)
+
+
+def q_slice_kept_rows(spark, sf_dir):
+    """A4: rows of slices under the cap; overflowing slices are dropped whole."""
+    return slices.drop_overflow(_month_assigned(spark, sf_dir), OVERFLOW_CAP).select("id", "slice_id")
+
+
+def q_pending_slices(spark, sf_dir):
+    """Month slices that no registry row landed in."""
+    landed = _month_assigned(spark, sf_dir).select("slice_id")
+    return slices.pending_slices(_month_plan(spark), landed).select("slice_id", "tag")
+
+
+def q_class_slices(spark, sf_dir):
+    """G7 + P11 + A5: active registry rows per class slice (classes 1..45)."""
+    reg = _tagged_registry(spark, sf_dir).filter(F.col("tag") == "ACTIVE")
+    counts = reg.groupBy(F.col("niza_class").alias("class_code")).agg(F.count(F.lit(1)).alias("n"))
+    plan = slices.class_plan(spark)
+    return (plan.join(counts, "class_code", "left")
+            .select("slice_id", F.coalesce("n", F.lit(0)).alias("n")))
+
+
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
@@ -178,6 +241,13 @@ QUERIES: dict[str, Query] = {
     "apply_corrections": q_apply_corrections,
     "unmapped_corrections": q_unmapped_corrections,
     "correction_totals": q_correction_totals,
+    "assign_slices": q_assign_slices,
+    "assign_event_slices": q_assign_event_slices,
+    "slice_counts": q_slice_counts,
+    "slice_overflow": q_slice_overflow,
+    "slice_kept_rows": q_slice_kept_rows,
+    "pending_slices": q_pending_slices,
+    "class_slices": q_class_slices,
 }
 
 _ = (COMPARED, RAW_COLUMNS)

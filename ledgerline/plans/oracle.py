@@ -10,6 +10,7 @@ Test text is ASCII, so DuckDB's trim() matches the Unicode-aware strip.
 from __future__ import annotations
 
 from ledgerline.plans.derived import IMG_PREFIX, REGISTRY_TS, RUN_TS
+from ledgerline.plans.derived import TODAY as derived_today
 from ledgerline.schemas import DEFAULT_LOGO_PREFIX
 
 OB = """
@@ -250,3 +251,50 @@ SELECT count(*) AS processed,
        count(*) FILTER (WHERE error IS NULL AND coalesce(extracted_status, '') <> '') AS valid,
        (SELECT count(*) FROM corr_ok WHERE mapped IS NOT NULL) AS applied
 FROM corr"""
+
+TAGGED = f"""
+tagged AS (
+  SELECT *, CASE WHEN status IN ({ACTIVE}) THEN 'ACTIVE' ELSE 'INACTIVE' END AS tag FROM reg),
+months AS (
+  SELECT CAST(m AS DATE) AS lo, CAST(last_day(m) AS DATE) AS hi, t AS tag,
+         strftime(m, '%d_%m_%Y') || '_' || strftime(last_day(m), '%d_%m_%Y') || '_' || t AS slice_id
+  FROM generate_series(DATE '1989-01-01', DATE '2014-11-01', INTERVAL 1 MONTH) g(m),
+       (VALUES ('ACTIVE'), ('INACTIVE')) tg(t)),
+mon_assigned AS (
+  SELECT t.id, m.slice_id FROM tagged t JOIN months m
+    ON t.tag = m.tag AND t.filing_date BETWEEN m.lo AND m.hi)"""
+
+# Filing dates of the test data all fall in the month part of the history plan.
+ORACLE["assign_slices"] = _with(OB, REG, TAGGED) + """
+SELECT id, strftime(date_trunc('month', filing_date), '%d_%m_%Y') || '_' || strftime(last_day(filing_date), '%d_%m_%Y')
+         || '_' || tag AS slice_id, 'month' AS kind
+FROM tagged WHERE filing_date BETWEEN DATE '1989-01-01' AND DATE '2014-11-30'"""
+
+# Event days fall in the open-ended weekly part of the recent plan, anchored at 2023-01-01.
+ORACLE["assign_event_slices"] = f"""
+WITH e AS (SELECT event_id, CAST(ts AS DATE) AS d FROM events),
+w AS (SELECT event_id, CAST(DATE '2023-01-01' + INTERVAL (7 * ((d - DATE '2023-01-01') // 7)) DAY AS DATE) AS lo
+      FROM e WHERE d >= DATE '2023-01-01' AND d <= DATE '{derived_today}')
+SELECT event_id, strftime(lo, '%d_%m_%Y') || '_' ||
+       strftime(least(CAST(lo + INTERVAL 6 DAY AS DATE), DATE '{derived_today}'), '%d_%m_%Y') || '_ACTIVE' AS slice_id,
+       'week' AS kind
+FROM w"""
+
+ORACLE["slice_counts"] = _with(OB, REG, TAGGED) + """
+SELECT m.slice_id, 'month' AS kind, count(a.id) AS n
+FROM months m LEFT JOIN mon_assigned a ON a.slice_id = m.slice_id GROUP BY m.slice_id"""
+
+ORACLE["slice_overflow"] = _with(OB, REG, TAGGED) + """
+SELECT slice_id, count(*) AS n, count(*) >= 200 AS overflow FROM mon_assigned GROUP BY slice_id"""
+
+ORACLE["slice_kept_rows"] = _with(OB, REG, TAGGED) + """
+SELECT id, slice_id FROM mon_assigned
+WHERE slice_id IN (SELECT slice_id FROM mon_assigned GROUP BY slice_id HAVING count(*) < 200)"""
+
+ORACLE["pending_slices"] = _with(OB, REG, TAGGED) + """
+SELECT slice_id, tag FROM months WHERE slice_id NOT IN (SELECT slice_id FROM mon_assigned)"""
+
+ORACLE["class_slices"] = _with(OB, REG, TAGGED) + """
+SELECT 'niza_' || CAST(c AS VARCHAR) || '_1900_1900_ACTIVE' AS slice_id,
+       (SELECT count(*) FROM tagged t WHERE t.tag = 'ACTIVE' AND t.niza_class = CAST(c AS VARCHAR)) AS n
+FROM range(1, 46) r(c)"""
