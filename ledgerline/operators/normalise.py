@@ -100,7 +100,7 @@ def blank_row(cols=RAW_COLUMNS) -> Column:
     """Every extracted field is falsy ('' / NULL / empty array)."""
     parts = []
     for c in cols:
-        parts.append(F.when(F.coalesce(F.size(F.col(c)), F.lit(0)) > 0, F.lit(1)) if c == "holder"
+        parts.append(F.when(F.coalesce(F.size(F.col(c)), F.lit(0)) > 0, F.lit("x")) if c == "holder"
                      else F.nullif(F.col(c), F.lit("")))
     return F.coalesce(*parts).isNull()
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators import audit, corrections, diff, normalise, slices
+from ledgerline.operators import audit, corrections, diff, normalise, pages, slices
 from ledgerline.plans import derived, jobs
 from ledgerline.schemas import COMPARED, KEY, RAW_COLUMNS
 
@@ -226,6 +226,40 @@ def q_class_slices(spark, sf_dir):
             .select("slice_id", F.coalesce("n", F.lit(0)).alias("n")))
 
 
+# --- portal pages ------------------------------------------------------------------
+
+def q_parse_result_pages(spark, sf_dir):
+    """X1 + X2 + F9-F11 + P9: raw records back out of the rendered result grids."""
+    rows = pages.parse_result_rows(derived.listing_pages(spark, sf_dir))
+    return rows.withColumn("holder", F.array_join("holder", " | "))
+
+
+def q_detail_status(spark, sf_dir):
+    """X4 + F17: looked-up status per request from detail pages."""
+    return pages.detail_status(derived.detail_pages(spark, sf_dir))
+
+
+def _all_pages(spark, sf_dir):
+    return (derived.listing_pages(spark, sf_dir).select("page_id", "html")
+            .unionByName(derived.detail_pages(spark, sf_dir).select("page_id", "html"))
+            .unionByName(derived.no_result_pages(spark, sf_dir))
+            .unionByName(derived.driver_pages(spark, sf_dir)))
+
+
+PAGE_CAP = 150
+
+
+def q_classify_pages(spark, sf_dir):
+    """X5 + X3: page kind, result count and overflow flag (cap 150) of every page."""
+    out = pages.result_count(pages.classify_page(_all_pages(spark, sf_dir)), cap=PAGE_CAP)
+    return out.select("page_id", "kind", "result_count", "overflow")
+
+
+def q_page_titles(spark, sf_dir):
+    """F9 on the driver pages: cleaned title text."""
+    return pages.page_title(derived.driver_pages(spark, sf_dir)).select("page_id", "title")
+
+
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
@@ -248,6 +282,10 @@ QUERIES: dict[str, Query] = {
     "slice_kept_rows": q_slice_kept_rows,
     "pending_slices": q_pending_slices,
     "class_slices": q_class_slices,
+    "parse_result_pages": q_parse_result_pages,
+    "detail_status": q_detail_status,
+    "classify_pages": q_classify_pages,
+    "page_titles": q_page_titles,
 }
 
 _ = (COMPARED, RAW_COLUMNS)

@@ -174,3 +174,100 @@ def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("bigint").alias("pos"),
         "event_type",
         F.when(F.col("value") >= 35, F.lit("HIGH")).otherwise(F.lit("LOW")).alias("band"))
+
+
+# --- portal pages rendered from orders -------------------------------------------
+
+GRID = "MainContent_ctrlTMSearch_ctrlProcList_gvwIPCases"
+PAGE_ROWS = 200
+LISTING_ROWS = 2000
+
+
+def _td(x: Column) -> Column:
+    return F.concat(F.lit("<td>"), x, F.lit("</td>"))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result-grid pages: a listing per 2000 consecutive order keys, pages of
+    200 keys (so a page never exceeds 200 rows), rows in key order. Even
+    listings show the filing-date column ('Fecha de radicación' in header
+    cell 6), odd listings do not. Orders whose key is divisible by 97
+    render as blank rows. Cells carry padding, newlines, entities, <br>
+    separated holders and picture anchors."""
+    b = order_base(spark, sf_dir)
+    d = F.col("fdate")
+    k = F.col("o_orderkey")
+    blank = k % 97 == 0
+    with_filing = ((k / LISTING_ROWS).cast("bigint") % 2 == 0)
+    denom = F.concat_ws(" ", "c_mktsegment", F.lit("&amp; CO"), "o_orderpriority")
+    holder = F.when(F.col("c_acctbal") < 0, F.concat(F.col("c_name"), F.lit("<br>Socio &amp; Hijos"))) \
+        .otherwise(F.concat(F.lit("\n  "), F.col("c_name"), F.lit(" ")))
+    href = F.concat(F.lit(IMG_PREFIX), k.cast("string"), F.lit("?a=1&amp;b=2"))
+    row = F.struct(
+        k.alias("k"), blank.alias("blank"),
+        F.col("request_number").alias("rn"),
+        F.concat(F.lit(" R"), F.col("o_custkey").cast("string"), F.lit("\n")).alias("reg"),
+        denom.alias("den"),
+        F.when(F.col("o_totalprice") >= 250000, href).alias("href"),
+        es_date(d).alias("fil"), es_date(F.add_months(d, 120)).alias("exp"),
+        raw_status_word().alias("st"), holder.alias("hol"),
+        (k % 45 + 1).cast("string").alias("cls"),
+        (F.year(d) * 100 + F.month(d)).cast("string").alias("gaz"))
+    pages = (b.groupBy((k / LISTING_ROWS).cast("bigint").alias("listing_id"),
+                       ((k / PAGE_ROWS).cast("bigint") % (LISTING_ROWS // PAGE_ROWS)).alias("page_no"))
+             .agg(F.array_sort(F.collect_list(row)).alias("rows"), F.first(with_filing).alias("with_filing")))
+
+    def render(r: Column, i: Column) -> Column:
+        anchor = F.when(r["href"].isNotNull(), F.concat(
+            F.lit('<a id="' + GRID + '_hlnkCasePicture_'), i.cast("string"), F.lit('" href="'), r["href"],
+            F.lit('"><img src="x.png"></a>'))).otherwise(F.lit(""))
+        full = F.concat(_td((i + 1).cast("string")), _td(r["rn"]), _td(r["reg"]), _td(r["den"]), _td(anchor),
+                        F.when(F.col("with_filing"), _td(r["fil"])).otherwise(F.lit("")),
+                        _td(r["exp"]), _td(r["st"]), _td(r["hol"]), _td(r["cls"]), _td(r["gaz"]))
+        empty = F.concat(*[F.lit("<td></td>")] * 11)
+        return F.concat(F.lit('<tr class="row">'), F.when(r["blank"], empty).otherwise(full), F.lit("</tr>"))
+
+    th6 = F.when(F.col("with_filing"), F.lit("Fecha de radicación")).otherwise(F.lit("Fecha de vencimiento"))
+    header = F.concat(F.lit("<tr><th>#</th><th>Expediente</th><th>Registro</th><th>Signo</th><th>Logo</th><th>"),
+                      th6, F.lit("</th><th>Estado</th><th>Titular</th><th>Clase</th><th>Gaceta</th></tr>"))
+    body = F.array_join(F.transform("rows", render), "")
+    html = F.concat(
+        F.lit('<html><body><span id="MainContent_ctrlTMSearch_ctrlProcList_hdrNbItems">Resultados: '),
+        F.size("rows").cast("string"), F.lit('</span><table id="' + GRID + '" class="grid"><tbody>'),
+        header, body, F.lit('<tr class="gridview_pager"><td colspan="11"><span>1</span></td></tr>'),
+        F.lit("</tbody></table></body></html>"))
+    return pages.select(
+        F.concat(F.lit("L"), F.col("listing_id").cast("string"), F.lit("-"), F.col("page_no").cast("string"))
+        .alias("page_id"), "listing_id", "page_no", html.alias("html"))
+
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detail page per order: finished orders show the status in the
+    trademark label, open orders in the second label (first one blank),
+    pending orders show no label."""
+    b = order_base(spark, sf_dir)
+    word = raw_status_word()
+    st = F.col("o_orderstatus")
+    inner = (F.when(st == "F", F.concat(F.lit('<span id="MainContent_ctrlTM_lblCurrentStatus"> '), word,
+                                        F.lit(" </span>")))
+             .when(st == "O", F.concat(F.lit('<span id="MainContent_ctrlTM_lblCurrentStatus">  </span>'
+                                             '<span id="MainContent_ctrlIRD_lblCurrentStatus">\n'), word,
+                                       F.lit("\n</span>")))
+             .otherwise(F.lit("<p>Sin estado</p>")))
+    html = F.concat(F.lit('<html><body><div id="MainContent_ctrlTM_panelCaseData">'), inner,
+                    F.lit("</div></body></html>"))
+    return b.select(F.concat(F.lit("D"), F.col("o_orderkey").cast("string")).alias("page_id"),
+                    "request_number", html.alias("html"))
+
+
+def no_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 'no results' page per customer with a negative balance."""
+    c = load(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
+    return c.select(F.concat(F.lit("N"), F.col("c_custkey").cast("string")).alias("page_id"),
+                    F.lit('<html><body><div id="MainContent_ctrlTMSearch_divHelp">Sin resultados</div>'
+                          '</body></html>').alias("html"))
+
+
+def driver_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "pages").select(
+        F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("page_id"), "html")

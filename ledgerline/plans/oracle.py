@@ -298,3 +298,59 @@ ORACLE["class_slices"] = _with(OB, REG, TAGGED) + """
 SELECT 'niza_' || CAST(c AS VARCHAR) || '_1900_1900_ACTIVE' AS slice_id,
        (SELECT count(*) FROM tagged t WHERE t.tag = 'ACTIVE' AND t.niza_class = CAST(c AS VARCHAR)) AS n
 FROM range(1, 46) r(c)"""
+
+ES_MONTHS = "['ene.', 'feb.', 'mar.', 'abr.', 'may.', 'jun.', 'jul.', 'ago.', 'sept.', 'oct.', 'nov.', 'dic.']"
+
+
+def _es(d: str) -> str:
+    return f"CAST(day({d}) AS VARCHAR) || ' ' || ({ES_MONTHS})[month({d})] || ' ' || CAST(year({d}) AS VARCHAR)"
+
+
+# What a reader of the rendered grids must get back: decoded, stripped text.
+ORACLE["parse_result_pages"] = _with(OB) + f"""
+, pos AS (
+  SELECT *, o_orderkey // 2000 AS listing_id, (o_orderkey // 200) % 10 AS page_no,
+         1 + row_number() OVER (PARTITION BY o_orderkey // 200 ORDER BY o_orderkey) AS row_no
+  FROM ob)
+SELECT 'L' || CAST(listing_id AS VARCHAR) || '-' || CAST(page_no AS VARCHAR) AS page_id, row_no,
+       request_number, 'R' || CAST(o_custkey AS VARCHAR) AS registry_number,
+       c_mktsegment || ' & CO ' || o_orderpriority AS denomination,
+       CASE WHEN o_totalprice >= 250000 THEN '{IMG_PREFIX}' || CAST(o_orderkey AS VARCHAR) || '?a=1&b=2&fmt=jpeg'
+            ELSE '' END AS logo_url,
+       CASE WHEN (o_orderkey // 2000) % 2 = 0 THEN {_es('fdate')} ELSE '' END AS filing_date,
+       {_es('CAST(fdate + INTERVAL 10 YEAR AS DATE)')} AS expiration_date,
+       CASE o_orderstatus WHEN 'F' THEN 'Registrada' WHEN 'O' THEN 'Bajo examen de fondo' ELSE 'Negada' END AS status,
+       CASE WHEN c_acctbal < 0 THEN c_name || ' | Socio & Hijos' ELSE c_name END AS holder,
+       CAST(o_orderkey % 45 + 1 AS VARCHAR) AS niza_class,
+       CAST(year(fdate) * 100 + month(fdate) AS VARCHAR) AS gazette_number
+FROM pos WHERE o_orderkey % 97 <> 0"""
+
+ORACLE["detail_status"] = _with(OB) + f"""
+SELECT request_number,
+       CASE o_orderstatus WHEN 'F' THEN 'Registrada' WHEN 'O' THEN 'Bajo examen de fondo' ELSE '' END
+         AS extracted_status,
+       CASE WHEN o_orderstatus IN ('F', 'O') THEN NULL ELSE 'Status not found on results page.' END AS error
+FROM ob"""
+
+ORACLE["classify_pages"] = _with(OB) + """
+SELECT 'L' || CAST(o_orderkey // 2000 AS VARCHAR) || '-' || CAST((o_orderkey // 200) % 10 AS VARCHAR)
+         AS page_id, 'listing' AS kind, count(*) AS result_count, count(*) >= 150 AS overflow
+FROM ob GROUP BY o_orderkey // 2000, (o_orderkey // 200) % 10
+UNION ALL
+SELECT 'D' || CAST(o_orderkey AS VARCHAR), 'detail', NULL, false FROM ob
+UNION ALL
+SELECT 'N' || CAST(c_custkey AS VARCHAR), 'no_result', NULL, false FROM customer WHERE c_acctbal < 0
+UNION ALL
+SELECT 'P' || CAST(page_id AS VARCHAR), 'unknown', NULL, false FROM pages"""
+
+
+def _decode(x: str) -> str:
+    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '\u00a9'), "
+            f"'&middot;', '\u00b7'), '&amp;', '&')")
+
+
+# Titles hold only these four entities; text content decodes once, the reader once more.
+ORACLE["page_titles"] = f"""
+SELECT 'P' || CAST(page_id AS VARCHAR) AS page_id,
+       {_decode(_decode("trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), ' \t\n\r')"))} AS title
+FROM pages"""
