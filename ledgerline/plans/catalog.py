@@ -13,9 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import os
+import uuid
+
+from ledgerline.functions.codes import map_correction_status, map_status
+from ledgerline.functions.dates import bad_date, parse_es_date
+from ledgerline.functions.text import normalise_holder
 from ledgerline.operators import audit, corrections, diff, normalise, pages, slices
 from ledgerline.plans import derived, jobs
-from ledgerline.schemas import COMPARED, KEY, RAW_COLUMNS
+from ledgerline.schemas import KEY, RAW_COLUMNS
+from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sinks import writers
+from ledgerline.sources import snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,6 +269,118 @@ def q_page_titles(spark, sf_dir):
     return pages.page_title(derived.driver_pages(spark, sf_dir)).select("page_id", "title")
 
 
+# --- landed files and JSON -----------------------------------------------------------
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """K6 -> S1 + S2 + S3 + O2 -> P2: the snapshot landed as one JSON array per
+    class slice, read back whole-file, parsed as VARIANT and normalised."""
+    snap = derived.snapshot_from_orders(spark, sf_dir)
+    landing = scratch_dir(spark, "landing")
+    writers.write_snapshot_json(
+        snap.select(F.concat(F.lit("niza_"), F.col("niza_class")).alias("slice_id"),
+                    F.col("o_orderkey").alias("pos"), *RAW_COLUMNS), landing)
+    files = snapshots.number_batches(snapshots.read_files(spark, landing, glob="*.txt", recursive=True))
+    raw, _ = snapshots.snapshot_raw(files)
+    return iso_text(normalise.normalise(raw, derived.RUN_TS).drop("batch_id", "batch_no", "pos"))
+
+
+def _event_docs(spark, sf_dir):
+    """JSON documents from events.props: clicks as a two-element array,
+    errors cut after four characters (invalid), the rest one object."""
+    e = derived.load(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    doc = (F.when(F.col("event_type") == "click", F.concat(F.lit("["), F.col("props"), F.lit(", "), F.col("props"), F.lit("]")))
+           .when(F.col("event_type") == "error", F.substring("props", 1, 4))
+           .otherwise(F.col("props")))
+    return e.select("event_id", doc.alias("text"))
+
+
+def q_json_records(spark, sf_dir):
+    """Records of every well-formed document (array or single object)."""
+    recs = snapshots.explode_records(_event_docs(spark, sf_dir))
+    return recs.select("event_id", "pos", F.try_variant_get("rec", "$.k", "string").alias("k"))
+
+
+def q_json_rejects(spark, sf_dir):
+    """S3 / Q4: documents skipped whole, with the reason."""
+    return snapshots.bad_documents(_event_docs(spark, sf_dir)).select("event_id", "reason")
+
+
+# --- overlapping feeds through the whole chain -------------------------------------
+
+def _feeds_sync(spark, sf_dir):
+    reg = derived.registry_from_orders(spark, sf_dir)
+    feeds = derived.feeds_from_snapshot(derived.snapshot_from_orders(spark, sf_dir))
+    return jobs.sync_registry(feeds, reg, derived.RUN_TS, persist=False)
+
+
+def q_union_feeds(spark, sf_dir):
+    """U1 + U2 + U4 + W2: class feed then month feed over one registry; every version classified."""
+    c = _feeds_sync(spark, sf_dir).classified
+    return c.select("batch_no", KEY, "change_type", "columns_changed")
+
+
+def q_feeds_registry(spark, sf_dir):
+    """W3 + K1 + K2 after both feeds: stored values come from each key's last changed version."""
+    return iso_text(_feeds_sync(spark, sf_dir).registry)
+
+
+# --- scalar functions on driver columns ---------------------------------------------
+
+def _date_texts(spark, sf_dir):
+    o = derived.load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    es = derived.es_date(F.col("d"))
+    words = F.array(*[F.lit(w) for w in derived.MONTH_WORDS])
+    mon = F.element_at(words, F.month("d"))
+    v = F.col("o_orderkey") % 8
+    raw = (F.when(v == 0, es).when(v == 1, F.upper(es))
+           .when(v == 2, F.replace(es, F.lit("sept."), F.lit("sep.")))
+           .when(v == 3, F.replace(es, F.lit(" "), F.lit("  ")))
+           .when(v == 4, F.concat(F.lit(" "), es))
+           .when(v == 5, F.concat_ws(" ", F.dayofmonth("d").cast("string"), mon,
+                                     F.substring(F.year("d").cast("string"), 3, 2)))
+           .when(v == 6, F.concat_ws(" ", F.lit("31"), mon, F.year("d").cast("string")))
+           .otherwise(F.lit("")))
+    return o.select("o_orderkey", raw.alias("raw"))
+
+
+def q_date_parsing(spark, sf_dir):
+    """F1 + F2 + Q2: portal date text variants -> DATE, and the bad-date flag."""
+    t = _date_texts(spark, sf_dir)
+    return t.select("o_orderkey", "raw", parse_es_date("raw").cast("string").alias("parsed"),
+                    bad_date("raw").alias("bad"))
+
+
+def q_holder_normalise(spark, sf_dir):
+    """holder name lists -> one normalised text."""
+    c = derived.load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    v = F.col("c_custkey") % 5
+    names = (F.when(v == 0, F.array("c_name"))
+             .when(v == 1, F.array(F.concat(F.lit("  "), F.lower("c_name"), F.lit("  x  "))))
+             .when(v == 2, F.array(F.concat(F.col("c_name"), F.lit(";Co")), F.lit("b  c")))
+             .when(v == 3, F.array().cast("array<string>"))
+             .otherwise(F.array(F.lit(""), F.col("c_name"))))
+    return c.select("c_custkey", normalise_holder(names).alias("holder"))
+
+
+def q_status_mapping(spark, sf_dir):
+    """F4 + F5 + J4: raw portal status words through both code tables."""
+    o = derived.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    w = derived.raw_status_word()
+    v = F.col("o_orderkey") % 6
+    raw = (F.when(v == 0, w).when(v == 1, F.upper(w)).when(v == 2, F.concat(F.lit(" "), w))
+           .when(v == 3, F.lit("Con oposición")).when(v == 4, F.lit("Con oposicion"))
+           .otherwise(F.lit("Publicada")))
+    t = o.select("o_orderkey", raw.alias("raw"))
+    return t.select("o_orderkey", "raw", map_status("raw").alias("mapped"),
+                    map_correction_status("raw").alias("corrected"))
+
+
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
@@ -286,6 +407,13 @@ QUERIES: dict[str, Query] = {
     "detail_status": q_detail_status,
     "classify_pages": q_classify_pages,
     "page_titles": q_page_titles,
+    "json_roundtrip": q_json_roundtrip,
+    "json_records": q_json_records,
+    "json_rejects": q_json_rejects,
+    "union_feeds": q_union_feeds,
+    "feeds_registry": q_feeds_registry,
+    "date_parsing": q_date_parsing,
+    "holder_normalise": q_holder_normalise,
+    "status_mapping": q_status_mapping,
 }
 
-_ = (COMPARED, RAW_COLUMNS)

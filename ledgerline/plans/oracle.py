@@ -354,3 +354,126 @@ ORACLE["page_titles"] = f"""
 SELECT 'P' || CAST(page_id AS VARCHAR) AS page_id,
        {_decode(_decode("trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), ' \t\n\r')"))} AS title
 FROM pages"""
+
+ORACLE["json_roundtrip"] = ORACLE["normalise_snapshot"]
+
+ORACLE["json_records"] = """
+SELECT event_id, p AS pos, json_extract_string(props, '$.k') AS k
+FROM events, (SELECT unnest([0, 1]) AS p) ps
+WHERE (event_type = 'click') OR (event_type <> 'error' AND p = 0)"""
+
+ORACLE["json_rejects"] = """
+SELECT event_id, 'invalid json' AS reason FROM events WHERE event_type = 'error'"""
+
+CHAIN_COLS = CMP
+
+
+def _lagged_changes() -> str:
+    parts = ", ".join(f"CASE WHEN trim(coalesce(CAST({c} AS VARCHAR), '')) <> "
+                      f"trim(coalesce(CAST(p_{c} AS VARCHAR), '')) THEN '{c}' END" for c in CHAIN_COLS)
+    return f"nullif(concat_ws(', ', {parts}), '')"
+
+
+FEEDS = """
+feeds AS (
+  SELECT CAST(niza_class AS BIGINT) AS batch_no, o_orderkey AS pos, request_number, registry_number, denomination,
+         logo_url, logo, filing_date, expiration_date, status, holder, niza_class, gazette_number, updated_at,
+         badger_country
+  FROM snap
+  UNION ALL
+  SELECT 100000 + year(odate) * 100 + month(odate), o_orderkey, request_number, registry_number, denomination,
+         logo_url, logo, filing_date, expiration_date,
+         CASE WHEN o_orderkey % 5 = 0 THEN 'EN_GACETA' ELSE status END, holder, niza_class, gazette_number,
+         updated_at, badger_country
+  FROM snap),
+chain_in AS (
+  SELECT batch_no, request_number, badger_country, registry_number, denomination, logo_url, filing_date,
+         expiration_date, status, holder, niza_class, gazette_number, false AS is_base FROM feeds
+  UNION ALL
+  SELECT -1, request_number, badger_country, registry_number, denomination, logo_url, filing_date,
+         expiration_date, status, holder, niza_class, gazette_number, true
+  FROM regd WHERE request_number IN (SELECT request_number FROM feeds) AND badger_country = 'COLOMBIA'),
+chained AS (
+  SELECT * , CASE WHEN p_exists IS NULL THEN 'NEW_RECORD' ELSE """ + _lagged_changes() + """ END AS cc
+  FROM (SELECT *, lag(1) OVER w AS p_exists, """ + ", ".join(f"lag({c}) OVER w AS p_{c}" for c in CHAIN_COLS) + """
+        FROM chain_in WINDOW w AS (PARTITION BY badger_country, request_number ORDER BY batch_no))),
+versions AS (
+  SELECT batch_no, request_number, badger_country,
+         CASE WHEN p_exists IS NULL THEN 'INSERT' WHEN cc IS NOT NULL THEN 'UPDATE' ELSE 'UNCHANGED' END
+           AS change_type, cc AS columns_changed
+  FROM chained WHERE NOT is_base)"""
+
+ORACLE["union_feeds"] = _with(OB, REG, SNAP, FEEDS) + """
+SELECT batch_no, request_number, change_type, columns_changed FROM versions"""
+
+ORACLE["feeds_registry"] = _with(OB, REG, SNAP, FEEDS) + f"""
+, last_change AS (
+  SELECT v.request_number, v.badger_country, max(v.batch_no) AS b,
+         bool_or(v.change_type = 'INSERT') AS is_new
+  FROM versions v WHERE v.change_type IN ('INSERT', 'UPDATE') GROUP BY v.request_number, v.badger_country),
+last_vals AS (
+  SELECT f.*, l.is_new FROM last_change l JOIN feeds f
+    ON f.request_number = l.request_number AND f.badger_country = l.badger_country AND f.batch_no = l.b),
+ins_vals AS (
+  SELECT f.* FROM versions v JOIN feeds f
+    ON f.request_number = v.request_number AND f.batch_no = v.batch_no WHERE v.change_type = 'INSERT')
+SELECT {REG_OUT} FROM (
+  SELECT r.id, r.request_number,
+         CASE WHEN u.request_number IS NULL THEN r.registry_number ELSE u.registry_number END AS registry_number,
+         CASE WHEN u.request_number IS NULL THEN r.denomination ELSE u.denomination END AS denomination,
+         CASE WHEN u.request_number IS NULL THEN r.logo_url ELSE u.logo_url END AS logo_url,
+         r.logo,
+         CASE WHEN u.request_number IS NULL THEN r.filing_date ELSE u.filing_date END AS filing_date,
+         CASE WHEN u.request_number IS NULL THEN r.expiration_date ELSE u.expiration_date END AS expiration_date,
+         CASE WHEN u.request_number IS NULL THEN r.status ELSE u.status END AS status,
+         CASE WHEN u.request_number IS NULL THEN r.holder ELSE u.holder END AS holder,
+         CASE WHEN u.request_number IS NULL THEN r.niza_class ELSE u.niza_class END AS niza_class,
+         CASE WHEN u.request_number IS NULL THEN r.gazette_number ELSE u.gazette_number END AS gazette_number,
+         CASE WHEN u.request_number IS NULL THEN r.updated_at ELSE u.updated_at END AS updated_at,
+         r.badger_country
+  FROM reg r LEFT JOIN (SELECT * FROM last_vals WHERE NOT is_new) u
+    ON u.request_number = r.request_number AND u.badger_country = r.badger_country
+  UNION ALL
+  SELECT {_uuid("i.badger_country || chr(1) || i.request_number")}, i.request_number, l.registry_number,
+         l.denomination, l.logo_url, i.logo, l.filing_date, l.expiration_date, l.status, l.holder, l.niza_class,
+         l.gazette_number, l.updated_at, i.badger_country
+  FROM ins_vals i JOIN last_vals l ON l.request_number = i.request_number AND l.badger_country = i.badger_country)"""
+
+ORACLE["date_parsing"] = f"""
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 8 AS v FROM orders),
+t AS (
+  SELECT o_orderkey, d, v,
+         CASE v WHEN 0 THEN {_es('d')} WHEN 1 THEN upper({_es('d')})
+                WHEN 2 THEN replace({_es('d')}, 'sept.', 'sep.')
+                WHEN 3 THEN replace({_es('d')}, ' ', '  ')
+                WHEN 4 THEN ' ' || {_es('d')}
+                WHEN 5 THEN CAST(day(d) AS VARCHAR) || ' ' || ({ES_MONTHS})[month(d)] || ' '
+                            || substr(CAST(year(d) AS VARCHAR), 3, 2)
+                WHEN 6 THEN '31 ' || ({ES_MONTHS})[month(d)] || ' ' || CAST(year(d) AS VARCHAR)
+                ELSE '' END AS raw,
+         CASE WHEN v IN (0, 1) THEN d
+              WHEN v = 2 AND month(d) <> 9 THEN d
+              WHEN v = 6 THEN try_cast(printf('%04d-%02d-31', year(d), month(d)) AS DATE)
+              END AS expect
+  FROM o)
+SELECT o_orderkey, raw, CAST(expect AS VARCHAR) AS parsed, (raw <> '' AND expect IS NULL) AS bad FROM t"""
+
+ORACLE["holder_normalise"] = """
+SELECT c_custkey,
+       CASE c_custkey % 5 WHEN 0 THEN upper(c_name) WHEN 1 THEN upper(c_name) || ' X'
+                          WHEN 2 THEN upper(c_name) || ',CO; B C' WHEN 3 THEN ''
+                          ELSE '; ' || upper(c_name) END AS holder
+FROM customer"""
+
+ORACLE["status_mapping"] = """
+WITH t AS (SELECT o_orderkey, o_orderstatus AS s, o_orderkey % 6 AS v FROM orders),
+w AS (SELECT *, CASE s WHEN 'F' THEN 'Registrada' WHEN 'O' THEN 'Bajo examen de fondo' ELSE 'Negada' END AS word,
+                CASE s WHEN 'F' THEN 'VIGENTE' WHEN 'O' THEN 'EXAMEN_DE_FONDO' ELSE 'NEGADA' END AS code FROM t)
+SELECT o_orderkey,
+       CASE v WHEN 0 THEN word WHEN 1 THEN upper(word) WHEN 2 THEN ' ' || word
+              WHEN 3 THEN 'Con oposición' WHEN 4 THEN 'Con oposicion' ELSE 'Publicada' END AS raw,
+       CASE v WHEN 0 THEN code WHEN 1 THEN code WHEN 2 THEN ' ' || word
+              WHEN 3 THEN 'OPOSICION' WHEN 4 THEN 'Con oposicion' ELSE 'EN_GACETA' END AS mapped,
+       CASE WHEN v IN (0, 1) AND s <> 'F' THEN code WHEN v = 4 THEN 'OPOSICION' WHEN v = 5 THEN 'EN_GACETA'
+            END AS corrected
+FROM w"""
