@@ -381,6 +381,28 @@ def q_status_mapping(spark, sf_dir):
                     map_correction_status("raw").alias("corrected"))
 
 
+# --- streaming -------------------------------------------------------------------------
+
+def q_stream_sync(spark, sf_dir):
+    """T1 + T2: both feeds landed as JSON files (class feed first), streamed
+    oldest-first through foreachBatch; the final registry version equals the
+    batch result of ``feeds_registry``."""
+    from ledgerline.streaming.sync import stream_sync
+
+    root = scratch_dir(spark, "stream")
+    snap = derived.snapshot_from_orders(spark, sf_dir)
+    feeds = derived.feeds_from_snapshot(snap)
+    class_feed = feeds.filter(F.col("batch_no") < 100000)
+    month_feed = feeds.filter(F.col("batch_no") >= 100000)
+    for i, feed in enumerate((class_feed, month_feed), start=1):
+        writers.write_snapshot_json(feed.withColumn("slice_id", F.col("batch_no").cast("string")),
+                                    f"{root}/landing/feed={i}")
+    writers.write_registry_snapshot(derived.registry_from_orders(spark, sf_dir), f"{root}/registry", 0)
+    version = stream_sync(spark, f"{root}/landing/feed=*/slice_id=*/*.txt", f"{root}/registry",
+                          f"{root}/checkpoint", derived.RUN_TS, files_per_trigger=64)
+    return iso_text(spark.read.parquet(f"{root}/registry/snapshot={version}"))
+
+
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
@@ -415,5 +437,6 @@ QUERIES: dict[str, Query] = {
     "date_parsing": q_date_parsing,
     "holder_normalise": q_holder_normalise,
     "status_mapping": q_status_mapping,
+    "stream_sync": q_stream_sync,
 }
 

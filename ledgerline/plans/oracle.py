@@ -477,3 +477,6 @@ SELECT o_orderkey,
        CASE WHEN v IN (0, 1) AND s <> 'F' THEN code WHEN v = 4 THEN 'OPOSICION' WHEN v = 5 THEN 'EN_GACETA'
             END AS corrected
 FROM w"""
+
+# Streaming over the landed feeds must end where the batch job ends.
+ORACLE["stream_sync"] = ORACLE["feeds_registry"]
