@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
-# Python's str.isspace() set: Unicode White_Space plus U+001C..U+001F.
-# Java's (?U)\s covers the first part only, so the separators are added.
-WS_CLASS = r"[\x{1c}-\x{1f}\s]"
-WS_RUN = r"(?U)" + WS_CLASS + "+"
-OUTER_WS = r"(?U)^" + WS_CLASS + "+|" + WS_CLASS + "+$"
+# Whitespace as Python's str.isspace() defines it (str.strip/str.split use
+# the same set): derived from the rule, not listed by hand. Java's \s
+# misses most of it, and (?U)\s misses U+001C..U+001F.
+PY_SPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+WS_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_SPACE) + "]"
+WS_RUN = WS_CLASS + "+"
+SQL_SPACE = "'" + "".join(f"\\u{ord(ch):04x}" for ch in PY_SPACE) + "'"  # SQL literal of the set
 
 
 def _col(c) -> Column:
@@ -27,8 +29,18 @@ def _col(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), OUTER_WS, "")
+    """Python ``str.strip()``: remove leading/trailing whitespace (character-set trim, no regex)."""
+    return F.trim(_col(c), F.lit(PY_SPACE))
+
+
+def sql_strip(expr: str) -> str:
+    """SQL text of ``py_strip`` over a SQL expression."""
+    return f"trim(BOTH {SQL_SPACE} FROM {expr})"
+
+
+def sql_compare_key(expr: str) -> str:
+    """SQL text of ``compare_key``."""
+    return sql_strip(f"coalesce(CAST({expr} AS STRING), '')")
 
 
 def collapse_ws(c) -> Column:
@@ -42,7 +54,8 @@ def compare_key(c) -> Column:
     Null and '' are the same; outer whitespace is ignored; case and inner
     whitespace are significant. Non-string columns are cast to text first.
     """
-    c = _col(c)
+    if isinstance(c, str):
+        return F.expr(sql_compare_key(c))
     return py_strip(F.coalesce(c.cast("string"), F.lit("")))
 
 

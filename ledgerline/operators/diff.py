@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import compare_key
+from ledgerline.functions.text import sql_compare_key
 from ledgerline.schemas import COMPARED, COUNTRY_COL, KEY, NEW_RECORD, UPDATED
 
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
@@ -60,18 +60,19 @@ def dedup_registry(registry: DataFrame, key_cols=DEFAULT_KEYS, tiebreak: str = "
 
 
 def _norm_struct(compared) -> Column:
-    return F.struct(*[compare_key(c).alias(c) for c in compared])
+    """Struct of the compared columns' comparison text (F7), built as one SQL expression."""
+    fields = ", ".join(f"'{c}', {sql_compare_key(f'`{c}`')}" for c in compared)
+    return F.expr(f"named_struct({fields})")
 
 
-def _classify(cur: Column, prev: Column, compared) -> tuple[Column, Column]:
-    """F7 + F8: (change_type, columns_changed) of a version against its previous one."""
-    listed = F.concat_ws(", ", *[F.when(cur[c] != prev[c], F.lit(c)) for c in compared])
-    columns_changed = (F.when(prev.isNull(), F.lit(NEW_RECORD))
-                       .otherwise(F.nullif(listed, F.lit(""))))
-    change_type = (F.when(prev.isNull(), F.lit(INSERT))
-                   .when(columns_changed.isNotNull(), F.lit(UPDATE))
-                   .otherwise(F.lit(UNCHANGED)))
-    return change_type, columns_changed
+def _classify(df: DataFrame, cur: str, prev: str, compared) -> DataFrame:
+    """F7 + F8: add ``columns_changed`` (NEW_RECORD / differing columns in order /
+    NULL) and ``change_type`` of struct ``cur`` against struct ``prev``."""
+    listed = ", ".join(f"CASE WHEN {cur}.`{c}` <> {prev}.`{c}` THEN '{c}' END" for c in compared)
+    changed = f"CASE WHEN {prev} IS NULL THEN '{NEW_RECORD}' ELSE nullif(concat_ws(', ', {listed}), '') END"
+    kind = (f"CASE WHEN {prev} IS NULL THEN '{INSERT}' WHEN columns_changed IS NOT NULL THEN '{UPDATE}' "
+            f"ELSE '{UNCHANGED}' END")
+    return df.withColumn("columns_changed", F.expr(changed)).withColumn("change_type", F.expr(kind))
 
 
 def touched(registry: DataFrame, new: DataFrame, key_cols=DEFAULT_KEYS) -> DataFrame:
@@ -91,11 +92,9 @@ def diff_batch(new: DataFrame, registry: DataFrame, key_cols=DEFAULT_KEYS, compa
     base = dedup_registry(touched(registry.select(*key_cols, tiebreak, *compared), new, key_cols),
                           key_cols, tiebreak)
     base = base.select(*key_cols, _norm_struct(compared).alias("_prev"))
-    joined = new.join(base, key_cols, "left")
-    change_type, columns_changed = _classify(_norm_struct(compared), F.col("_prev"), compared)
-    return (joined.withColumn("change_type", change_type)
-            .withColumn("columns_changed", columns_changed)
-            .drop("_prev"))
+    joined = new.join(base, key_cols, "left").withColumn("_norm", _norm_struct(compared))
+    cols = new.columns + ["change_type", "columns_changed"]
+    return _classify(joined, "_norm", "_prev", compared).select(*cols)
 
 
 def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: str = "batch_no",
@@ -126,20 +125,19 @@ def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: st
     else:
         v = v.withColumn("_bucket", F.greatest(F.floor(F.col(order_col) / F.lit(bucket_size)), F.lit(0)))
         w1 = Window.partitionBy(*key_cols, "_bucket").orderBy(order_col)
-        v = v.withColumn("_prev_in", F.lag("_norm").over(w1))
-        # Last version of each (key, bucket); lagged across the key's buckets.
-        tails = v.groupBy(*key_cols, "_bucket").agg(F.max_by("_norm", order_col).alias("_tail"))
+        v = (v.withColumn("_prev_in", F.lag("_norm").over(w1))
+             .withColumn("_is_tail", F.lead(F.lit(1)).over(w1).isNull()))
+        # Last version of each (key, bucket), taken from the same windowed
+        # frame (one shuffle feeds both branches), lagged across the key's buckets.
+        tails = v.filter("_is_tail").select(*key_cols, "_bucket", F.col("_norm").alias("_tail"))
         w2 = Window.partitionBy(*key_cols).orderBy("_bucket")
         carry = tails.select(*key_cols, "_bucket", F.lag("_tail").over(w2).alias("_carry"))
         v = (v.join(carry, key_cols + ["_bucket"], "left")
              .withColumn("_prev", F.coalesce("_prev_in", "_carry"))
-             .drop("_prev_in", "_carry", "_bucket"))
+             .drop("_prev_in", "_carry", "_bucket", "_is_tail"))
 
-    change_type, columns_changed = _classify(F.col("_norm"), F.col("_prev"), compared)
-    return (v.filter(~F.col("_is_base"))
-            .withColumn("change_type", change_type)
-            .withColumn("columns_changed", columns_changed)
-            .drop("_norm", "_prev", "_is_base"))
+    cols = versions.columns + ["change_type", "columns_changed"]
+    return _classify(v.filter(~F.col("_is_base")), "_norm", "_prev", compared).select(*cols)
 
 
 def change_report(classified: DataFrame, key: str = KEY, extra=()) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.codes import logo_asset
 from ledgerline.schemas import DEFAULT_LOGO_PREFIX, MONTHS_ES, RAW_COLUMNS
-from ledgerline.session import table_path
+from ledgerline.session import spread, table_path
 
 MONTH_WORDS = list(MONTHS_ES)  # ene. .. dic. in calendar order
 REGISTRY_TS = "2024-01-01 00:00:00"
@@ -35,14 +35,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan with pruned columns, spread over the cores when the file has too few splits."""
+    df = load(spark, sf_dir, name)
+    return spread(df.select(*cols) if cols else df)
+
+
 def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders joined to customer with the request key and filing date.
 
     customer is a dimension of orders; the join is left to the optimizer
     (AQE broadcasts it at small scale and sort-merges it at large scale).
     """
-    o = load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = load_spread(spark, sf_dir, "orders",
+                    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     d = F.to_date("o_orderdate")
     return (o.join(c, o.o_custkey == c.c_custkey)
@@ -167,7 +173,7 @@ def feeds_from_snapshot(snap: DataFrame) -> DataFrame:
 def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V: events as versions: key user_id, batch = epoch day, position = event_id,
     compared columns event_type and band (HIGH when value >= 35)."""
-    e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = load_spread(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     return e.select(
         F.col("user_id").cast("string").alias("user_key"),
         F.unix_date(F.to_date("ts")).cast("bigint").alias("batch_no"),
@@ -269,5 +275,5 @@ def no_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "pages").select(
+    return load_spread(spark, sf_dir, "pages", "page_id", "html").select(
         F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("page_id"), "html")
