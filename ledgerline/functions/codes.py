@@ -23,19 +23,45 @@ def map_literal(mapping: dict[str, str]) -> Column:
     return F.create_map(*items)
 
 
+def sql_map(mapping: dict[str, str]) -> str:
+    """SQL text of a map literal."""
+    from ledgerline.functions.text import sql_lit
+    return "map(" + ", ".join(f"{sql_lit(k)}, {sql_lit(v)}" for k, v in mapping.items()) + ")"
+
+
+def sql_map_status(expr: str, mapping: dict[str, str] = STATUS_RAW) -> str:
+    return f"coalesce(try_element_at({sql_map(mapping)}, lower({expr})), {expr})"
+
+
+def sql_map_correction_status(expr: str, mapping: dict[str, str] = STATUS_CORRECTION) -> str:
+    return f"try_element_at({sql_map(mapping)}, upper({expr}))"
+
+
+def sql_logo_asset(key: str, logo_url: str, prefix: str = DEFAULT_LOGO_PREFIX) -> str:
+    from ledgerline.functions.text import sql_lit
+    return (f"CASE WHEN coalesce({logo_url}, '') <> '' THEN concat({sql_lit(prefix)}, replace({key}, '/', '_'), "
+            f"'.jpeg') ELSE '' END")
+
+
 def map_status(c, mapping: dict[str, str] = STATUS_RAW) -> Column:
     """lower-cased lookup, the original value when unmapped; no trim."""
+    if isinstance(c, str):
+        return F.expr(sql_map_status(c, mapping))
     c = _col(c)
     return F.coalesce(F.try_element_at(map_literal(mapping), F.lower(c)), c)
 
 
 def map_correction_status(c, mapping: dict[str, str] = STATUS_CORRECTION) -> Column:
     """upper-cased lookup; NULL when unmapped (caller drops and reports)."""
+    if isinstance(c, str):
+        return F.expr(sql_map_correction_status(c, mapping))
     return F.try_element_at(map_literal(mapping), F.upper(_col(c)))
 
 
 def logo_asset(key, logo_url, prefix: str = DEFAULT_LOGO_PREFIX) -> Column:
     """prefix + key with '/' -> '_' + '.jpeg' when logo_url is non-empty."""
+    if isinstance(key, str) and isinstance(logo_url, str):
+        return F.expr(sql_logo_asset(key, logo_url, prefix))
     return (F.when(F.coalesce(_col(logo_url), F.lit("")) != "",
                    F.concat(F.lit(prefix), F.replace(_col(key), F.lit("/"), F.lit("_")), F.lit(".jpeg")))
             .otherwise(F.lit("")))

@@ -29,6 +29,23 @@ def es_date_text(c, months: dict[str, str] = MONTHS_ES) -> Column:
                    F.concat_ws("-", year, month, padded)))
 
 
+def sql_parse_es_date(expr: str, months: dict[str, str] = MONTHS_ES) -> str:
+    """SQL text of ``parse_es_date``: exactly three space-separated parts, month
+    looked up lower-cased, day zero-padded to two (longer days kept), then a
+    strict 'yyyy-MM-dd' calendar date."""
+    from ledgerline.functions.codes import sql_map
+    parts = f"split({expr}, ' ', -1)"
+    day = f"try_element_at({parts}, 1)"
+    iso = (f"CASE WHEN size({parts}) = 3 THEN concat_ws('-', try_element_at({parts}, 3), "
+           f"try_element_at({sql_map(months)}, lower(try_element_at({parts}, 2))), "
+           f"lpad({day}, greatest(length({day}), 2), '0')) END")
+    return f"try_to_date(regexp_extract({iso}, '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})$', 1), 'yyyy-MM-dd')"
+
+
+def sql_bad_date(expr: str, months: dict[str, str] = MONTHS_ES) -> str:
+    return f"(coalesce({expr}, '') <> '' AND {sql_parse_es_date(expr, months)} IS NULL)"
+
+
 def non_falsy(c) -> Column:
     return F.coalesce(_col(c), F.lit("")) != ""
 
@@ -42,11 +59,15 @@ def coerce_date(text) -> Column:
 
 def parse_es_date(c, months: dict[str, str] = MONTHS_ES) -> Column:
     """F1 + F2: portal date text -> DATE."""
+    if isinstance(c, str):
+        return F.expr(sql_parse_es_date(c, months))
     return coerce_date(es_date_text(c, months))
 
 
 def bad_date(c, months: dict[str, str] = MONTHS_ES) -> Column:
     """Q2: a non-empty raw value that did not give a date."""
+    if isinstance(c, str):
+        return F.expr(sql_bad_date(c, months))
     return non_falsy(c) & parse_es_date(c, months).isNull()
 
 

@@ -33,6 +33,17 @@ def py_strip(c) -> Column:
     return F.trim(_col(c), F.lit(PY_SPACE))
 
 
+def sql_lit(s: str) -> str:
+    """A SQL string literal holding ``s`` exactly."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_normalise_holder(expr: str) -> str:
+    """SQL text of ``normalise_holder`` over an ARRAY<STRING> expression."""
+    name = f"upper(trim(regexp_replace(replace(n, ';', ','), {sql_lit(WS_RUN)}, ' ')))"
+    return f"coalesce(concat_ws('; ', transform({expr}, n -> {name})), '')"
+
+
 def sql_strip(expr: str) -> str:
     """SQL text of ``py_strip`` over a SQL expression."""
     return f"trim(BOTH {SQL_SPACE} FROM {expr})"
@@ -69,6 +80,8 @@ def normalise_holder(names) -> Column:
 
     A null or empty array gives ''. Null names are skipped (D10).
     """
+    if isinstance(names, str):
+        return F.expr(sql_normalise_holder(names))
     arr = _col(names)
     return F.coalesce(F.concat_ws("; ", F.transform(arr, normalise_name)), F.lit(""))
 

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.codes import logo_asset, map_status
-from ledgerline.functions.dates import bad_date, parse_es_date
-from ledgerline.functions.text import normalise_holder
+from ledgerline.functions.codes import sql_logo_asset, sql_map_status
+from ledgerline.functions.dates import bad_date, sql_parse_es_date
+from ledgerline.functions.text import sql_lit, sql_normalise_holder
 from ledgerline.schemas import (
     BLANK_WHEN_ABSENT, COUNTRY, DEFAULT_LOGO_PREFIX, KEY, MONTHS_ES, NORMALISED_COLUMNS,
     RAW_COLUMNS, STATUS_RAW,
@@ -75,25 +75,27 @@ def normalise(raw: DataFrame, run_ts, country: str = COUNTRY, logo_prefix: str =
     ``run_ts`` is the run's timestamp (literal or column); other columns of
     ``raw`` (batch ids, positions) are passed through in front.
     """
-    ts = F.lit(run_ts).cast("timestamp") if not isinstance(run_ts, Column) else run_ts
+    # Built as SQL text: one expression per column, one call into the JVM each.
+    ts = run_ts if isinstance(run_ts, Column) else None
     out = {
-        "request_number": F.col(key),
-        "registry_number": F.col("registry_number"),
-        "denomination": F.col("denomination"),
-        "logo_url": F.col("logo_url"),
-        "logo": logo_asset(key, "logo_url", logo_prefix),
-        "filing_date": parse_es_date("filing_date", months),
-        "expiration_date": parse_es_date("expiration_date", months),
-        "status": map_status("status", status_map),
-        "holder": normalise_holder("holder"),
-        "niza_class": F.col("niza_class"),
-        "gazette_number": F.col("gazette_number"),
-        "updated_at": ts,
-        "badger_country": F.lit(country),
+        "request_number": f"`{key}`",
+        "registry_number": "registry_number",
+        "denomination": "denomination",
+        "logo_url": "logo_url",
+        "logo": sql_logo_asset(f"`{key}`", "logo_url", logo_prefix),
+        "filing_date": sql_parse_es_date("filing_date", months),
+        "expiration_date": sql_parse_es_date("expiration_date", months),
+        "status": sql_map_status("status", status_map),
+        "holder": sql_normalise_holder("holder"),
+        "niza_class": "niza_class",
+        "gazette_number": "gazette_number",
+        "updated_at": "NULL" if ts is not None else f"CAST({sql_lit(str(run_ts))} AS TIMESTAMP)",
+        "badger_country": sql_lit(country),
     }
-    passthrough = [c for c in raw.columns if c not in RAW_COLUMNS]
-    return (raw.filter(has_key(key))
-            .select(*passthrough, *[out[c].alias(c) for c in NORMALISED_COLUMNS]))
+    passthrough = [f"`{c}`" for c in raw.columns if c not in RAW_COLUMNS]
+    out_df = (raw.filter(f"coalesce(`{key}`, '') <> ''")
+              .selectExpr(*passthrough, *[f"{out[c]} AS `{c}`" for c in NORMALISED_COLUMNS]))
+    return out_df.withColumn("updated_at", ts) if ts is not None else out_df
 
 
 def blank_row(cols=RAW_COLUMNS) -> Column:

@@ -12,8 +12,11 @@ from ledgerline.functions.dates import bad_date
 
 
 def _eval(spark, values, fn, typ="string"):
+    """Evaluate through the Column path and the SQL-text path (column name); both must agree."""
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {typ}")
-    return [r[0] for r in df.orderBy("i").select(fn(F.col("v"))).collect()]
+    rows = df.orderBy("i").select(fn(F.col("v")).alias("a"), fn("v").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+    return [r.a for r in rows]
 
 
 def test_parse_es_date(spark):
