@@ -83,6 +83,14 @@ def state_index(c) -> Column:
     return F.when(normalise_state(c) == "active", F.lit("0")).otherwise(F.lit("1"))
 
 
+def sql_surrogate_id(*exprs: str) -> str:
+    """SQL text of ``surrogate_id``."""
+    parts = ", ".join(f"coalesce(CAST({e} AS STRING), '')" for e in exprs)
+    h = f"sha2(concat_ws('\\u0001', {parts}), 256)"
+    return (f"concat_ws('-', substring({h}, 1, 8), substring({h}, 9, 4), substring({h}, 13, 4), "
+            f"substring({h}, 17, 4), substring({h}, 21, 12))")
+
+
 def surrogate_id(*cols) -> Column:
     """Deterministic row id from the natural key, so a retried task
     writes the same id. UUID-shaped text from a SHA-256 of the parts."""

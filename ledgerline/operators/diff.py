@@ -38,20 +38,21 @@ def first_per_key(df: DataFrame, group_cols, order_col: str) -> DataFrame:
     An aggregate (min_by over the row struct) rather than a window, so the
     reduction is partially done map-side.
     """
+    return _extreme_per_key(df, group_cols, order_col, "min_by", "_first")
+
+
+def _extreme_per_key(df: DataFrame, group_cols, order_col: str, fn: str, name: str) -> DataFrame:
     group_cols = list(group_cols)
     rest = _others(df, group_cols)
+    row = ", ".join(f"`{c}`" for c in rest)
     return (df.groupBy(*group_cols)
-            .agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("_first"))
-            .select(*group_cols, *[F.col(f"_first.{c}").alias(c) for c in rest]))
+            .agg(F.expr(f"{fn}(struct({row}), `{order_col}`)").alias(name))
+            .selectExpr(*[f"`{c}`" for c in group_cols], f"{name}.*"))
 
 
 def last_per_key(df: DataFrame, group_cols, order_col: str) -> DataFrame:
     """Keep the row with the largest ``order_col`` per group (last wins)."""
-    group_cols = list(group_cols)
-    rest = _others(df, group_cols)
-    return (df.groupBy(*group_cols)
-            .agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_last"))
-            .select(*group_cols, *[F.col(f"_last.{c}").alias(c) for c in rest]))
+    return _extreme_per_key(df, group_cols, order_col, "max_by", "_last")
 
 
 def dedup_registry(registry: DataFrame, key_cols=DEFAULT_KEYS, tiebreak: str = "id") -> DataFrame:
@@ -167,9 +168,10 @@ def latest_changes(classified: DataFrame, order_col: str = "batch_no", key_cols=
     key_cols = list(key_cols)
     rest = [c for c in classified.columns
             if c not in key_cols and c not in ("change_type", "columns_changed")]
-    changed = classified.filter(F.col("change_type").isin(INSERT, UPDATE))
-    ins_order = F.when(F.col("change_type") == INSERT, F.col(order_col))
+    changed = classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
+    row = ", ".join(f"`{c}`" for c in rest)
+    upd = ", ".join(f"`{c}`" for c in updated)
     return (changed.groupBy(*key_cols)
-            .agg(F.min_by(F.struct(*rest), ins_order).alias("_ins"),
-                 F.max_by(F.struct(*updated, F.col(order_col).alias("_changed_in")), F.col(order_col))
-                 .alias("_last")))
+            .agg(F.expr(f"min_by(struct({row}), CASE WHEN change_type = '{INSERT}' THEN `{order_col}` END)")
+                 .alias("_ins"),
+                 F.expr(f"max_by(struct({upd}, `{order_col}` AS _changed_in), `{order_col}`)").alias("_last")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.codes import surrogate_id
+from ledgerline.functions.codes import sql_surrogate_id
 from ledgerline.operators.diff import DEFAULT_KEYS, latest_changes, last_per_key
 from ledgerline.schemas import COUNTRY_COL, KEY, REGISTRY_COLUMNS, UPDATED
 
@@ -33,24 +33,23 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
     """
     key_cols = list(key_cols)
     changes = latest_changes(classified, order_col, key_cols, updated)
-    upd = changes.filter(F.col("_ins").isNull()).select(*key_cols, "_last")
+    upd = changes.filter("_ins IS NULL").select(*key_cols, "_last")
     cur = registry.join(upd, key_cols, "left")
-    kept = cur.select(*[
-        (F.when(F.col("_last").isNotNull(), F.col(f"_last.{c}")).otherwise(F.col(c)) if c in updated
-         else F.col(c)).alias(c)
+    kept = cur.selectExpr(*[
+        (f"CASE WHEN _last IS NOT NULL THEN _last.`{c}` ELSE `{c}` END AS `{c}`" if c in updated else f"`{c}`")
         for c in columns])
-    ins = changes.filter(F.col("_ins").isNotNull())
+    ins = changes.filter("_ins IS NOT NULL")
     new_cols = []
     for c in columns:
         if c == "id":
-            new_cols.append(surrogate_id(*[F.col(k) for k in key_cols]).alias(c))
+            new_cols.append(f"{sql_surrogate_id(*[f'`{k}`' for k in key_cols])} AS id")
         elif c in key_cols:
-            new_cols.append(F.col(c))
+            new_cols.append(f"`{c}`")
         elif c in updated:
-            new_cols.append(F.col(f"_last.{c}").alias(c))
+            new_cols.append(f"_last.`{c}` AS `{c}`")
         else:
-            new_cols.append(F.col(f"_ins.{c}").alias(c))
-    return kept.unionByName(ins.select(*new_cols))
+            new_cols.append(f"_ins.`{c}` AS `{c}`")
+    return kept.unionByName(ins.selectExpr(*new_cols))
 
 
 def apply_status(registry: DataFrame, corrections: DataFrame, run_ts, order_col: str = "pos",

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.codes import logo_asset
+from ledgerline.functions.codes import sql_logo_asset
 from ledgerline.schemas import DEFAULT_LOGO_PREFIX, MONTHS_ES, RAW_COLUMNS
 from ledgerline.session import spread, table_path
 
@@ -50,11 +50,19 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load_spread(spark, sf_dir, "orders",
                     "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    d = F.to_date("o_orderdate")
     return (o.join(c, o.o_custkey == c.c_custkey)
-            .withColumn("fdate", d)
-            .withColumn("request_number", F.concat(F.lit("SD"), F.year(d).cast("string"), F.lit("/"),
-                                                   F.lpad(F.col("o_orderkey").cast("string"), 7, "0"))))
+            .selectExpr("*", "to_date(o_orderdate) AS fdate")
+            .selectExpr("*", "concat('SD', CAST(year(fdate) AS STRING), '/', "
+                             "lpad(CAST(o_orderkey AS STRING), 7, '0')) AS request_number"))
+
+
+MONTH_ARRAY = "array(" + ", ".join(f"'{w}'" for w in MONTH_WORDS) + ")"
+
+
+def sql_es_date(d: str) -> str:
+    """SQL text: DATE -> portal text 'd mmm. yyyy' (day not padded)."""
+    return (f"concat_ws(' ', CAST(dayofmonth({d}) AS STRING), element_at({MONTH_ARRAY}, month({d})), "
+            f"CAST(year({d}) AS STRING))")
 
 
 def es_date(d: Column) -> Column:
@@ -64,52 +72,39 @@ def es_date(d: Column) -> Column:
                        F.year(d).cast("string"))
 
 
-def _logo_url() -> Column:
-    return (F.when(F.col("o_totalprice") >= 250000, F.concat(F.lit(IMG_PREFIX), F.col("o_orderkey").cast("string")))
-            .otherwise(F.lit("")))
-
-
-def _common(b: DataFrame) -> dict[str, Column]:
-    d = F.col("fdate")
-    return {
-        "denomination": F.concat_ws(" ", "c_mktsegment", "o_orderpriority"),
-        "logo_url": _logo_url(),
-        "niza_class": (F.col("o_orderkey") % 45 + 1).cast("string"),
-        "gazette_number": (F.year(d) * 100 + F.month(d)).cast("string"),
-    }
+LOGO_URL = f"CASE WHEN o_totalprice >= 250000 THEN concat('{IMG_PREFIX}', CAST(o_orderkey AS STRING)) ELSE '' END"
+DENOMINATION = "concat_ws(' ', c_mktsegment, o_orderpriority)"
+NIZA = "CAST(o_orderkey % 45 + 1 AS STRING)"
+GAZETTE = "CAST(year(fdate) * 100 + month(fdate) AS STRING)"
+RAW_WORD = "CASE o_orderstatus WHEN 'F' THEN 'Registrada' WHEN 'O' THEN 'Bajo examen de fondo' ELSE 'Negada' END"
 
 
 def registry_from_orders(spark: SparkSession, sf_dir: str, prefix: str = DEFAULT_LOGO_PREFIX) -> DataFrame:
     """R: the stored registry (REGISTRY_COLUMNS)."""
-    b = order_base(spark, sf_dir).filter(F.col("o_orderpriority") != "1-URGENT")
-    com = _common(b)
-    d = F.col("fdate")
-    status = (F.when(F.col("o_orderstatus") == "F", "VIGENTE")
-              .when(F.col("o_orderstatus") == "O", "EXAMEN_DE_FONDO").otherwise("NEGADA"))
-    base = b.select(
-        F.concat(F.lit("reg-"), F.col("o_orderkey").cast("string")).alias("id"),
+    b = order_base(spark, sf_dir).filter("o_orderpriority <> '1-URGENT'")
+    base = b.selectExpr(
+        "concat('reg-', CAST(o_orderkey AS STRING)) AS id",
         "request_number",
-        F.concat(F.lit("R"), F.col("o_custkey").cast("string")).alias("registry_number"),
-        com["denomination"].alias("denomination"),
-        com["logo_url"].alias("logo_url"),
-        logo_asset("request_number", com["logo_url"], prefix).alias("logo"),
-        d.alias("filing_date"),
-        F.add_months(d, 120).alias("expiration_date"),
-        status.alias("status"),
-        F.upper("c_name").alias("holder"),
-        com["niza_class"].alias("niza_class"),
-        com["gazette_number"].alias("gazette_number"),
-        F.lit(REGISTRY_TS).cast("timestamp").alias("updated_at"),
-        F.lit("COLOMBIA").alias("badger_country"),
+        "concat('R', CAST(o_custkey AS STRING)) AS registry_number",
+        f"{DENOMINATION} AS denomination",
+        f"{LOGO_URL} AS logo_url",
+        f"{sql_logo_asset('request_number', LOGO_URL, prefix)} AS logo",
+        "fdate AS filing_date",
+        "add_months(fdate, 120) AS expiration_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'VIGENTE' WHEN 'O' THEN 'EXAMEN_DE_FONDO' ELSE 'NEGADA' END AS status",
+        "upper(c_name) AS holder",
+        f"{NIZA} AS niza_class",
+        f"{GAZETTE} AS gazette_number",
+        f"CAST('{REGISTRY_TS}' AS TIMESTAMP) AS updated_at",
+        "'COLOMBIA' AS badger_country",
         "o_orderpriority", "o_orderstatus", "o_orderkey")
-    ecuador = (base.filter(F.col("o_orderpriority") == "2-HIGH")
-               .withColumn("id", F.concat(F.lit("ec-"), F.col("o_orderkey").cast("string")))
-               .withColumn("status", F.lit("VIGENTE"))
-               .withColumn("badger_country", F.lit("ECUADOR")))
-    dup = (base.filter((F.col("o_orderpriority") == "3-MEDIUM") & (F.col("o_orderstatus") == "F"))
-           .withColumn("id", F.concat(F.lit("reg-dup-"), F.col("o_orderkey").cast("string")))
-           .withColumn("denomination", F.concat(F.lit("OLD "), F.col("denomination"))))
     cols = [c for c in base.columns if c not in ("o_orderpriority", "o_orderstatus", "o_orderkey")]
+    ecuador = (base.filter("o_orderpriority = '2-HIGH'")
+               .withColumns({"id": F.expr("concat('ec-', CAST(o_orderkey AS STRING))"),
+                             "status": F.lit("VIGENTE"), "badger_country": F.lit("ECUADOR")}))
+    dup = (base.filter("o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F'")
+           .withColumns({"id": F.expr("concat('reg-dup-', CAST(o_orderkey AS STRING))"),
+                         "denomination": F.expr("concat('OLD ', denomination)")}))
     return base.select(*cols).unionByName(ecuador.select(*cols)).unionByName(dup.select(*cols))
 
 
@@ -120,31 +115,22 @@ def raw_status_word(status_col: str = "o_orderstatus") -> Column:
 
 def snapshot_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N: one raw portal record per order (RAW_COLUMNS + o_orderkey, o_custkey, fdate)."""
-    b = order_base(spark, sf_dir).filter(F.col("o_orderpriority") != "5-LOW")
-    com = _common(b)
-    d = F.col("fdate")
-    k = F.col("o_orderkey")
-    filing = es_date(d)
-    filing = F.when(k % 11 == 0, F.upper(filing)).otherwise(filing)
-    expiration = F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(es_date(F.add_months(d, 120)))
-    status = F.when(k % 7 == 0, F.lit("Cancelada")).otherwise(raw_status_word())
-    reg_no = F.concat(F.lit("R"), F.col("o_custkey").cast("string"))
-    holder = (F.when(F.col("c_acctbal") < 0, F.array(F.col("c_name"), F.lit("Socio; Dos")))
-              .otherwise(F.array(F.concat(F.lit("  "), F.lower("c_name"), F.lit(" ")))))
-    denom = F.when(F.col("o_totalprice") > 400000, F.concat(com["denomination"], F.lit(" PLUS"))) \
-        .otherwise(com["denomination"])
-    return b.select(
+    b = order_base(spark, sf_dir).filter("o_orderpriority <> '5-LOW'")
+    es = sql_es_date("fdate")
+    return b.selectExpr(
         "request_number",
-        F.when(F.col("o_orderstatus") == "O", F.concat(F.lit(" "), reg_no, F.lit(" "))).otherwise(reg_no)
-        .alias("registry_number"),
-        denom.alias("denomination"),
-        com["logo_url"].alias("logo_url"),
-        filing.alias("filing_date"),
-        expiration.alias("expiration_date"),
-        status.alias("status"),
-        holder.alias("holder"),
-        com["niza_class"].alias("niza_class"),
-        com["gazette_number"].alias("gazette_number"),
+        "CASE WHEN o_orderstatus = 'O' THEN concat(' R', CAST(o_custkey AS STRING), ' ') "
+        "ELSE concat('R', CAST(o_custkey AS STRING)) END AS registry_number",
+        f"CASE WHEN o_totalprice > 400000 THEN concat({DENOMINATION}, ' PLUS') ELSE {DENOMINATION} END AS denomination",
+        f"{LOGO_URL} AS logo_url",
+        f"CASE WHEN o_orderkey % 11 = 0 THEN upper({es}) ELSE {es} END AS filing_date",
+        f"CASE WHEN o_orderkey % 13 = 0 THEN CAST(NULL AS STRING) ELSE {sql_es_date('add_months(fdate, 120)')} END"
+        " AS expiration_date",
+        f"CASE WHEN o_orderkey % 7 = 0 THEN 'Cancelada' ELSE {RAW_WORD} END AS status",
+        "CASE WHEN c_acctbal < 0 THEN array(c_name, 'Socio; Dos') "
+        "ELSE array(concat('  ', lower(c_name), ' ')) END AS holder",
+        f"{NIZA} AS niza_class",
+        f"{GAZETTE} AS gazette_number",
         "o_orderkey", "o_custkey", "o_orderstatus", "fdate")
 
 
