@@ -43,80 +43,97 @@ def _d(x) -> Column:
     return F.to_date(F.lit(str(x)))
 
 
+def _date(x) -> str:
+    return f"DATE'{dt.date.fromisoformat(str(x)).isoformat()}'"
+
+
 def slice_name(lo, hi, tag) -> Column:
     """dd_MM_yyyy_dd_MM_yyyy_TAG."""
     return F.concat_ws("_", F.date_format(lo, "dd_MM_yyyy"), F.date_format(hi, "dd_MM_yyyy"), tag)
 
 
-def _finish(starts: DataFrame, hi_expr: Column, tag: str, kind: str) -> DataFrame:
-    t = F.lit(tag)
-    return (starts.select(F.col("lo"), hi_expr.alias("hi"))
-            .select(slice_name(F.col("lo"), F.col("hi"), t).alias("slice_id"), "lo", "hi",
-                    t.alias("tag"), F.lit(kind).alias("kind")))
+def _slice_sql(starts: str, hi: str, tag: str, kind: str) -> str:
+    """SQL text of a plan part: one row per start date, ``hi`` over column ``lo``."""
+    return (f"SELECT concat_ws('_', date_format(lo, 'dd_MM_yyyy'), date_format(hi, 'dd_MM_yyyy'), '{tag}') "
+            f"AS slice_id, lo, hi, '{tag}' AS tag, '{kind}' AS kind "
+            f"FROM (SELECT lo, {hi} AS hi FROM (SELECT explode({starts}) AS lo))")
+
+
+def year_sql(lo, hi, years: int, tag: str = "ACTIVE") -> str:
+    n = (dt.date.fromisoformat(str(hi)).year - dt.date.fromisoformat(str(lo)).year) // years + 1
+    starts = (f"filter(transform(sequence(0, {n - 1}), i -> add_months({_date(lo)}, i * {12 * years})), "
+              f"d -> d <= {_date(hi)})")
+    return _slice_sql(starts, f"least(date_sub(add_months(lo, {12 * years}), 1), {_date(hi)})", tag, "year")
+
+
+def month_sql(lo, hi, tag: str = "ACTIVE") -> str:
+    starts = f"sequence(trunc({_date(lo)}, 'MM'), {_date(hi)}, INTERVAL 1 MONTH)"
+    return _slice_sql(starts, f"least(last_day(lo), {_date(hi)})", tag, "month")
 
 
-def _starts(spark: SparkSession, first: Column, last, step: str) -> DataFrame:
-    return (spark.range(1)
-            .select(F.explode(F.sequence(first, _d(last), F.expr(f"INTERVAL {step}"))).alias("lo")))
+def week_sql(lo, hi, tag: str = "ACTIVE") -> str:
+    starts = f"sequence({_date(lo)}, {_date(hi)}, INTERVAL 7 DAYS)"
+    return _slice_sql(starts, f"least(date_add(lo, 6), {_date(hi)})", tag, "week")
+
+
+def day_sql(lo, hi, tag: str = "ACTIVE") -> str:
+    return _slice_sql(f"sequence({_date(lo)}, {_date(hi)}, INTERVAL 1 DAY)", "lo", tag, "day")
 
 
 def year_slices(spark: SparkSession, lo, hi, years: int, tag: str = "ACTIVE") -> DataFrame:
     """G1: blocks of ``years`` years from ``lo``; each ends the day before the
     next anniversary (29 Feb -> 28 Feb in common years), capped at ``hi``.
     Starts are computed from ``lo`` (D15)."""
-    n = (dt.date.fromisoformat(str(hi)).year - dt.date.fromisoformat(str(lo)).year) // years + 1
-    starts = (spark.range(n).select(F.add_months(_d(lo), (F.col("id") * (12 * years)).cast("int")).alias("lo"))
-              .filter(F.col("lo") <= _d(hi)))
-    nxt = F.add_months(F.col("lo"), 12 * years)
-    return _finish(starts, F.least(F.date_sub(nxt, 1), _d(hi)), tag, "year")
+    return spark.sql(year_sql(lo, hi, years, tag))
 
 
 def month_slices(spark: SparkSession, lo, hi, tag: str = "ACTIVE") -> DataFrame:
     """Calendar months; the first slice starts on the 1st of ``lo``'s month."""
-    starts = _starts(spark, F.trunc(_d(lo), "MM"), hi, "1 MONTH")
-    return _finish(starts, F.least(F.last_day("lo"), _d(hi)), tag, "month")
+    return spark.sql(month_sql(lo, hi, tag))
 
 
 def week_slices(spark: SparkSession, lo, hi, tag: str = "ACTIVE") -> DataFrame:
     """7-day blocks anchored at ``lo`` (not ISO weeks), capped at ``hi``."""
-    starts = _starts(spark, _d(lo), hi, "7 DAYS")
-    return _finish(starts, F.least(F.date_add("lo", 6), _d(hi)), tag, "week")
+    return spark.sql(week_sql(lo, hi, tag))
 
 
 def day_slices(spark: SparkSession, lo, hi, tag: str = "ACTIVE") -> DataFrame:
     """One slice per day."""
-    starts = _starts(spark, _d(lo), hi, "1 DAY")
-    return _finish(starts, F.col("lo"), tag, "day")
+    return spark.sql(day_sql(lo, hi, tag))
+
+
+def _history_parts(tag: str) -> list[str]:
+    parts = [year_sql(lo, hi, n, tag) for lo, hi, n in HISTORY_YEAR_RANGES]
+    return parts + [month_sql(*HISTORY_MONTHS, tag=tag), week_sql(*HISTORY_WEEKS, tag=tag)]
+
+
+def _recent_parts(today, tag: str) -> list[str]:
+    return [week_sql(*RECENT_WEEKS, tag=tag), day_sql(*RECENT_DAYS, tag=tag),
+            week_sql(RECENT_OPEN_WEEKS_FROM, today, tag=tag)]
 
 
 def history_plan(spark: SparkSession, tag: str = "ACTIVE") -> DataFrame:
     """7 year slices, 311 month slices, 214 week slices (532)."""
-    parts = [year_slices(spark, lo, hi, n, tag) for lo, hi, n in HISTORY_YEAR_RANGES]
-    parts.append(month_slices(spark, *HISTORY_MONTHS, tag=tag))
-    parts.append(week_slices(spark, *HISTORY_WEEKS, tag=tag))
-    return _union(parts)
+    return spark.sql(" UNION ALL ".join(_history_parts(tag)))
 
 
 def recent_plan(spark: SparkSession, today, tag: str = "ACTIVE") -> DataFrame:
     """Weeks 2019..2022-12-27, four days, then weeks from 2023-01-01 to ``today``."""
-    return _union([week_slices(spark, *RECENT_WEEKS, tag=tag),
-                   day_slices(spark, *RECENT_DAYS, tag=tag),
-                   week_slices(spark, RECENT_OPEN_WEEKS_FROM, today, tag=tag)])
+    return spark.sql(" UNION ALL ".join(_recent_parts(today, tag)))
 
 
 def full_plan(spark: SparkSession, today, tags=("ACTIVE", "INACTIVE")) -> DataFrame:
     """History then recent, for each state tag."""
-    return _union([p for t in tags for p in (history_plan(spark, t), recent_plan(spark, today, t))])
+    return spark.sql(" UNION ALL ".join(p for t in tags for p in _history_parts(t) + _recent_parts(today, t)))
 
 
 def class_plan(spark: SparkSession, n: int = CLASS_COUNT) -> DataFrame:
     """One slice per class code 1..n, named niza_{n}_1900_1900_ACTIVE,
     over the sentinel date (P11)."""
-    d = _d(CLASS_SENTINEL)
-    return (spark.range(1, n + 1)
-            .select(F.concat(F.lit("niza_"), F.col("id").cast("string"), F.lit("_1900_1900_ACTIVE"))
-                    .alias("slice_id"), d.alias("lo"), d.alias("hi"), F.lit("ACTIVE").alias("tag"),
-                    F.lit("class").alias("kind"), F.col("id").cast("string").alias("class_code")))
+    return spark.range(1, n + 1).selectExpr(
+        "concat('niza_', CAST(id AS STRING), '_1900_1900_ACTIVE') AS slice_id",
+        f"{_date(CLASS_SENTINEL)} AS lo", f"{_date(CLASS_SENTINEL)} AS hi", "'ACTIVE' AS tag", "'class' AS kind",
+        "CAST(id AS STRING) AS class_code")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -142,15 +159,14 @@ def assign_slices(df: DataFrame, date_col: str, plan: DataFrame, tag_col: str |
     With ``tag_col`` the slice must also carry the row's state tag. Rows with
     a NULL date, or outside the plan, fall in no slice and are dropped.
     """
-    binned = plan.select("slice_id", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
-                         F.col("tag").alias("_tag"), F.col("kind"),
-                         F.explode(F.sequence(_month_bin(F.col("lo")), _month_bin(F.col("hi")))).alias("_bin"))
-    rows = df.withColumn("_bin", _month_bin(F.col(date_col)))
-    cond = [rows["_bin"] == binned["_bin"], F.col(date_col).between(binned["_lo"], binned["_hi"])]
+    binned = plan.selectExpr("slice_id", "lo AS _lo", "hi AS _hi", "tag AS _tag", "kind",
+                             "explode(sequence(year(lo) * 12 + month(lo) - 1, year(hi) * 12 + month(hi) - 1)) AS _pbin")
+    rows = df.withColumn("_bin", F.expr(f"year(`{date_col}`) * 12 + month(`{date_col}`) - 1"))
+    cond = f"_bin = _pbin AND `{date_col}` BETWEEN _lo AND _hi"
     if tag_col is not None:
-        cond.append(F.col(tag_col) == binned["_tag"])
-    plan_side = _bounded(binned.drop("_tag") if tag_col is None else binned, limit)
-    return rows.join(plan_side, cond, "inner").drop("_bin", "_lo", "_hi", "_tag")
+        cond += f" AND `{tag_col}` = _tag"
+    plan_side = _bounded(binned, limit)
+    return rows.join(plan_side, F.expr(cond), "inner").drop("_bin", "_pbin", "_lo", "_hi", "_tag")
 
 
 def date_range_rows(df: DataFrame, date_col: str, lo, hi, state_col: str | None = None,
