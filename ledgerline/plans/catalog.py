@@ -403,6 +403,76 @@ def q_stream_sync(spark, sf_dir):
     return iso_text(spark.read.parquet(f"{root}/registry/snapshot={version}"))
 
 
+# --- registry scans and sink round trips -------------------------------------------
+
+def q_registry_scan(spark, sf_dir):
+    """S5 + P8: the compared columns of the COLOMBIA registry rows."""
+    from ledgerline.sources.registry import scan_registry
+    return iso_text(scan_registry(derived.registry_from_orders(spark, sf_dir)))
+
+
+def q_registry_lookup(spark, sf_dir):
+    """S6 + J2: registry rows (COLOMBIA) whose key is in the snapshot, via a semi join."""
+    from ledgerline.sources.registry import lookup_registry
+    keys = derived.snapshot_from_orders(spark, sf_dir).select(KEY)
+    return iso_text(lookup_registry(derived.registry_from_orders(spark, sf_dir), keys))
+
+
+def q_active_keys(spark, sf_dir):
+    """S7 + P7 + A3: distinct keys with an active status, any country."""
+    from ledgerline.sources.registry import scan_active_keys
+    return scan_active_keys(derived.registry_from_orders(spark, sf_dir))
+
+
+def _landed_snapshot(spark, sf_dir) -> str:
+    snap = derived.snapshot_from_orders(spark, sf_dir)
+    landing = scratch_dir(spark, "landing")
+    writers.write_snapshot_json(
+        snap.select(F.concat(F.lit("niza_"), F.col("niza_class")).alias("slice_id"),
+                    F.col("o_orderkey").alias("pos"), *RAW_COLUMNS), landing)
+    return landing
+
+
+def q_landed_raw_keys(spark, sf_dir):
+    """Distinct raw keys over the landed snapshot files, before normalisation."""
+    landing = _landed_snapshot(spark, sf_dir)
+    return snapshots.raw_keys(snapshots.read_files(spark, landing, glob="*.txt", recursive=True))
+
+
+def q_missing_roundtrip(spark, sf_dir):
+    """K5 -> S8: the sorted missing-keys CSV written and read back."""
+    out = scratch_dir(spark, "missing")
+    writers.write_missing(q_missing_keys(spark, sf_dir), out)
+    return snapshots.read_missing(spark, out)
+
+
+def q_report_roundtrip(spark, sf_dir):
+    """K4: the change report written as CSV (batch order, header) and read back."""
+    out = scratch_dir(spark, "report")
+    writers.write_change_report(_sync(spark, sf_dir).report, out)
+    return (spark.read.option("header", True)
+            .schema("request_number STRING, changed BOOLEAN, columns_changed STRING").csv(out))
+
+
+def q_corrections_roundtrip(spark, sf_dir):
+    """K7 -> S9 -> C3: lookups written as JSON lines, read back in order and applied."""
+    out = scratch_dir(spark, "corrections")
+    writers.write_corrections(corrections_from_orders(spark, sf_dir).orderBy("pos"), out)
+    corr = snapshots.read_correction_lines(spark, out)
+    new_reg, _ = jobs.apply_corrections(corr, derived.registry_from_orders(spark, sf_dir), derived.RUN_TS)
+    return iso_text(new_reg.select("id", KEY, "badger_country", "status", "updated_at"))
+
+
+def q_verify_and_correct(spark, sf_dir):
+    """C4: missing active keys -> their detail pages (X4) -> corrections (C3) -> registry."""
+    reg = derived.registry_from_orders(spark, sf_dir)
+    seen = derived.snapshot_from_orders(spark, sf_dir).select(KEY)
+    lookups = pages.detail_status(derived.detail_pages(spark, sf_dir)) \
+        .withColumn("pos", F.lit(0).cast("bigint"))
+    _, new_reg, _ = jobs.verify_and_correct(seen, reg, lookups, derived.RUN_TS)
+    return iso_text(new_reg.select("id", KEY, "badger_country", "status", "updated_at"))
+
+
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
@@ -438,5 +508,13 @@ QUERIES: dict[str, Query] = {
     "holder_normalise": q_holder_normalise,
     "status_mapping": q_status_mapping,
     "stream_sync": q_stream_sync,
+    "registry_scan": q_registry_scan,
+    "registry_lookup": q_registry_lookup,
+    "active_keys": q_active_keys,
+    "landed_raw_keys": q_landed_raw_keys,
+    "missing_roundtrip": q_missing_roundtrip,
+    "report_roundtrip": q_report_roundtrip,
+    "corrections_roundtrip": q_corrections_roundtrip,
+    "verify_and_correct": q_verify_and_correct,
 }
 

@@ -480,3 +480,41 @@ FROM w"""
 
 # Streaming over the landed feeds must end where the batch job ends.
 ORACLE["stream_sync"] = ORACLE["feeds_registry"]
+
+ORACLE["registry_scan"] = _with(OB, REG) + """
+SELECT request_number, registry_number, denomination, logo_url, CAST(filing_date AS VARCHAR) AS filing_date,
+       CAST(expiration_date AS VARCHAR) AS expiration_date, status, holder, niza_class, gazette_number
+FROM reg WHERE badger_country = 'COLOMBIA'"""
+
+ORACLE["registry_lookup"] = _with(OB, REG, SNAP) + """
+SELECT request_number, registry_number, denomination, logo_url, CAST(filing_date AS VARCHAR) AS filing_date,
+       CAST(expiration_date AS VARCHAR) AS expiration_date, status, holder, niza_class, gazette_number
+FROM reg WHERE badger_country = 'COLOMBIA' AND request_number IN (SELECT request_number FROM snap)"""
+
+ORACLE["active_keys"] = _with(OB, REG) + f"""
+SELECT DISTINCT request_number FROM reg WHERE status IN ({ACTIVE})"""
+
+ORACLE["landed_raw_keys"] = _with(OB, SNAP) + """
+SELECT DISTINCT request_number FROM snap"""
+
+ORACLE["missing_roundtrip"] = ORACLE["missing_keys"]
+
+ORACLE["report_roundtrip"] = ORACLE["sync_report"]
+
+ORACLE["corrections_roundtrip"] = ORACLE["apply_corrections"]
+
+# Detail pages: finished orders read 'Registrada' (no correction mapping), open
+# ones 'Bajo examen de fondo' (EXAMEN_DE_FONDO), pending ones have no label.
+ORACLE["verify_and_correct"] = _with(OB, REG, SNAP) + f"""
+, missing AS (
+  SELECT DISTINCT request_number FROM reg
+  WHERE status IN ({ACTIVE}) AND request_number NOT IN (SELECT request_number FROM snap)),
+fix AS (
+  SELECT m.request_number FROM missing m JOIN ob ON ob.request_number = m.request_number
+  WHERE ob.o_orderstatus = 'O')
+SELECT r.id, r.request_number, r.badger_country,
+       CASE WHEN f.request_number IS NOT NULL AND r.badger_country = 'COLOMBIA' THEN 'EXAMEN_DE_FONDO'
+            ELSE r.status END AS status,
+       CAST(CASE WHEN f.request_number IS NOT NULL AND r.badger_country = 'COLOMBIA' THEN TIMESTAMP '{RUN_TS}'
+                 ELSE r.updated_at END AS VARCHAR) AS updated_at
+FROM reg r LEFT JOIN fix f ON f.request_number = r.request_number"""
