@@ -100,16 +100,19 @@ def diff_batch(new: DataFrame, registry: DataFrame, key_cols=DEFAULT_KEYS, compa
 
 def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: str = "batch_no",
                   key_cols=DEFAULT_KEYS, compared=COMPARED, tiebreak: str = "id",
-                  bucket_size: int | None = 1024) -> DataFrame:
-    """Classify every (key, batch) version against the key's previous version.
-
-    ``versions`` holds at most one row per (key, ``order_col``) (apply W1
-    first); ``order_col`` is a non-negative integer batch number. The
-    registry (deduplicated per key, W4) acts as version -1. Returns the
-    rows of ``versions`` with ``change_type`` and ``columns_changed``.
-
-    ``bucket_size=None`` uses one window per key; otherwise the two-level
-    form bounds every window group to ``bucket_size`` versions.
+                  bucket_size: int | None = 1024, pos_col: str | None = None) -> DataFrame:
+    """W2 (+ W1): classify every (key, batch) version against the key's previous version.
+
+    ``order_col`` is a non-negative integer batch number. With ``pos_col``
+    the first row per (key, batch) by that position is kept (W1), otherwise
+    ``versions`` must already hold one row per (key, batch). The registry
+    (deduplicated per key by an aggregate, W4) acts as version -1. Returns
+    the kept version rows with ``change_type`` and ``columns_changed``.
+
+    Rows are hash-partitioned once by (key, batch bucket); the first-row
+    window, the lag window and the bucket tails all reuse that partitioning,
+    and a window group never exceeds ``bucket_size`` batches of one key.
+    ``bucket_size=None`` uses one window group per key.
     """
     key_cols = list(key_cols)
     v = versions.withColumn("_norm", _norm_struct(compared)).withColumn("_is_base", F.lit(False))
@@ -120,12 +123,16 @@ def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: st
                            _norm_struct(compared).alias("_norm"), F.lit(True).alias("_is_base"))
         v = v.unionByName(base, allowMissingColumns=True)
 
+    bucket = (F.lit(0) if bucket_size is None
+              else F.greatest(F.floor(F.col(order_col) / F.lit(bucket_size)), F.lit(0)))
+    v = v.withColumn("_bucket", bucket).repartition(*key_cols, "_bucket")
+    if pos_col is not None:
+        w0 = Window.partitionBy(*key_cols, "_bucket", order_col).orderBy(pos_col)
+        v = v.withColumn("_rn", F.row_number().over(w0)).filter("_rn = 1").drop("_rn")
+    w1 = Window.partitionBy(*key_cols, "_bucket").orderBy(order_col)
     if bucket_size is None:
-        w = Window.partitionBy(*key_cols).orderBy(order_col)
-        v = v.withColumn("_prev", F.lag("_norm").over(w))
+        v = v.withColumn("_prev", F.lag("_norm").over(w1)).drop("_bucket")
     else:
-        v = v.withColumn("_bucket", F.greatest(F.floor(F.col(order_col) / F.lit(bucket_size)), F.lit(0)))
-        w1 = Window.partitionBy(*key_cols, "_bucket").orderBy(order_col)
         v = (v.withColumn("_prev_in", F.lag("_norm").over(w1))
              .withColumn("_is_tail", F.lead(F.lit(1)).over(w1).isNull()))
         # Last version of each (key, bucket), taken from the same windowed

@@ -37,8 +37,8 @@ def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = CO
     (position in the batch); extra columns such as ``batch_id`` pass through.
     """
     norm = normalise.normalise(raw, run_ts, country=country, logo_prefix=logo_prefix, status_map=status_map)
-    versions = diff.first_per_key(norm, ["batch_no", "badger_country", KEY], "pos")
-    classified = diff.version_chain(versions, registry, "batch_no", bucket_size=bucket_size)
+    # W1 (first record per key and file) runs inside the chain, on its partitioning.
+    classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos")
     if persist:
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     rejects = normalise.reject_missing_key(raw).unionByName(normalise.reject_bad_dates(raw))
