@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import (
-    clean_text, coalesce_blank, crawler_text, dom_text, html_unescape, html_unescape_all, split_br, strip_tags,
+    BR_SPLIT, clean_text, coalesce_blank, dom_text, html_unescape, html_unescape_all, sql_lit, sql_strip,
 )
 from ledgerline.operators.normalise import blank_row
 from ledgerline.schemas import (
@@ -24,6 +24,10 @@ from ledgerline.schemas import (
 FIRST_DATA_ROW = 2
 LAST_DATA_ROW = 202
 
+GRID_RE = r'(?is)<table\b[^>]*\bid="' + GRID_ID + r'"[^>]*>(.*?)</table>'
+PICTURE_RE = r"(?is)(<a\b[^>]*hlnkCasePicture_\d+[^>]*>)"
+HREF_RE = r'(?is)\bhref="([^"]*)"'
+TAG_RE = r"(?s)<[^>]*>"
 TR = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 TD = r"(?is)<td\b[^>]*>(.*?)</td>"
 TH = r"(?is)<th\b[^>]*>(.*?)</th>"
@@ -59,52 +63,57 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     crawler did; the holder cell is read as inner HTML and split on <br>.
     All cells of a line are decoded together: two Arrow calls per batch.
     """
-    keep = list(keep)
-    trs = pages.select(*keep, F.regexp_extract_all(_grid(F.col(html_col)), F.lit(TR), 1).alias("_trs"))
-    header = F.try_element_at(F.col("_trs"), F.lit(1))
-    th6 = F.try_element_at(F.regexp_extract_all(header, F.lit(TH), 1), F.lit(6))
-    has_filing = F.coalesce(clean_text(th6).contains(HEADER_WITH_FILING), F.lit(False))
+    keep = [f"`{k}`" for k in keep]
+    grid = f"regexp_extract(`{html_col}`, {sql_lit(GRID_RE)}, 1)"
+    trs = pages.selectExpr(*keep, f"regexp_extract_all({grid}, {sql_lit(TR)}, 1) AS _trs")
+    th6 = f"try_element_at(regexp_extract_all(try_element_at(_trs, 1), {sql_lit(TH)}, 1), 6)"
+    has_filing = F.coalesce(clean_text(F.expr(th6)).contains(HEADER_WITH_FILING), F.lit(False))
     # Position of the first data row lacking cell 2: reading stops there.
-    lacks_td2 = F.transform("_trs", lambda tr, i: (i + 1 >= FIRST_DATA_ROW) &
-                            (F.size(F.regexp_extract_all(tr, F.lit(TD), 1)) < 2))
-    stop = F.array_position(lacks_td2, True)
+    stop = (f"array_position(transform(_trs, (tr, i) -> i + 1 >= {FIRST_DATA_ROW} AND "
+            f"size(regexp_extract_all(tr, {sql_lit(TD)}, 1)) < 2), true)")
     # Page-level values first: in the exploding select they would run per line.
-    lines = (trs.select(*keep, "_trs", has_filing.alias("_has_filing"), stop.alias("_stop"))
-             .select(*keep, "_has_filing", "_stop", F.posexplode("_trs").alias("_i", "_tr"))
-             .withColumn("row_no", F.col("_i") + 1)
-             .filter((F.col("row_no") >= FIRST_DATA_ROW) & (F.col("row_no") <= LAST_DATA_ROW) &
-                     ((F.col("_stop") == 0) | (F.col("row_no") < F.col("_stop"))))
-             .select(*keep, "row_no", "_has_filing", "_tr",
-                     F.regexp_extract_all(F.col("_tr"), F.lit(TD), 1).alias("_tds")))
+    lines = (trs.select(*[F.col(k) for k in keep], "_trs", has_filing.alias("_has_filing"),
+                        F.expr(stop).alias("_stop"))
+             .selectExpr(*keep, "_has_filing", "_stop", "posexplode(_trs) AS (_i, _tr)")
+             .filter(f"_i + 1 BETWEEN {FIRST_DATA_ROW} AND {LAST_DATA_ROW} AND (_stop = 0 OR _i + 1 < _stop)")
+             .selectExpr(*keep, "_i + 1 AS row_no", "_has_filing", "_tr",
+                         f"regexp_extract_all(_tr, {sql_lit(TD)}, 1) AS _tds"))
 
-    def cell(n: int) -> Column:
-        return F.coalesce(F.try_element_at(F.col("_tds"), F.lit(n)), F.lit(""))
+    def cell(n: int) -> str:
+        return f"coalesce(try_element_at(_tds, {n}), '')"
 
-    def pick(with_filing: int, without: int) -> Column:
-        return F.when(F.col("_has_filing"), cell(with_filing)).otherwise(cell(without))
+    def pick(with_filing: int, without: int) -> str:
+        return f"CASE WHEN _has_filing THEN {cell(with_filing)} ELSE {cell(without)} END"
 
     # Text cells in output order; slot 3 is the filing date ('' without that column).
-    text_cells = [cell(2), cell(3), cell(4), F.when(F.col("_has_filing"), cell(6)).otherwise(F.lit("")),
+    text_cells = [cell(2), cell(3), cell(4), f"CASE WHEN _has_filing THEN {cell(6)} ELSE '' END",
                   pick(7, 6), pick(8, 7), pick(10, 9), pick(11, 10)]
     text_names = ["request_number", "registry_number", "denomination", "filing_date",
                   "expiration_date", "status", "niza_class", "gazette_number"]
     n = len(text_cells)
-    href = F.regexp_extract(F.regexp_extract(F.col("_tr"), r"(?is)(<a\b[^>]*hlnkCasePicture_\d+[^>]*>)", 1),
-                            r'(?is)\bhref="([^"]*)"', 1)
+    anchor = f"regexp_extract(_tr, {sql_lit(PICTURE_RE)}, 1)"
+    href = f"regexp_extract({anchor}, {sql_lit(HREF_RE)}, 1)"
+    tags = ", ".join(f"regexp_replace({c}, {sql_lit(TAG_RE)}, '')" for c in text_cells)
+    crawler = "replace(" + sql_strip("{x}") + ", '\\n', ' ')"
     # Pass 1: text content as the DOM gives it (and the anchor attribute).
-    dom = html_unescape_all(F.array(*[strip_tags(c) for c in text_cells], href))
-    step = lines.select(*keep, "row_no", dom.alias("_dom"), crawler_text(pick(9, 8)).alias("_hol"))
+    step = lines.select(*[F.col(k) for k in keep], "row_no",
+                        html_unescape_all(F.expr(f"array({tags}, {href})")).alias("_dom"),
+                        F.expr(crawler.format(x=pick(9, 8))).alias("_hol"))
     # Pass 2: the crawler's strip / newline / unescape, holder included.
-    second = html_unescape_all(F.concat(
-        F.transform(F.slice(F.col("_dom"), 1, n), crawler_text), F.array(F.col("_hol"))))
-    step = step.select(*keep, "row_no", F.col("_dom").getItem(n).alias("_href"), second.alias("_txt"))
-    out = step.select(
+    second = (f"concat(transform(slice(_dom, 1, {n}), x -> {crawler.format(x='x')}), array(_hol))")
+    step = step.select(*[F.col(k) for k in keep], "row_no", F.expr(f"_dom[{n}]").alias("_href"),
+                       html_unescape_all(F.expr(second)).alias("_txt"))
+    br = sql_lit(BR_SPLIT)
+    hol = f"_txt[{n}]"
+    holder = (f"CASE WHEN coalesce({hol}, '') = '' THEN CAST(array() AS ARRAY<STRING>) "
+              f"WHEN {hol} RLIKE {br} THEN transform(split({hol}, {br}, -1), p -> {sql_strip('p')}) "
+              f"ELSE array({hol}) END")
+    out = step.selectExpr(
         *keep, "row_no",
-        *[F.coalesce(F.col("_txt").getItem(i), F.lit("")).alias(name) for i, name in enumerate(text_names)],
-        F.when(F.coalesce(F.col("_href"), F.lit("")) != "", F.concat(F.col("_href"), F.lit(IMAGE_SUFFIX)))
-        .otherwise(F.lit("")).alias("logo_url"),
-        split_br(F.col("_txt").getItem(n)).alias("holder"))
-    return out.select(*keep, "row_no", *RAW_COLUMNS).filter(~blank_row(RAW_COLUMNS))
+        *[f"coalesce(_txt[{i}], '') AS {name}" for i, name in enumerate(text_names)],
+        f"CASE WHEN coalesce(_href, '') <> '' THEN concat(_href, {sql_lit(IMAGE_SUFFIX)}) ELSE '' END AS logo_url",
+        f"{holder} AS holder")
+    return out.select(*[F.col(k) for k in keep], "row_no", *RAW_COLUMNS).filter(~blank_row(RAW_COLUMNS))
 
 
 def result_count(pages: DataFrame, html_col: str = "html", cap: int = SLICE_CAP) -> DataFrame:

@@ -175,10 +175,6 @@ PAGE_ROWS = 200
 LISTING_ROWS = 2000
 
 
-def _td(x: Column) -> Column:
-    return F.concat(F.lit("<td>"), x, F.lit("</td>"))
-
-
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result-grid pages: a listing per 2000 consecutive order keys, pages of
     200 keys (so a page never exceeds 200 rows), rows in key order. Even
@@ -187,50 +183,41 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     render as blank rows. Cells carry padding, newlines, entities, <br>
     separated holders and picture anchors."""
     b = order_base(spark, sf_dir)
-    d = F.col("fdate")
-    k = F.col("o_orderkey")
-    blank = k % 97 == 0
-    with_filing = ((k / LISTING_ROWS).cast("bigint") % 2 == 0)
-    denom = F.concat_ws(" ", "c_mktsegment", F.lit("&amp; CO"), "o_orderpriority")
-    holder = F.when(F.col("c_acctbal") < 0, F.concat(F.col("c_name"), F.lit("<br>Socio &amp; Hijos"))) \
-        .otherwise(F.concat(F.lit("\n  "), F.col("c_name"), F.lit(" ")))
-    href = F.concat(F.lit(IMG_PREFIX), k.cast("string"), F.lit("?a=1&amp;b=2"))
-    row = F.struct(
-        k.alias("k"), blank.alias("blank"),
-        F.col("request_number").alias("rn"),
-        F.concat(F.lit(" R"), F.col("o_custkey").cast("string"), F.lit("\n")).alias("reg"),
-        denom.alias("den"),
-        F.when(F.col("o_totalprice") >= 250000, href).alias("href"),
-        es_date(d).alias("fil"), es_date(F.add_months(d, 120)).alias("exp"),
-        raw_status_word().alias("st"), holder.alias("hol"),
-        (k % 45 + 1).cast("string").alias("cls"),
-        (F.year(d) * 100 + F.month(d)).cast("string").alias("gaz"))
-    pages = (b.groupBy((k / LISTING_ROWS).cast("bigint").alias("listing_id"),
-                       ((k / PAGE_ROWS).cast("bigint") % (LISTING_ROWS // PAGE_ROWS)).alias("page_no"))
-             .agg(F.array_sort(F.collect_list(row)).alias("rows"), F.first(with_filing).alias("with_filing")))
-
-    def render(r: Column, i: Column) -> Column:
-        anchor = F.when(r["href"].isNotNull(), F.concat(
-            F.lit('<a id="' + GRID + '_hlnkCasePicture_'), i.cast("string"), F.lit('" href="'), r["href"],
-            F.lit('"><img src="x.png"></a>'))).otherwise(F.lit(""))
-        full = F.concat(_td((i + 1).cast("string")), _td(r["rn"]), _td(r["reg"]), _td(r["den"]), _td(anchor),
-                        F.when(F.col("with_filing"), _td(r["fil"])).otherwise(F.lit("")),
-                        _td(r["exp"]), _td(r["st"]), _td(r["hol"]), _td(r["cls"]), _td(r["gaz"]))
-        empty = F.concat(*[F.lit("<td></td>")] * 11)
-        return F.concat(F.lit('<tr class="row">'), F.when(r["blank"], empty).otherwise(full), F.lit("</tr>"))
-
-    th6 = F.when(F.col("with_filing"), F.lit("Fecha de radicación")).otherwise(F.lit("Fecha de vencimiento"))
-    header = F.concat(F.lit("<tr><th>#</th><th>Expediente</th><th>Registro</th><th>Signo</th><th>Logo</th><th>"),
-                      th6, F.lit("</th><th>Estado</th><th>Titular</th><th>Clase</th><th>Gaceta</th></tr>"))
-    body = F.array_join(F.transform("rows", render), "")
-    html = F.concat(
-        F.lit('<html><body><span id="MainContent_ctrlTMSearch_ctrlProcList_hdrNbItems">Resultados: '),
-        F.size("rows").cast("string"), F.lit('</span><table id="' + GRID + '" class="grid"><tbody>'),
-        header, body, F.lit('<tr class="gridview_pager"><td colspan="11"><span>1</span></td></tr>'),
-        F.lit("</tbody></table></body></html>"))
-    return pages.select(
-        F.concat(F.lit("L"), F.col("listing_id").cast("string"), F.lit("-"), F.col("page_no").cast("string"))
-        .alias("page_id"), "listing_id", "page_no", html.alias("html"))
+    row = (
+        "struct(o_orderkey AS k, o_orderkey % 97 = 0 AS blank, request_number AS rn, "
+        "concat(' R', CAST(o_custkey AS STRING), '\\n') AS reg, "
+        "concat_ws(' ', c_mktsegment, '&amp; CO', o_orderpriority) AS den, "
+        f"CASE WHEN o_totalprice >= 250000 THEN concat('{IMG_PREFIX}', CAST(o_orderkey AS STRING), '?a=1&amp;b=2') END "
+        f"AS href, {sql_es_date('fdate')} AS fil, {sql_es_date('add_months(fdate, 120)')} AS exp, "
+        f"{RAW_WORD} AS st, "
+        "CASE WHEN c_acctbal < 0 THEN concat(c_name, '<br>Socio &amp; Hijos') ELSE concat('\\n  ', c_name, ' ') END "
+        f"AS hol, {NIZA} AS cls, {GAZETTE} AS gaz)")
+    pages = (b.groupBy(F.expr(f"CAST(o_orderkey DIV {LISTING_ROWS} AS BIGINT)").alias("listing_id"),
+                       F.expr(f"CAST((o_orderkey DIV {PAGE_ROWS}) % {LISTING_ROWS // PAGE_ROWS} AS BIGINT)")
+                       .alias("page_no"))
+             .agg(F.expr(f"array_sort(collect_list({row}))").alias("rows"))
+             .withColumn("with_filing", F.expr("listing_id % 2 = 0")))
+
+    def td(x: str) -> str:
+        return f"'<td>', {x}, '</td>'"
+
+    anchor = (f"CASE WHEN r.href IS NOT NULL THEN concat('<a id=\"{GRID}_hlnkCasePicture_', CAST(i AS STRING), "
+              "'\" href=\"', r.href, '\"><img src=\"x.png\"></a>') ELSE '' END")
+    full = ("concat(" + ", ".join([td("CAST(i + 1 AS STRING)"), td("r.rn"), td("r.reg"), td("r.den"), td(anchor)])
+            + ", CASE WHEN with_filing THEN concat(" + td("r.fil") + ") ELSE '' END, "
+            + ", ".join([td("r.exp"), td("r.st"), td("r.hol"), td("r.cls"), td("r.gaz")]) + ")")
+    empty = "'" + "<td></td>" * 11 + "'"
+    render = f"concat('<tr class=\"row\">', CASE WHEN r.blank THEN {empty} ELSE {full} END, '</tr>')"
+    header = ("concat('<tr><th>#</th><th>Expediente</th><th>Registro</th><th>Signo</th><th>Logo</th><th>', "
+              "CASE WHEN with_filing THEN 'Fecha de radicación' ELSE 'Fecha de vencimiento' END, "
+              "'</th><th>Estado</th><th>Titular</th><th>Clase</th><th>Gaceta</th></tr>')")
+    html = ("concat('<html><body><span id=\"MainContent_ctrlTMSearch_ctrlProcList_hdrNbItems\">Resultados: ', "
+            f"CAST(size(rows) AS STRING), '</span><table id=\"{GRID}\" class=\"grid\"><tbody>', {header}, "
+            f"array_join(transform(rows, (r, i) -> {render}), ''), "
+            "'<tr class=\"gridview_pager\"><td colspan=\"11\"><span>1</span></td></tr></tbody></table></body></html>')")
+    return pages.selectExpr(
+        "concat('L', CAST(listing_id AS STRING), '-', CAST(page_no AS STRING)) AS page_id",
+        "listing_id", "page_no", f"{html} AS html")
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
