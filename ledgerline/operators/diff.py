@@ -100,7 +100,8 @@ def diff_batch(new: DataFrame, registry: DataFrame, key_cols=DEFAULT_KEYS, compa
 
 def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: str = "batch_no",
                   key_cols=DEFAULT_KEYS, compared=COMPARED, tiebreak: str = "id",
-                  bucket_size: int | None = 1024, pos_col: str | None = None) -> DataFrame:
+                  bucket_size: int | None = 1024, pos_col: str | None = None,
+                  max_order: int | None = None) -> DataFrame:
     """W2 (+ W1): classify every (key, batch) version against the key's previous version.
 
     ``order_col`` is a non-negative integer batch number. With ``pos_col``
@@ -112,9 +113,13 @@ def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: st
     Rows are hash-partitioned once by (key, batch bucket); the first-row
     window, the lag window and the bucket tails all reuse that partitioning,
     and a window group never exceeds ``bucket_size`` batches of one key.
-    ``bucket_size=None`` uses one window group per key.
+    ``bucket_size=None`` uses one window group per key. When ``max_order``
+    (the largest batch number) is known to be below ``bucket_size``, every
+    row is in bucket 0, the cross-bucket carry is empty and is skipped.
     """
     key_cols = list(key_cols)
+    if bucket_size is not None and max_order is not None and max_order < bucket_size:
+        bucket_size = None
     v = versions.withColumn("_norm", _norm_struct(compared)).withColumn("_is_base", F.lit(False))
     if registry is not None:
         base = dedup_registry(touched(registry.select(*key_cols, tiebreak, *compared), versions, key_cols),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.codes import sql_surrogate_id
-from ledgerline.operators.diff import DEFAULT_KEYS, latest_changes, last_per_key
+from ledgerline.operators.diff import DEFAULT_KEYS, INSERT, UPDATE, last_per_key
 from ledgerline.schemas import COUNTRY_COL, KEY, REGISTRY_COLUMNS, UPDATED
 
 
@@ -32,13 +32,21 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
     UPDATED columns of their last changed version.
     """
     key_cols = list(key_cols)
-    changes = latest_changes(classified, order_col, key_cols, updated)
-    upd = changes.filter("_ins IS NULL").select(*key_cols, "_last")
-    cur = registry.join(upd, key_cols, "left")
-    kept = cur.selectExpr(*[
-        (f"CASE WHEN _last IS NOT NULL THEN _last.`{c}` ELSE `{c}` END AS `{c}`" if c in updated else f"`{c}`")
-        for c in columns])
-    ins = changes.filter("_ins IS NOT NULL")
+    # W3 in one aggregate per changed key (shared by both branches below):
+    # UPDATED columns of the last changed version, and for a new key the
+    # insert-only columns of its INSERT version (the first one).
+    upd = ", ".join(f"`{c}`" for c in updated)
+    insert_only = [c for c in columns if c not in updated and c not in key_cols and c != "id"]
+    ins_cols = ", ".join(f"`{c}`" for c in insert_only) or "1 AS _none"
+    changes = (classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
+               .groupBy(*key_cols)
+               .agg(F.expr(f"max_by(struct({upd}), `{order_col}`)").alias("_last"),
+                    F.expr(f"min_by(struct({ins_cols}), CASE WHEN change_type = '{INSERT}' THEN `{order_col}` END)")
+                    .alias("_ins")))
+    # Registry keys: every stored row of a changed key takes those values.
+    kept = (registry.join(changes.filter("_ins IS NULL").select(*key_cols, "_last"), key_cols, "left")
+            .selectExpr(*[(f"CASE WHEN _last IS NOT NULL THEN _last.`{c}` ELSE `{c}` END AS `{c}`"
+                           if c in updated else f"`{c}`") for c in columns]))
     new_cols = []
     for c in columns:
         if c == "id":
@@ -49,7 +57,7 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
             new_cols.append(f"_last.`{c}` AS `{c}`")
         else:
             new_cols.append(f"_ins.`{c}` AS `{c}`")
-    return kept.unionByName(ins.selectExpr(*new_cols))
+    return kept.unionByName(changes.filter("_ins IS NOT NULL").selectExpr(*new_cols))
 
 
 def apply_status(registry: DataFrame, corrections: DataFrame, run_ts, order_col: str = "pos",

@@ -45,7 +45,7 @@ def iso_text(df: DataFrame) -> DataFrame:
 def _sync(spark: SparkSession, sf_dir: str) -> jobs.SyncResult:
     reg = derived.registry_from_orders(spark, sf_dir)
     raw = derived.snapshot_batch(derived.snapshot_from_orders(spark, sf_dir))
-    return jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False)
+    return jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0)
 
 
 def q_sync_report(spark, sf_dir):
@@ -316,7 +316,7 @@ def q_json_rejects(spark, sf_dir):
 def _feeds_sync(spark, sf_dir):
     reg = derived.registry_from_orders(spark, sf_dir)
     feeds = derived.feeds_from_snapshot(derived.snapshot_from_orders(spark, sf_dir))
-    return jobs.sync_registry(feeds, reg, derived.RUN_TS, persist=False)
+    return jobs.sync_registry(feeds, reg, derived.RUN_TS, persist=False, max_batch=derived.MAX_FEED_BATCH)
 
 
 def q_union_feeds(spark, sf_dir):
@@ -392,8 +392,8 @@ def q_stream_sync(spark, sf_dir):
     root = scratch_dir(spark, "stream")
     snap = derived.snapshot_from_orders(spark, sf_dir)
     feeds = derived.feeds_from_snapshot(snap)
-    class_feed = feeds.filter(F.col("batch_no") < 100000)
-    month_feed = feeds.filter(F.col("batch_no") >= 100000)
+    class_feed = feeds.filter(F.col("batch_no") < derived.FEED_MONTH_BASE)
+    month_feed = feeds.filter(F.col("batch_no") >= derived.FEED_MONTH_BASE)
     for i, feed in enumerate((class_feed, month_feed), start=1):
         writers.write_snapshot_json(feed.withColumn("slice_id", F.col("batch_no").cast("string")),
                                     f"{root}/landing/feed={i}")

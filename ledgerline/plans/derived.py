@@ -140,19 +140,26 @@ def snapshot_batch(snap: DataFrame, batch_no: int = 0) -> DataFrame:
                        F.col("o_orderkey").cast("bigint").alias("pos"), *RAW_COLUMNS)
 
 
+FEED_MONTH_BASE = 100  # month-feed batch numbers start here, after the class feed (1..45)
+FEED_MONTH_EPOCH = 1990
+MAX_FEED_BATCH = FEED_MONTH_BASE + (int(TODAY[:4]) - FEED_MONTH_EPOCH + 1) * 12
+
+
 def feeds_from_snapshot(snap: DataFrame) -> DataFrame:
     """U4: the same records landed twice, by class then by month.
 
     Class feed: batch = class number (1..45). Month feed: batch =
-    100000 + yyyymm, with status 'Publicada' for order keys divisible by 5.
+    100 + months since 1990-01 (1-based), with status 'Publicada' for order
+    keys divisible by 5. Batch numbers stay below MAX_FEED_BATCH.
     """
-    d = F.col("fdate")
-    by_class = snap.select(F.col("niza_class").cast("bigint").alias("batch_no"),
-                           F.col("o_orderkey").cast("bigint").alias("pos"), *RAW_COLUMNS)
-    month_status = F.when(F.col("o_orderkey") % 5 == 0, F.lit("Publicada")).otherwise(F.col("status"))
-    by_month = snap.select((F.lit(100000) + F.year(d) * 100 + F.month(d)).cast("bigint").alias("batch_no"),
-                           F.col("o_orderkey").cast("bigint").alias("pos"),
-                           *[month_status.alias(c) if c == "status" else F.col(c) for c in RAW_COLUMNS])
+    cols = [c for c in RAW_COLUMNS if c != "status"]
+    by_class = snap.selectExpr("CAST(niza_class AS BIGINT) AS batch_no", "CAST(o_orderkey AS BIGINT) AS pos",
+                               *RAW_COLUMNS)
+    by_month = snap.selectExpr(
+        f"CAST({FEED_MONTH_BASE} + (year(fdate) - {FEED_MONTH_EPOCH}) * 12 + month(fdate) AS BIGINT) AS batch_no",
+        "CAST(o_orderkey AS BIGINT) AS pos", *cols,
+        "CASE WHEN o_orderkey % 5 = 0 THEN 'Publicada' ELSE status END AS status").select(
+        "batch_no", "pos", *RAW_COLUMNS)
     return by_class.unionByName(by_month)
 
 

@@ -30,15 +30,18 @@ class SyncResult:
 
 def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = COUNTRY,
                   logo_prefix: str = DEFAULT_LOGO_PREFIX, status_map: dict = STATUS_RAW,
-                  bucket_size: int | None = 1024, persist: bool = True) -> SyncResult:
+                  bucket_size: int | None = 1024, persist: bool = True,
+                  max_batch: int | None = None) -> SyncResult:
     """Apply landed raw batches to the registry.
 
     ``raw`` holds RAW_COLUMNS plus ``batch_no`` (processing order) and ``pos``
     (position in the batch); extra columns such as ``batch_id`` pass through.
+    ``max_batch`` is the largest batch number when known (e.g. files - 1).
     """
     norm = normalise.normalise(raw, run_ts, country=country, logo_prefix=logo_prefix, status_map=status_map)
     # W1 (first record per key and file) runs inside the chain, on its partitioning.
-    classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos")
+    classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos",
+                                    max_order=max_batch)
     if persist:
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     rejects = normalise.reject_missing_key(raw).unionByName(normalise.reject_bad_dates(raw))

@@ -381,7 +381,7 @@ feeds AS (
          badger_country
   FROM snap
   UNION ALL
-  SELECT 100000 + year(odate) * 100 + month(odate), o_orderkey, request_number, registry_number, denomination,
+  SELECT 100 + (year(odate) - 1990) * 12 + month(odate), o_orderkey, request_number, registry_number, denomination,
          logo_url, logo, filing_date, expiration_date,
          CASE WHEN o_orderkey % 5 = 0 THEN 'EN_GACETA' ELSE status END, holder, niza_class, gazette_number,
          updated_at, badger_country
