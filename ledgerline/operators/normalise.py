@@ -133,3 +133,15 @@ def reject_bad_dates(raw: DataFrame, source: str = "snapshot", months: dict[str,
 
 def _opt(df: DataFrame, name: str, typ: str) -> Column:
     return (F.col(name) if name in df.columns else F.lit(None)).cast(typ).alias(name)
+
+
+def align_columns(df: DataFrame, cols) -> DataFrame:
+    """Keep the listed columns that exist, in list order (schema-only, no data pass)."""
+    have = set(df.columns)
+    return df.select(*[c for c in cols if c in have])
+
+
+def common_columns(left: DataFrame, right: DataFrame, exclude=(KEY,)) -> list[str]:
+    """Ordered intersection of two schemas (left order), minus ``exclude``."""
+    other = set(right.columns)
+    return [c for c in left.columns if c in other and c not in exclude]

@@ -81,3 +81,27 @@ def verify_and_correct(raw_keys: DataFrame, registry: DataFrame, lookups: DataFr
     wanted = lookups.join(missing.select(F.col("missing_request_number").alias(KEY)), KEY, "left_semi")
     new_reg, unmapped = apply_corrections(wanted, registry, run_ts, mapping)
     return missing, new_reg, unmapped
+
+
+@dataclass
+class FullSyncResult:
+    sync: SyncResult         # C1 over the landing area
+    missing: DataFrame       # C2: active keys no landed file contains
+    registry: DataFrame      # registry after C1 and the corrections (C3)
+    unmapped: DataFrame      # Q3 rejects of the corrections
+
+
+def full_sync(spark, landing, registry: DataFrame, lookups: DataFrame, run_ts, glob: str = "*.json",
+              recursive: bool = False, **sync_options) -> FullSyncResult:
+    """C1 over every file of one landing area (U4: all feeds share it),
+    then C2 on the raw keys of the same files, then C3 with the lookups of
+    the missing keys (``lookups``: request_number, extracted_status, error, pos)."""
+    from ledgerline.sources import snapshots
+
+    files = snapshots.number_batches(snapshots.read_files(spark, landing, glob, recursive))
+    raw, rejects = snapshots.snapshot_raw(files)
+    result = sync_registry(raw, registry, run_ts, **sync_options)
+    result.rejects = result.rejects.unionByName(rejects)
+    seen = snapshots.raw_keys(files)
+    missing, corrected, unmapped = verify_and_correct(seen, result.registry, lookups, run_ts)
+    return FullSyncResult(result, missing, corrected, unmapped)

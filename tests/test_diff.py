@@ -126,3 +126,24 @@ def test_apply_corrections(spark):
     assert st == {"A": "CANCELADA", "B": "VIGENTE", "C": "VIGENTE", "D": "VIGENTE"}
     assert [r.request_number for r in unmapped.collect()] == ["D"]
     _ = reg_ops
+
+
+def test_full_sync_over_landing(spark, tmp_path):
+    d = tmp_path / "landing"
+    d.mkdir()
+    (d / "a.json").write_text('[{"request_number":"A","status":"Negada"},{"request_number":"N"}]')
+    reg = _registry(spark, [REG_A, dict(id="2", request_number="M", status="VIGENTE")])
+    lookups = spark.createDataFrame([("M", "Cancelada", None, 0)],
+                                    "request_number string, extracted_status string, error string, pos bigint")
+    out = jobs.full_sync(spark, str(d), reg, lookups, "2024-06-01 00:00:00", persist=False)
+    assert [r[0] for r in out.missing.collect()] == ["M"]
+    st = {r.request_number: r.status for r in out.registry.collect()}
+    assert st == {"A": "NEGADA", "M": "CANCELADA", "N": None}
+
+
+def test_align_and_common_columns(spark):
+    from ledgerline.operators.normalise import align_columns, common_columns
+    a = spark.createDataFrame([(1, 2, 3)], "request_number int, x int, y int")
+    b = spark.createDataFrame([(1, 2)], "y int, request_number int")
+    assert align_columns(a, ["y", "zz", "request_number"]).columns == ["y", "request_number"]
+    assert common_columns(a, b) == ["y"]
