@@ -76,7 +76,7 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
                         F.expr(stop).alias("_stop"))
              .selectExpr(*keep, "_has_filing", "_stop", "posexplode(_trs) AS (_i, _tr)")
              .filter(f"_i + 1 BETWEEN {FIRST_DATA_ROW} AND {LAST_DATA_ROW} AND (_stop = 0 OR _i + 1 < _stop)")
-             .selectExpr(*keep, "_i + 1 AS row_no", "_has_filing", "_tr",
+             .selectExpr(*keep, "CAST(_i + 1 AS BIGINT) AS row_no", "_has_filing", "_tr",
                          f"regexp_extract_all(_tr, {sql_lit(TD)}, 1) AS _tds"))
 
     def cell(n: int) -> str:

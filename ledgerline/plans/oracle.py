@@ -358,7 +358,7 @@ FROM pages"""
 ORACLE["json_roundtrip"] = ORACLE["normalise_snapshot"]
 
 ORACLE["json_records"] = """
-SELECT event_id, p AS pos, json_extract_string(props, '$.k') AS k
+SELECT event_id, CAST(p AS BIGINT) AS pos, json_extract_string(props, '$.k') AS k
 FROM events, (SELECT unnest([0, 1]) AS p) ps
 WHERE (event_type = 'click') OR (event_type <> 'error' AND p = 0)"""
 
