@@ -31,13 +31,21 @@ class SyncResult:
 def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = COUNTRY,
                   logo_prefix: str = DEFAULT_LOGO_PREFIX, status_map: dict = STATUS_RAW,
                   bucket_size: int | None = 1024, persist: bool = True,
-                  max_batch: int | None = None) -> SyncResult:
+                  max_batch: int | None = None, colocate_registry: bool = False) -> SyncResult:
     """Apply landed raw batches to the registry.
 
     ``raw`` holds RAW_COLUMNS plus ``batch_no`` (processing order) and ``pos``
     (position in the batch); extra columns such as ``batch_id`` pass through.
     ``max_batch`` is the largest batch number when known (e.g. files - 1).
+
+    The registry is joined twice (comparison base, next state). By default
+    AQE decides each join: with a small change side both are broadcasts and
+    the registry is never shuffled. When both sides are large,
+    ``colocate_registry=True`` hash-partitions the registry by key once and
+    both joins reuse that exchange (one registry shuffle instead of two).
     """
+    if colocate_registry:
+        registry = registry.repartition("badger_country", KEY)
     norm = normalise.normalise(raw, run_ts, country=country, logo_prefix=logo_prefix, status_map=status_map)
     # W1 (first record per key and file) runs inside the chain, on its partitioning.
     classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos",

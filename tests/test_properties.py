@@ -91,3 +91,11 @@ def test_missing_disjoint_from_seen(spark):
     missing = jobs.audit_missing(seen, reg)
     assert missing.count() > 0
     assert missing.join(seen, F.col("missing_request_number") == F.col(KEY)).count() == 0
+
+
+def test_colocated_registry_same_result(spark):
+    reg = derived.registry_from_orders(spark, SF)
+    raw = derived.snapshot_batch(derived.snapshot_from_orders(spark, SF))
+    a = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0)
+    b = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0, colocate_registry=True)
+    assert sorted(map(tuple, a.registry.collect())) == sorted(map(tuple, b.registry.collect()))
