@@ -136,17 +136,6 @@ def class_plan(spark: SparkSession, n: int = CLASS_COUNT) -> DataFrame:
         "CAST(id AS STRING) AS class_code")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
-
-def _month_bin(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d) - 1
-
-
 def _bounded(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast hint only when the (small, generated) frame is proven small."""
     return F.broadcast(df) if df.count() <= limit else df

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.codes import sql_logo_asset
 from ledgerline.schemas import DEFAULT_LOGO_PREFIX, MONTHS_ES, RAW_COLUMNS
-from ledgerline.session import spread, table_path
+from ledgerline.session import table_path
 
 MONTH_WORDS = list(MONTHS_ES)  # ene. .. dic. in calendar order
 REGISTRY_TS = "2024-01-01 00:00:00"
@@ -35,10 +35,21 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_SPLITS: dict[str, int] = {}
+
+
 def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan with pruned columns, spread over the cores when the file has too few splits."""
+    """Scan with pruned columns, spread over the cores when the file has too few splits.
+
+    The split count of a table file is looked up once per session and path
+    (it only steers parallelism)."""
     df = load(spark, sf_dir, name)
-    return spread(df.select(*cols) if cols else df)
+    df = df.select(*cols) if cols else df
+    path = table_path(sf_dir, name)
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if _SPLITS[path] < cores else df
 
 
 def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
