@@ -29,6 +29,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def scale_settings(input_bytes: int, executor_memory_bytes: int = 8 << 30, cores_per_executor: int = 4,
+                   executors: int = 1000) -> dict[str, str]:
+    """SQL settings sized for an input of ``input_bytes``.
+
+    Shuffle partitions target ~256 MiB each (AQE coalesces smaller ones and
+    splits skewed ones), never fewer than the cluster's task slots, and a
+    task's share of executor memory must hold a partition with headroom for
+    sort/aggregate buffers (spill covers the rest). Scan splits are 256 MiB.
+    """
+    slots = max(1, cores_per_executor * executors)
+    per_task = executor_memory_bytes // max(1, cores_per_executor)
+    target = min(256 << 20, max(32 << 20, per_task // 4))
+    partitions = max(slots, -(-input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, **cluster) -> dict[str, str]:
+    """Set ``scale_settings`` on the session (all are runtime SQL settings)."""
+    conf = scale_settings(input_bytes, **cluster)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
