@@ -240,7 +240,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail page per order: finished orders show the status in the
-    trademark label, open orders in the second label (first one blank),
+    first status label, open orders in the second label (first one blank),
     pending orders show no label."""
     b = order_base(spark, sf_dir)
     word = raw_status_word()

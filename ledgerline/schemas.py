@@ -55,7 +55,7 @@ DETAIL_PANEL_ID = "MainContent_ctrlTM_panelCaseData"
 NO_RESULT_ID = "MainContent_ctrlTMSearch_divHelp"
 IMAGE_SUFFIX = "&fmt=jpeg"
 
-# Deployment setting, not a reference value: where logo copies are served from.
+# Deployment setting, not a fixed value: where logo copies are served from.
 DEFAULT_LOGO_PREFIX = "https://assets.invalid/logos/"
 
 # ---------------------------------------------------------------------------
