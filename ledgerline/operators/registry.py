@@ -22,7 +22,8 @@ def _ts(run_ts) -> Column:
 
 
 def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_no",
-           key_cols=DEFAULT_KEYS, updated=UPDATED, columns=REGISTRY_COLUMNS) -> DataFrame:
+           key_cols=DEFAULT_KEYS, updated=UPDATED, columns=REGISTRY_COLUMNS,
+           single_version: bool = False) -> DataFrame:
     """K1 + K2 + W3: registry after all classified versions are applied.
 
     Registry rows whose key changed get the UPDATED columns of the key's
@@ -38,11 +39,17 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
     upd = ", ".join(f"`{c}`" for c in updated)
     insert_only = [c for c in columns if c not in updated and c not in key_cols and c != "id"]
     ins_cols = ", ".join(f"`{c}`" for c in insert_only) or "1 AS _none"
-    changes = (classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
-               .groupBy(*key_cols)
-               .agg(F.expr(f"max_by(struct({upd}), `{order_col}`)").alias("_last"),
-                    F.expr(f"min_by(struct({ins_cols}), CASE WHEN change_type = '{INSERT}' THEN `{order_col}` END)")
-                    .alias("_ins")))
+    changed = classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
+    if single_version:
+        # One batch: a key has at most one version, which is its last change.
+        changes = changed.selectExpr(
+            *[f"`{k}`" for k in key_cols], f"struct({upd}) AS _last",
+            f"CASE WHEN change_type = '{INSERT}' THEN struct({ins_cols}) END AS _ins")
+    else:
+        changes = (changed.groupBy(*key_cols)
+                   .agg(F.expr(f"max_by(struct({upd}), `{order_col}`)").alias("_last"),
+                        F.expr(f"min_by(struct({ins_cols}), CASE WHEN change_type = '{INSERT}' "
+                               f"THEN `{order_col}` END)").alias("_ins")))
     # Registry keys: every stored row of a changed key takes those values.
     kept = (registry.join(changes.filter("_ins IS NULL").select(*key_cols, "_last"), key_cols, "left")
             .selectExpr(*[(f"CASE WHEN _last IS NOT NULL THEN _last.`{c}` ELSE `{c}` END AS `{c}`"

@@ -54,7 +54,7 @@ def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = CO
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     rejects = normalise.reject_missing_key(raw).unionByName(normalise.reject_bad_dates(raw))
     return SyncResult(
-        registry=reg_ops.upsert(registry, classified, "batch_no"),
+        registry=reg_ops.upsert(registry, classified, "batch_no", single_version=max_batch == 0),
         report=diff.change_report(classified, extra=["batch_no", "pos"]),
         totals=diff.change_totals(classified),
         classified=classified,
