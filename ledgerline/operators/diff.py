@@ -120,17 +120,19 @@ def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: st
     key_cols = list(key_cols)
     if bucket_size is not None and max_order is not None and max_order < bucket_size:
         bucket_size = None
-    v = versions.withColumn("_norm", _norm_struct(compared)).withColumn("_is_base", F.lit(False))
+    v = versions.withColumn("_is_base", F.lit(False))
     if registry is not None:
         base = dedup_registry(touched(registry.select(*key_cols, tiebreak, *compared), versions, key_cols),
                               key_cols, tiebreak)
         base = base.select(*key_cols, F.lit(-1).cast(v.schema[order_col].dataType).alias(order_col),
-                           _norm_struct(compared).alias("_norm"), F.lit(True).alias("_is_base"))
+                           *compared, F.lit(True).alias("_is_base"))
         v = v.unionByName(base, allowMissingColumns=True)
 
     bucket = (F.lit(0) if bucket_size is None
               else F.greatest(F.floor(F.col(order_col) / F.lit(bucket_size)), F.lit(0)))
-    v = v.withColumn("_bucket", bucket).repartition(*key_cols, "_bucket")
+    # The comparison text is derived after the shuffle, so rows travel without it.
+    v = (v.withColumn("_bucket", bucket).repartition(*key_cols, "_bucket")
+         .withColumn("_norm", _norm_struct(compared)))
     if pos_col is not None:
         w0 = Window.partitionBy(*key_cols, "_bucket", order_col).orderBy(pos_col)
         v = v.withColumn("_rn", F.row_number().over(w0)).filter("_rn = 1").drop("_rn")
