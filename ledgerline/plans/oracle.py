@@ -345,8 +345,11 @@ SELECT 'P' || CAST(page_id AS VARCHAR), 'unknown', NULL, false FROM pages"""
 
 
 def _decode(x: str) -> str:
-    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '\u00a9'), "
-            f"'&middot;', '\u00b7'), '&amp;', '&')")
+    # One HTML5 decoding pass for the entities present; these are legacy
+    # entities, so the trailing semicolon is optional. &amp goes last so its
+    # output cannot start a new entity within the same pass.
+    return (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '&quot;?', '\"', 'g'), "
+            f"'&copy;?', '\u00a9', 'g'), '&middot;?', '\u00b7', 'g'), '&amp;?', '&', 'g')")
 
 
 # Titles hold only these four entities; text content decodes once, the reader once more.
