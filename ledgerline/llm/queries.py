@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.mixing import op4_mixing_sources
+from ledgerline.llm.packing import op3_best_fit_packing
 from ledgerline.llm.quality import op1_quality_classifier
+from ledgerline.llm.secrets import op5_secret_scans
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier,)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier, op3_best_fit_packing, op4_mixing_sources, op5_secret_scans)}
 ORACLE: dict[str, str] = {}
