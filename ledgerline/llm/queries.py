@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from ledgerline.llm.mixing import op4_mixing_sources
+from ledgerline.llm.neardup import op10_minhash_near_dedup
 from ledgerline.llm.packing import op3_best_fit_packing
 from ledgerline.llm.quality import op1_quality_classifier
 from ledgerline.llm.secrets import op5_secret_scans
+from ledgerline.llm.substrings import op2_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op3_best_fit_packing, op4_mixing_sources, op5_secret_scans)}
+    op1_quality_classifier, op3_best_fit_packing, op4_mixing_sources, op5_secret_scans,
+    op10_minhash_near_dedup, op2_suffix_array_dedup)}
 ORACLE: dict[str, str] = {}
