@@ -41,8 +41,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         encode = encoder()
         for b in batches:
             doc, piece, start, length, crc = [], [], [], [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encode(text or "") + END_ID
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for i, ids in zip(b.column(0).to_pylist(), encode(texts)):
+                ids += END_ID
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     doc.append(i)

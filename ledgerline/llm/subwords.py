@@ -1,15 +1,20 @@
-"""Subword ids of a public tokenizer, encoded word by word through a cache.
-
-The tokenizer drops white space between words and never merges across it, so a
-text's ids are the ids of its parts between blanks and line ends, in order.
-Parts are cut only at characters that are white space under every definition;
-anything else stays inside a part and is left to the tokenizer.
+"""Subword ids of a public tokenizer, encoded piece by piece through a cache.
+
+The tokenizer lower-cases, cuts a text by a fixed pattern (letters, single
+digits, runs of other signs, a few English endings) and never merges across a
+cut, so a text's ids are the ids of its pieces in order. Texts whose characters
+leave no doubt about case, class or normal form are cut here by that pattern
+and only pieces that are new to the worker go to the tokenizer; any other text
+goes to it whole.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+import re
+import unicodedata
+
+import numpy as np
 
 #: Folder of the tokenizer file; the package's own place if not set.
 FOLDER = os.environ.get("PUBLIC_TOKENIZERS", "")
@@ -17,8 +22,13 @@ FILE = "word_bpe_49k.json"
 VOCABULARY = 49_408
 #: The id 1 that closes a document, as little-endian unsigned 32-bit.
 END_ID = (1).to_bytes(4, "little")
-#: Parts kept per worker; the cache starts anew beyond it.
-CACHED = 400_000
+#: Pieces kept per worker; the cache starts anew beyond it.
+CACHED = 1_000_000
+#: Texts are encoded in groups of about this many characters.
+GROUP = 4 << 20
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+#: Characters whose case, class or normal form is left to the tokenizer, and the start of its special tokens.
+_UNSURE = re.compile("[\x1c-\x1f\x85\xa0ªµº²³¹¼-¾İȺ-‏ -\U0010ffff]|<\\|")
 
 
 def tokenizer():
@@ -31,28 +41,63 @@ def tokenizer():
     return Tokenizer.from_file(public_tokenizers.path(FILE))
 
 
-class _Parts(dict):
-    def __init__(self):
-        super().__init__()
-        self.encode = tokenizer().encode
-
-    def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[part] = b"".join(i.to_bytes(4, "little") for i in self.encode(part, add_special_tokens=False).ids)
-        return out
-
-
-_PARTS: list[_Parts] = []
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
-def encoder() -> Callable[[str], bytes]:
-    """text -> its ids as little-endian unsigned 32-bit; the cache lives as long as the worker."""
-    if not _PARTS:
-        _PARTS.append(_Parts())
-    parts = _PARTS[0]
+class Encoder:
+    """Texts to their ids as little-endian unsigned 32-bit."""
 
-    def encode(text: str) -> bytes:
-        return b"".join([parts[p] for p in text.replace("\n", " ").split(" ")])
-
-    return encode
+    def __init__(self):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer, self.pieces = tokenizer(), {}
+
+    def _learn(self, new: list[str]) -> None:
+        for at in range(0, len(new), 1000):
+            part = new[at:at + 1000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            cuts = [0, *(4 * np.flatnonzero(np.diff(word)) + 4).tolist(), 4 * len(ids)]
+            if len(cuts) == len(part) + 1:
+                raw = ids.tobytes()
+                self.pieces.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            else:  # a piece that the tokenizer cuts again
+                for p in part:
+                    self.pieces[p] = _bytes(self.tokenizer.encode(p, add_special_tokens=False).ids)
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        cut, need = [], set()
+        for t in texts:
+            if _UNSURE.search(t) or not unicodedata.is_normalized("NFC", t):
+                cut.append(None)
+            else:
+                cut.append(_PIECE.findall(t.lower()))
+                need.update(cut[-1])
+        new = list(need.difference(self.pieces))
+        if len(self.pieces) + len(new) > CACHED:
+            self.pieces.clear()
+            new = list(need)
+        self._learn(new)
+        get = self.pieces.__getitem__
+        return [b"".join(map(get, c)) if c is not None else _bytes(
+            self.tokenizer.encode(t, add_special_tokens=False).ids) for t, c in zip(texts, cut)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out, group, size = [], [], 0
+        for t in texts:
+            group.append(t)
+            size += len(t)
+            if size >= GROUP:
+                out += self._group(group)
+                group, size = [], 0
+        return out + self._group(group)
+
+
+_ENCODER: list[Encoder] = []
+
+
+def encoder() -> Encoder:
+    """The worker's encoder; its cache lives as long as the worker."""
+    if not _ENCODER:
+        _ENCODER.append(Encoder())
+    return _ENCODER[0]
