@@ -156,20 +156,19 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     longest chain. Every round is written to the shared checkpoint folder.
     """
     e = materialise(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u <> v").distinct())
-    before = None
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.*")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(
-            low.select("u", F.col("m").alias("v"))).distinct()
-        e = materialise(small)
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == before:
+        joined = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
+        e = materialise(joined.select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct())
+        # Done when every node points to one node and that one points nowhere.
+        ends = e.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
+        again = ends.where("n > 1").select("u").limit(1).unionByName(
+            e.select(F.col("v").alias("u")).join(e.select("u"), "u", "left_semi").limit(1))
+        if again.isEmpty():
             break
-        before = now
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
         roots.select("node", F.col("node").alias("comp")))

@@ -7,14 +7,17 @@ signatures are compared batch by batch and the pair is dropped as soon as the
 posterior probability (uniform prior) that its similarity reaches the
 threshold falls below ``MISS``. Survivors are verified exactly on full sets.
 
-No bucket is expanded into all pairs. In each round a bucket compares its
-nodes with a few pivots; links found join nodes into components, and a bucket
-is only continued while nodes in different components have not been compared.
-Buckets of at most ``SMALL`` nodes finish with their remaining pairs of
-different components at once. So every link between different components that
-the bands offer is found, while a bucket of n like nodes costs about n
-comparisons. With 28 bands of 4 rows a pair at similarity 0.8 shares no band
-with probability (1 - 0.8**4)**28 < 1e-6.
+No bucket is expanded into all pairs. First every node is compared with the
+smallest node of each of its buckets; links found join nodes into components.
+After that only buckets that still hold several components are looked at:
+inside a task the signatures of nodes in different components are compared,
+and each node names its plausible partners - the best in the first round, the
+best four in the second, then all. What is linked in
+one round need not be compared in the next, so a bucket of n like nodes costs
+few verifications, while no plausible pair of nodes in different components is
+left out. Buckets of more than ``BLOCK`` nodes are compared block by block.
+With 28 bands of 4 rows a pair at similarity 0.8 shares no band with
+probability (1 - 0.8**4)**28 < 1e-6.
 
 Defined cases: null texts, empty texts and texts without words have an empty
 set and link with nothing; a text with fewer than k words has its whole
@@ -41,12 +44,11 @@ from ledgerline.llm.common import (
 SHINGLE = 5
 THRESHOLD = 80  # per cent
 BANDS, ROWS = 28, 4
-HASHES = BANDS * ROWS
-BATCH = 28
+#: Signature length; one byte of each minimum is kept for the comparison.
+HASHES, BATCH = 256, 32
 #: Chance of dropping a pair that reaches the threshold, per comparison step.
-MISS = 1e-6
-SMALL = 48
-PIVOTS = 16
+MISS = 1e-4
+BLOCK = 1024
 
 _A = mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _B = mix(np.arange(1001, HASHES + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -78,71 +80,77 @@ def signature(s: np.ndarray) -> np.ndarray:
     return low
 
 
+def band_keys(low: np.ndarray) -> np.ndarray:
+    """One key per band of ROWS minima."""
+    m = low[:BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS)
+    h = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+    for r in range(ROWS):
+        h = mix(h ^ (m[:, r] + np.uint64(r + 1)))
+    return h.view(np.int64)
+
+
 def sketch(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, node and signature of every document; one scan, no shuffle."""
+    """doc_id, n_shingles, node, band keys and signature bytes of every document; one scan, no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, node, sig = [], [], []
+            n, node, keys, sig = [], [], [], []
             for s in sets(b.column(1), k):
+                low = signature(s)
                 n.append(len(s))
                 node.append(node_of(s))
-                sig.append(signature(s).tobytes() if len(s) else None)
+                keys.append(band_keys(low) if len(s) else None)
+                sig.append(low.astype(np.uint8).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary())],
-                ["doc_id", "n_shingles", "node", "sig"])
+                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "node", "bands", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>, sig binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
-
-
-def bands(nodes: DataFrame) -> DataFrame:
-    """(band, node): a row for each node and band of its signature."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                m = _matrix(b.column(1)).astype(np.uint64).reshape(-1, BANDS, ROWS)
-                h = mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :]
-                for r in range(ROWS):
-                    h = mix(h ^ (m[:, :, r] + np.uint64(r + 1)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))],
-                    ["band", "node"])
-
-    return nodes.select("node", "sig").mapInArrow(run, "band bigint, node bigint")
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
 
 
 @cache
-def least_agreeing(n: int, threshold: int = THRESHOLD, miss: float = MISS) -> int:
-    """Fewest agreements of n hashes with P(similarity >= threshold | agreements) >= miss.
+def least_agreeing(n: int) -> int:
+    """Fewest agreements of n hashes with P(similarity >= threshold | agreements) >= MISS.
 
     With a uniform prior the posterior after m of n agreements is
     Beta(m + 1, n - m + 1), whose tail above t is P(Binomial(n + 1, t) <= m).
+    Unequal minima agree in one byte once in 256 cases, which raises t.
     """
-    t, below = threshold / 100, 0.0
+    t, below = THRESHOLD / 100, 0.0
+    t += (1 - t) / 256
     for m in range(n + 1):
         below += comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
-        if below >= miss:
+        if below >= MISS:
             return m
     return n
 
 
+def agreeing(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of y whose signature stays plausible against x batch by batch, and their agreements."""
+    left, same = np.arange(len(y)), np.zeros(len(y), np.int64)
+    for at in range(0, HASHES, BATCH):
+        same = same + (y[left, at:at + BATCH] == x[at:at + BATCH]).sum(axis=1)
+        keep = same >= least_agreeing(min(at + BATCH, HASHES))
+        left, same = left[keep], same[keep]
+    return left, same
+
+
 def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that the sequential comparison of their signatures does not drop."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            left = np.arange(b.num_rows)
-            if not len(left):
-                continue
-            x, y = _matrix(b.column(2)), _matrix(b.column(3))
-            same = np.zeros(len(left), int)
-            for at in range(0, HASHES, BATCH):
-                same = same + (x[left, at:at + BATCH] == y[left, at:at + BATCH]).sum(axis=1)
-                keep = same >= least_agreeing(min(at + BATCH, HASHES))
-                left, same = left[keep], same[keep]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(left)), b.column(1).take(pa.array(left))], ["a", "b"])
+            if b.num_rows:
+                x, y = _matrix(b.column(2)), _matrix(b.column(3))
+                left, same = np.arange(len(x)), np.zeros(len(x), np.int64)
+                for at in range(0, HASHES, BATCH):
+                    same = same + (x[left, at:at + BATCH] == y[left, at:at + BATCH]).sum(axis=1)
+                    keep = same >= least_agreeing(min(at + BATCH, HASHES))
+                    left, same = left[keep], same[keep]
+                yield b.select(["a", "b"]).take(pa.array(left))
 
     sig = nodes.select("node", "n_shingles", "sig")
     joined = pairs.join(sig.toDF("a", "na", "sa"), "a").join(sig.toDF("b", "nb", "sb"), "b")
@@ -151,6 +159,40 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def partners(rows: DataFrame, nodes: DataFrame, k: int | None) -> DataFrame:
+    """(a, b): for each node of a bucket its k best (or all) plausible partners in other components.
+
+    A pair that shares several bands is named in the first of them only.
+    Buckets are dealt in pairs of blocks, so a group holds at most about
+    2 * BLOCK rows.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+        size, sig = table.column("n_shingles").to_numpy(), _matrix(table.column("sig").combine_chunks())
+        side, i, j = table.column("part").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        here = int(np.flatnonzero((bands == table.column("band")[0].as_py()).all(axis=0))[0])
+        kinds, count = np.unique(comp, return_counts=True)
+        out = ([], [])
+        for x in np.flatnonzero(comp != kinds[count.argmax()]):
+            other = (comp != comp[x]) & (100 * np.minimum(size, size[x]) >= THRESHOLD * np.maximum(size, size[x]))
+            y = np.flatnonzero(other & (side != side[x]) if i != j else other)
+            y = y[~(bands[y, :here] == bands[x, :here]).any(axis=1)]
+            near, same = agreeing(sig[x], sig[y])
+            for z in node[y[near[np.lexsort((node[y[near]], -same))[:k]]]].tolist():
+                out[0].append(min(z, int(node[x])))
+                out[1].append(max(z, int(node[x])))
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    held = rows.join(nodes.select("node", "n_shingles", "bands", "sig"), "node")
+    held = held.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    held = held.withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
+    held = held.withColumn("i", F.least("part", "with")).withColumn("j", F.greatest("part", "with"))
+    return held.select("band", "node", "comp", "n_shingles", "bands", "sig", "part", "i", "j").groupBy(
+        "band", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """The pairs whose full sets reach the threshold, from the whole texts of one document per node."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node")
@@ -180,49 +222,33 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> Dat
         check, "a bigint, b bigint")
 
 
-def _pairs(rows: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Distinct (a, b) of nodes and pivots that share a bucket and are in different components."""
-    p = pivots.select("band", F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-    return rows.join(p, "band").where("comp <> pivot_comp").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-
-
 def link(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     sketches = materialise(sketch(docs, k))
     nodes = materialise(sketches.where("node is not null and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
-    every = bands(nodes)
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    every = nodes.select("node", F.explode("bands").alias("band"))
     shared = every.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
     rows = materialise(every.join(shared, "band"))
     pairs = rows.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    seen = materialise(plausible(pairs, nodes))
+    links = materialise(verified(seen, nodes, docs, k))
+    comps = components(links)
     # A bucket of two is settled by its first comparison.
-    rows, seen, links, comps = rows.where("n > 2").withColumn("done", F.col("node") == F.col("first")), None, None, None
-    while True:
-        likely = materialise(plausible(pairs, nodes))
-        if seen is not None:
-            likely = likely.join(seen, ["a", "b"], "left_anti")
-        new = materialise(verified(likely, nodes, docs, k))
-        seen = likely if seen is None else seen.unionByName(likely)
-        links = new if links is None else links.unionByName(new)
-        if comps is None or not new.isEmpty():
-            comps = components(links)
-        own = rows.select("band", "node", "n", "done").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        own = materialise(own)
-        # A bucket goes on while nodes that were no pivot yet are in different components.
-        sizes = own.where("not done").groupBy("band", "comp").agg(F.count("*").alias("size"))
-        open_bands = sizes.groupBy("band").agg(F.max_by("comp", F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps"))
-        rows = own.where("not done").join(open_bands.where("comps > 1").select("band", "largest"), "band")
-        rows = materialise(rows)
-        if rows.isEmpty():
+    rows = rows.where("n > 2").select("band", "node", "n")
+    for many in (1, 4, None):
+        own = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        mixed = own.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
+        open_rows = materialise(own.join(mixed, "band"))
+        found = materialise(partners(open_rows, nodes, many).join(seen, ["a", "b"], "left_anti"))
+        if found.isEmpty():
             break
-        small, large = rows.where(f"n <= {SMALL}"), rows.where(f"n > {SMALL}")
-        # Pivots of a large bucket: nodes outside its largest component first, one of each salt.
-        pivots = large.groupBy("band", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("salt")).agg(
-            F.min(F.struct(F.col("comp") == F.col("largest"), "node", "comp")).alias("p")).select("band", "p.node", "p.comp")
-        pairs = _pairs(small, small).unionByName(_pairs(large, pivots)).distinct()
-        rows = large.join(pivots.select("band", "node", F.lit(True).alias("now")), ["band", "node"], "left").select(
-            "band", "node", "n", F.coalesce("now", F.lit(False)).alias("done"))
+        new = materialise(verified(found, nodes, docs, k))
+        seen = seen.unionByName(found)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            comps = components(links)
+        rows = open_rows.drop("comp")
     # The same doc_id is one document: its nodes belong together.
     same = sketches.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
     twice = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
