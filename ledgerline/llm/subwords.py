@@ -23,7 +23,7 @@ VOCABULARY = 49_408
 #: The id 1 that closes a document, as little-endian unsigned 32-bit.
 END_ID = (1).to_bytes(4, "little")
 #: Pieces kept per worker; the cache starts anew beyond it.
-CACHED = 1_000_000
+CACHED = 500_000
 #: Texts are encoded in groups of about this many characters.
 GROUP = 4 << 20
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
