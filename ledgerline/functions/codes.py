@@ -69,7 +69,9 @@ def logo_asset(key, logo_url, prefix: str = DEFAULT_LOGO_PREFIX) -> Column:
 
 def normalise_state(c) -> Column:
     """'active' (after strip + lower) or 'inactive' for anything else."""
-    s = F.lower(F.trim(_col(c)))
+    from ledgerline.functions.text import py_strip
+
+    s = F.lower(py_strip(c))
     return F.when(s == "active", F.lit("active")).otherwise(F.lit("inactive"))
 
 

@@ -36,8 +36,8 @@ def sql_parse_es_date(expr: str, months: dict[str, str] = MONTHS_ES) -> str:
     from ledgerline.functions.codes import sql_map
     parts = f"split({expr}, ' ', -1)"
     day = f"try_element_at({parts}, 1)"
-    iso = (f"CASE WHEN size({parts}) = 3 THEN concat_ws('-', try_element_at({parts}, 3), "
-           f"try_element_at({sql_map(months)}, lower(try_element_at({parts}, 2))), "
+    iso = (f"CASE WHEN size({parts}) = 3 THEN concat(try_element_at({parts}, 3), '-', "
+           f"try_element_at({sql_map(months)}, lower(try_element_at({parts}, 2))), '-', "
            f"lpad({day}, greatest(length({day}), 2), '0')) END")
     return f"try_to_date(regexp_extract({iso}, '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})$', 1), 'yyyy-MM-dd')"
 

@@ -78,7 +78,7 @@ def _classify(df: DataFrame, cur: str, prev: str, compared) -> DataFrame:
 
 def touched(registry: DataFrame, new: DataFrame, key_cols=DEFAULT_KEYS) -> DataFrame:
     """Registry rows whose key occurs in ``new`` (semi join, never an IN list)."""
-    return registry.join(new.select(*key_cols), list(key_cols), "left_semi")
+    return registry.join(new.select(*key_cols).distinct(), list(key_cols), "left_semi")
 
 
 def diff_batch(new: DataFrame, registry: DataFrame, key_cols=DEFAULT_KEYS, compared=COMPARED,

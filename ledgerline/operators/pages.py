@@ -22,7 +22,6 @@ from ledgerline.schemas import (
 )
 
 FIRST_DATA_ROW = 2
-LAST_DATA_ROW = 202
 
 GRID_RE = r'(?is)<table\b[^>]*\bid="' + GRID_ID + r'"[^>]*>(.*?)</table>'
 PICTURE_RE = r"(?is)(<a\b[^>]*hlnkCasePicture_\d+[^>]*>)"
@@ -68,14 +67,11 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     trs = pages.selectExpr(*keep, f"regexp_extract_all({grid}, {sql_lit(TR)}, 1) AS _trs")
     th6 = f"try_element_at(regexp_extract_all(try_element_at(_trs, 1), {sql_lit(TH)}, 1), 6)"
     has_filing = F.coalesce(clean_text(F.expr(th6)).contains(HEADER_WITH_FILING), F.lit(False))
-    # Position of the first data row lacking cell 2: reading stops there.
-    stop = (f"array_position(transform(_trs, (tr, i) -> i + 1 >= {FIRST_DATA_ROW} AND "
-            f"size(regexp_extract_all(tr, {sql_lit(TD)}, 1)) < 2), true)")
+    # Rows without a second cell (pager, header) are skipped; no row number ends the grid.
     # Page-level values first: in the exploding select they would run per line.
-    lines = (trs.select(*[F.col(k) for k in keep], "_trs", has_filing.alias("_has_filing"),
-                        F.expr(stop).alias("_stop"))
-             .selectExpr(*keep, "_has_filing", "_stop", "posexplode(_trs) AS (_i, _tr)")
-             .filter(f"_i + 1 BETWEEN {FIRST_DATA_ROW} AND {LAST_DATA_ROW} AND (_stop = 0 OR _i + 1 < _stop)")
+    lines = (trs.select(*[F.col(k) for k in keep], "_trs", has_filing.alias("_has_filing"))
+             .selectExpr(*keep, "_has_filing", "posexplode(_trs) AS (_i, _tr)")
+             .filter(f"_i + 1 >= {FIRST_DATA_ROW} AND size(regexp_extract_all(_tr, {sql_lit(TD)}, 1)) >= 2")
              .selectExpr(*keep, "CAST(_i + 1 AS BIGINT) AS row_no", "_has_filing", "_tr",
                          f"regexp_extract_all(_tr, {sql_lit(TD)}, 1) AS _tds"))
 

@@ -193,4 +193,4 @@ def drop_overflow(assigned: DataFrame, cap: int = SLICE_CAP) -> DataFrame:
 
 def pending_slices(plan: DataFrame, landed: DataFrame) -> DataFrame:
     """Planned slices with no landed output yet (matched on slice id)."""
-    return plan.join(landed.select("slice_id"), "slice_id", "left_anti")
+    return plan.join(landed.select("slice_id").distinct(), "slice_id", "left_anti")

@@ -106,3 +106,12 @@ def test_surrogate_id_is_deterministic_uuid_shape(spark):
     ids = [r[0] for r in df.select(surrogate_id("c", "k")).collect()]
     assert ids[0] == ids[1] != ids[2]
     assert [len(p) for p in ids[0].split("-")] == [8, 4, 4, 4, 12]
+
+
+def test_unknown_month_and_odd_blanks(spark):
+    from ledgerline.functions.codes import normalise_state
+    from ledgerline.functions.dates import sql_parse_es_date
+
+    row = spark.createDataFrame([("05-12 foo 2020", " Active\t")], "d string, s string")
+    got = row.select(F.expr(sql_parse_es_date("d")).alias("d"), normalise_state("s").alias("s")).first()
+    assert got.d is None and got.s == "active"
