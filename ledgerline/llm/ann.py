@@ -51,19 +51,26 @@ def search_block(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
     centres = queries @ axes
     scale = float(np.median(np.linalg.norm(x, axis=1)))
     enough, most = int(np.ceil(COLLIDING * PROJECTIONS)), max(4 * k, int(VERIFIED * n))
+    # The radii are the same for all queries, so each array is searched once for all windows of all rounds.
+    widest = max(float(np.abs(values).max() + np.abs(centres).max()), 1e-300)
+    first = FIRST_RADIUS * scale
+    rounds = max(1, int(np.ceil(np.log(max(widest / (HALF_WIDTH * first), 1.0)) / np.log(GROWTH))) + 2)
+    radii = first * GROWTH ** np.arange(rounds)
+    begin = [np.searchsorted(v, c[:, None] - HALF_WIDTH * radii) for v, c in zip(values, centres.T)]
+    end = [np.searchsorted(v, c[:, None] + HALF_WIDTH * radii, side="right") for v, c in zip(values, centres.T)]
+    begin, end = np.stack(begin, axis=2), np.stack(end, axis=2)  # query, round, projection
     for q in range(len(queries)):
         count = np.zeros(n, np.int64)
         done = ids == query_ids[q]
-        left = right = np.array([np.searchsorted(values[i], centres[q, i]) for i in range(PROJECTIONS)])
+        left = right = begin[q, 0]
         found, dist = np.zeros(0, np.int64), np.zeros(0)
-        radius = FIRST_RADIUS * scale
-        while True:
-            half = HALF_WIDTH * radius
-            new_left = np.array([np.searchsorted(values[i], centres[q, i] - half) for i in range(PROJECTIONS)])
-            new_right = np.array([np.searchsorted(values[i], centres[q, i] + half, side="right") for i in range(PROJECTIONS)])
-            slices = [order[i, a:b] for i, (a, b) in enumerate(zip(new_left.tolist(), left.tolist())) if a < b]
-            slices += [order[i, a:b] for i, (a, b) in enumerate(zip(right.tolist(), new_right.tolist())) if a < b]
-            left, right = np.minimum(left, new_left), np.maximum(right, new_right)
+        for r, radius in enumerate(radii):
+            new_left, new_right = begin[q, r], end[q, r]
+            grown = np.flatnonzero(new_left < left).tolist()
+            slices = [order[i, new_left[i]:left[i]] for i in grown]
+            grown = np.flatnonzero(right < new_right).tolist()
+            slices += [order[i, right[i]:new_right[i]] for i in grown]
+            left, right = new_left, new_right
             if slices:
                 count += np.bincount(np.concatenate(slices), minlength=n)
             fresh = np.flatnonzero((count >= enough) & ~done)
@@ -72,10 +79,8 @@ def search_block(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
                 diff = x[fresh] - queries[q]
                 found = np.concatenate([found, fresh])
                 dist = np.concatenate([dist, np.sqrt((diff * diff).sum(axis=1))])
-            whole = bool((left == 0).all() and (right == n).all())
-            if whole or len(found) >= most or len(found) >= k and np.partition(dist, k - 1)[k - 1] <= radius:
+            if len(found) >= most or len(found) >= k and np.partition(dist, k - 1)[k - 1] <= radius:
                 break
-            radius *= GROWTH
         best = np.lexsort((ids[found], dist))[:k]
         yield q, found[best], dist[best]
 
