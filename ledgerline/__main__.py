@@ -49,6 +49,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     writers.write_change_report(result.sync.report, f"{out}/change_report")
     writers.write_missing(result.missing, f"{out}/missing")
     result.sync.rejects.write.mode("overwrite").parquet(f"{out}/rejects")
+    result.unmapped.write.mode("overwrite").parquet(f"{out}/unmapped")
     result.sync.classified.unpersist()
     return 0
 

@@ -100,27 +100,24 @@ def diff_batch(new: DataFrame, registry: DataFrame, key_cols=DEFAULT_KEYS, compa
 
 def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: str = "batch_no",
                   key_cols=DEFAULT_KEYS, compared=COMPARED, tiebreak: str = "id",
-                  bucket_size: int | None = 1024, pos_col: str | None = None,
-                  max_order: int | None = None) -> DataFrame:
+                  bucket_size: int | None = 1024, pos_col: str | None = None) -> DataFrame:
     """W2 (+ W1): classify every (key, batch) version against the key's previous version.
 
     ``order_col`` is a non-negative integer batch number. With ``pos_col``
-    the first row per (key, batch) by that position is kept (W1), otherwise
-    ``versions`` must already hold one row per (key, batch). The registry
+    the first row per (key, batch) by that position is kept (W1, an aggregate
+    that reduces repeats of a key in one batch before any row is shuffled),
+    otherwise ``versions`` must already hold one row per (key, batch). The registry
     (deduplicated per key by an aggregate, W4) acts as version -1. Returns
     the kept version rows with ``change_type`` and ``columns_changed``.
 
-    Rows are hash-partitioned once by (key, batch bucket); the first-row
-    window, the lag window and the bucket tails all reuse that partitioning,
-    and a window group never exceeds ``bucket_size`` batches of one key.
-    ``bucket_size=None`` uses one window group per key. When ``max_order``
-    (the largest batch number) is known to be below ``bucket_size``, every
-    row is in bucket 0, the cross-bucket carry is empty and is skipped.
+    Rows are hash-partitioned by (key, batch bucket); the lag window and the
+    bucket tails reuse that partitioning, and a window group never exceeds
+    ``bucket_size`` batches of one key. ``bucket_size=None`` uses one window
+    group per key.
     """
     key_cols = list(key_cols)
-    if bucket_size is not None and max_order is not None and max_order < bucket_size:
-        bucket_size = None
-    v = versions.withColumn("_is_base", F.lit(False))
+    kept = versions if pos_col is None else first_per_key(versions, key_cols + [order_col], pos_col)
+    v = kept.withColumn("_is_base", F.lit(False))
     if registry is not None:
         base = dedup_registry(touched(registry.select(*key_cols, tiebreak, *compared), versions, key_cols),
                               key_cols, tiebreak)
@@ -133,9 +130,6 @@ def version_chain(versions: DataFrame, registry: DataFrame | None, order_col: st
     # The comparison text is derived after the shuffle, so rows travel without it.
     v = (v.withColumn("_bucket", bucket).repartition(*key_cols, "_bucket")
          .withColumn("_norm", _norm_struct(compared)))
-    if pos_col is not None:
-        w0 = Window.partitionBy(*key_cols, "_bucket", order_col).orderBy(pos_col)
-        v = v.withColumn("_rn", F.row_number().over(w0)).filter("_rn = 1").drop("_rn")
     w1 = Window.partitionBy(*key_cols, "_bucket").orderBy(order_col)
     if bucket_size is None:
         v = v.withColumn("_prev", F.lag("_norm").over(w1)).drop("_bucket")

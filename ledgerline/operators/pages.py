@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import (
-    BR_SPLIT, clean_text, coalesce_blank, dom_text, html_unescape, html_unescape_all, sql_lit, sql_strip,
+    BR_SPLIT, clean_text, coalesce_blank, dom_text, html_unescape_all, sql_lit, sql_strip,
 )
 from ledgerline.operators.normalise import blank_row
 from ledgerline.schemas import (
@@ -27,32 +27,28 @@ GRID_RE = r'(?is)<table\b[^>]*\bid="' + GRID_ID + r'"[^>]*>(.*?)</table>'
 PICTURE_RE = r"(?is)(<a\b[^>]*hlnkCasePicture_\d+[^>]*>)"
 HREF_RE = r'(?is)\bhref="([^"]*)"'
 TAG_RE = r"(?s)<[^>]*>"
+#: A table that is not the grid and holds no further table (a pager in a cell).
+NESTED_RE = (r'(?is)<table\b(?![^>]*\bid="' + GRID_ID + r'")[^>]*>(?:(?!</?table\b).)*+</table>')
+PAGER_RE = r'(?is)<tr\b[^>]*\bclass="[^"]*gridview_pager[^"]*"[^>]*>.*?</tr>'
+#: Tables in cells are removed from the inside out, this many levels deep.
+NESTING = 3
 TR = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 TD = r"(?is)<td\b[^>]*>(.*?)</td>"
 TH = r"(?is)<th\b[^>]*>(.*?)</th>"
 
 
-def _grid(html: Column, grid_id: str = GRID_ID) -> Column:
-    return F.regexp_extract(html, r'(?is)<table\b[^>]*\bid="' + grid_id + r'"[^>]*>(.*?)</table>', 1)
-
-
 def _element_text(html: Column, element_id: str) -> Column:
     """Inner HTML of the first element with the given id ('' when absent)."""
     return F.regexp_extract(html, r'(?is)<(\w+)\b[^>]*\bid="' + element_id + r'"[^>]*>(.*?)</\1>', 2)
 
 
-def image_url(row_html: Column, picture_marker: str = "hlnkCasePicture_") -> Column:
-    """href of the row's picture anchor + '&fmt=jpeg', else ''."""
-    tag = F.regexp_extract(row_html, r'(?is)(<a\b[^>]*' + picture_marker + r'\d+[^>]*>)', 1)
-    href = html_unescape(F.regexp_extract(tag, r'(?is)\bhref="([^"]*)"', 1))
-    return F.when(F.coalesce(href, F.lit("")) != "", F.concat(href, F.lit(IMAGE_SUFFIX))).otherwise(F.lit(""))
-
-
 def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",)) -> DataFrame:
     """X1 + X2 + P9: one row of RAW_COLUMNS per data line of each page's result grid.
 
-    Data lines are grid rows 2..202, up to the first row without a second
-    cell. When header cell 6 reads 'Fecha de radicación' cells 6..11 are
+    Data lines are the grid's own rows from the second on that have a second
+    cell; a pager row (by class) is none, on top or at the foot, and rows of
+    tables nested in its cells are not the grid's. When cell 6 of the first row
+    with header cells reads 'Fecha de radicación' cells 6..11 are
     filing, expiration, status, holder, class, gazette; otherwise filing is
     '' and the rest start at cell 6. Fully blank rows are dropped. Pages
     without a grid give no rows. ``row_no`` is the 1-based grid row.
@@ -63,9 +59,14 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     All cells of a line are decoded together: two Arrow calls per batch.
     """
     keep = [f"`{k}`" for k in keep]
-    grid = f"regexp_extract(`{html_col}`, {sql_lit(GRID_RE)}, 1)"
+    flat = f"`{html_col}`"
+    for _ in range(NESTING):
+        flat = f"regexp_replace({flat}, {sql_lit(NESTED_RE)}, '')"
+    # A pager row stays as an empty row, so the row numbers are the grid's.
+    grid = f"regexp_replace(regexp_extract({flat}, {sql_lit(GRID_RE)}, 1), {sql_lit(PAGER_RE)}, '<tr></tr>')"
     trs = pages.selectExpr(*keep, f"regexp_extract_all({grid}, {sql_lit(TR)}, 1) AS _trs")
-    th6 = f"try_element_at(regexp_extract_all(try_element_at(_trs, 1), {sql_lit(TH)}, 1), 6)"
+    head = f"try_element_at(filter(_trs, r -> r RLIKE {sql_lit(TH)}), 1)"
+    th6 = f"try_element_at(regexp_extract_all({head}, {sql_lit(TH)}, 1), 6)"
     has_filing = F.coalesce(clean_text(F.expr(th6)).contains(HEADER_WITH_FILING), F.lit(False))
     # Rows without a second cell (pager, header) are skipped; no row number ends the grid.
     # Page-level values first: in the exploding select they would run per line.
@@ -121,7 +122,7 @@ def result_count(pages: DataFrame, html_col: str = "html", cap: int = SLICE_CAP)
 
 
 def detail_status(pages: DataFrame, key_col: str = "request_number", html_col: str = "html",
-                  labels=STATUS_LABELS) -> DataFrame:
+                  labels=STATUS_LABELS, keep=()) -> DataFrame:
     """X4 + F17: (request_number, extracted_status, error) from a detail page.
 
     The first non-blank status label wins; with none, the status is '' and
@@ -129,7 +130,7 @@ def detail_status(pages: DataFrame, key_col: str = "request_number", html_col: s
     """
     html = F.col(html_col)
     found = coalesce_blank(*[dom_text(_element_text(html, lab)) for lab in labels])
-    return pages.select(F.col(key_col).alias("request_number"),
+    return pages.select(*keep, F.col(key_col).alias("request_number"),
                         F.coalesce(found, F.lit("")).alias("extracted_status"),
                         F.when(found.isNull(), F.lit(NOT_FOUND_ERROR)).alias("error"))
 

@@ -137,25 +137,35 @@ def class_plan(spark: SparkSession, n: int = CLASS_COUNT) -> DataFrame:
 
 
 def _bounded(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast hint only when the (small, generated) frame is proven small."""
+    """Broadcast hint only when the (small, generated) frame is proven small; results are the same either way."""
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def _binned(plan: DataFrame) -> DataFrame:
+    """The plan with one row per month a slice covers."""
+    return plan.selectExpr("slice_id", "lo AS _lo", "hi AS _hi", "tag AS _tag", "kind",
+                           "explode(sequence(year(lo) * 12 + month(lo) - 1, year(hi) * 12 + month(hi) - 1)) AS _pbin")
+
+
+def _month_bin(date_col: str):
+    return F.expr(f"year(`{date_col}`) * 12 + month(`{date_col}`) - 1")
+
+
+def _in_slice(date_col: str, tag_col: str | None):
+    cond = f"_bin = _pbin AND `{date_col}` BETWEEN _lo AND _hi"
+    return F.expr(cond if tag_col is None else f"{cond} AND `{tag_col}` = _tag")
+
+
 def assign_slices(df: DataFrame, date_col: str, plan: DataFrame, tag_col: str | None = None,
                   limit: int = BROADCAST_LIMIT) -> DataFrame:
     """J7 (+ P10): attach ``slice_id``, ``kind`` of the slice holding each row's date.
 
     With ``tag_col`` the slice must also carry the row's state tag. Rows with
-    a NULL date, or outside the plan, fall in no slice and are dropped.
+    a NULL date, or outside the plan, fall in no slice: ``outside_plan`` gives them.
     """
-    binned = plan.selectExpr("slice_id", "lo AS _lo", "hi AS _hi", "tag AS _tag", "kind",
-                             "explode(sequence(year(lo) * 12 + month(lo) - 1, year(hi) * 12 + month(hi) - 1)) AS _pbin")
-    rows = df.withColumn("_bin", F.expr(f"year(`{date_col}`) * 12 + month(`{date_col}`) - 1"))
-    cond = f"_bin = _pbin AND `{date_col}` BETWEEN _lo AND _hi"
-    if tag_col is not None:
-        cond += f" AND `{tag_col}` = _tag"
-    plan_side = _bounded(binned, limit)
-    return rows.join(plan_side, F.expr(cond), "inner").drop("_bin", "_pbin", "_lo", "_hi", "_tag")
+    rows = df.withColumn("_bin", _month_bin(date_col))
+    plan_side = _bounded(_binned(plan), limit)
+    return rows.join(plan_side, _in_slice(date_col, tag_col), "inner").drop("_bin", "_pbin", "_lo", "_hi", "_tag")
 
 
 def date_range_rows(df: DataFrame, date_col: str, lo, hi, state_col: str | None = None,
@@ -185,10 +195,19 @@ def slice_overflow(assigned: DataFrame, cap: int = SLICE_CAP) -> DataFrame:
     return counts.withColumn("overflow", F.col("n") >= F.lit(cap))
 
 
-def drop_overflow(assigned: DataFrame, cap: int = SLICE_CAP) -> DataFrame:
-    """A4: rows of slices under the cap; a slice at the cap is skipped whole, never truncated."""
-    over = slice_overflow(assigned, cap).filter("overflow").select("slice_id")
-    return assigned.join(over, "slice_id", "left_anti")
+def flag_overflow(assigned: DataFrame, cap: int = SLICE_CAP) -> DataFrame:
+    """A4: every row with ``overflow``, true where its slice reaches the cap; no row is dropped.
+
+    The counts hold one row per slice; AQE sends them to the rows when they are small.
+    """
+    return assigned.join(slice_overflow(assigned, cap).select("slice_id", "overflow"), "slice_id")
+
+
+def outside_plan(df: DataFrame, date_col: str, plan: DataFrame, tag_col: str | None = None) -> DataFrame:
+    """The rows ``assign_slices`` gives no slice: NULL date, or no slice of the plan (and tag) holds it."""
+    binned = _binned(plan).drop("slice_id", "kind")
+    rows = df.withColumn("_bin", _month_bin(date_col))
+    return rows.join(_bounded(binned), _in_slice(date_col, tag_col), "left_anti").drop("_bin")
 
 
 def pending_slices(plan: DataFrame, landed: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def iso_text(df: DataFrame) -> DataFrame:
 def _sync(spark: SparkSession, sf_dir: str) -> jobs.SyncResult:
     reg = derived.registry_from_orders(spark, sf_dir)
     raw = derived.snapshot_batch(derived.snapshot_from_orders(spark, sf_dir))
-    return jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0)
+    return jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False)
 
 
 def q_sync_report(spark, sf_dir):
@@ -216,8 +216,8 @@ def q_slice_overflow(spark, sf_dir):
 
 
 def q_slice_kept_rows(spark, sf_dir):
-    """A4: rows of slices under the cap; overflowing slices are dropped whole."""
-    return slices.drop_overflow(_month_assigned(spark, sf_dir), OVERFLOW_CAP).select("id", "slice_id")
+    """A4: every assigned row, marked where its slice reaches the cap."""
+    return slices.flag_overflow(_month_assigned(spark, sf_dir), OVERFLOW_CAP).select("id", "slice_id", "overflow")
 
 
 def q_pending_slices(spark, sf_dir):
@@ -292,10 +292,10 @@ def q_json_roundtrip(spark, sf_dir):
 
 def _event_docs(spark, sf_dir):
     """JSON documents from events.props: clicks as a two-element array,
-    errors cut after four characters (invalid), the rest one object."""
+    errors behind an unclosed bracket (invalid), the rest one object."""
     e = derived.load(spark, sf_dir, "events").select("event_id", "event_type", "props")
     doc = (F.when(F.col("event_type") == "click", F.concat(F.lit("["), F.col("props"), F.lit(", "), F.col("props"), F.lit("]")))
-           .when(F.col("event_type") == "error", F.substring("props", 1, 4))
+           .when(F.col("event_type") == "error", F.concat(F.lit("["), F.col("props")))
            .otherwise(F.col("props")))
     return e.select("event_id", doc.alias("text"))
 
@@ -316,7 +316,7 @@ def q_json_rejects(spark, sf_dir):
 def _feeds_sync(spark, sf_dir):
     reg = derived.registry_from_orders(spark, sf_dir)
     feeds = derived.feeds_from_snapshot(derived.snapshot_from_orders(spark, sf_dir))
-    return jobs.sync_registry(feeds, reg, derived.RUN_TS, persist=False, max_batch=derived.MAX_FEED_BATCH)
+    return jobs.sync_registry(feeds, reg, derived.RUN_TS, persist=False)
 
 
 def q_union_feeds(spark, sf_dir):
@@ -455,10 +455,10 @@ def q_report_roundtrip(spark, sf_dir):
 
 
 def q_corrections_roundtrip(spark, sf_dir):
-    """K7 -> S9 -> C3: lookups written as JSON lines, read back in order and applied."""
+    """K7 -> S9 -> C3: lookups written as JSON arrays, read back in order and applied."""
     out = scratch_dir(spark, "corrections")
-    writers.write_corrections(corrections_from_orders(spark, sf_dir).orderBy("pos"), out)
-    corr = snapshots.read_correction_lines(spark, out)
+    writers.write_corrections(corrections_from_orders(spark, sf_dir), out)
+    corr = snapshots.read_corrections(spark, out, glob="*.txt", recursive=True)
     new_reg, _ = jobs.apply_corrections(corr, derived.registry_from_orders(spark, sf_dir), derived.RUN_TS)
     return iso_text(new_reg.select("id", KEY, "badger_country", "status", "updated_at"))
 
@@ -467,9 +467,9 @@ def q_verify_and_correct(spark, sf_dir):
     """C4: missing active keys -> their detail pages (X4) -> corrections (C3) -> registry."""
     reg = derived.registry_from_orders(spark, sf_dir)
     seen = derived.snapshot_from_orders(spark, sf_dir).select(KEY)
-    lookups = pages.detail_status(derived.detail_pages(spark, sf_dir)) \
-        .withColumn("pos", F.lit(0).cast("bigint"))
-    _, new_reg, _ = jobs.verify_and_correct(seen, reg, lookups, derived.RUN_TS)
+    details = derived.detail_pages(spark, sf_dir).withColumn("pos", F.lit(0).cast("bigint"))
+    _, new_reg, _ = jobs.verify_and_correct(
+        seen, reg, details, derived.RUN_TS, read=lambda df: pages.detail_status(df, keep=["pos"]))
     return iso_text(new_reg.select("id", KEY, "badger_country", "status", "updated_at"))
 
 

@@ -31,12 +31,11 @@ class SyncResult:
 def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = COUNTRY,
                   logo_prefix: str = DEFAULT_LOGO_PREFIX, status_map: dict = STATUS_RAW,
                   bucket_size: int | None = 1024, persist: bool = True,
-                  max_batch: int | None = None, colocate_registry: bool = False) -> SyncResult:
+                  colocate_registry: bool = False) -> SyncResult:
     """Apply landed raw batches to the registry.
 
     ``raw`` holds RAW_COLUMNS plus ``batch_no`` (processing order) and ``pos``
     (position in the batch); extra columns such as ``batch_id`` pass through.
-    ``max_batch`` is the largest batch number when known (e.g. files - 1).
 
     The registry is joined twice (comparison base, next state). By default
     AQE decides each join: with a small change side both are broadcasts and
@@ -47,14 +46,13 @@ def sync_registry(raw: DataFrame, registry: DataFrame, run_ts, country: str = CO
     if colocate_registry:
         registry = registry.repartition("badger_country", KEY)
     norm = normalise.normalise(raw, run_ts, country=country, logo_prefix=logo_prefix, status_map=status_map)
-    # W1 (first record per key and file) runs inside the chain, on its partitioning.
-    classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos",
-                                    max_order=max_batch)
+    # W1 (first record per key and file) is reduced inside the chain, before its shuffle.
+    classified = diff.version_chain(norm, registry, "batch_no", bucket_size=bucket_size, pos_col="pos")
     if persist:
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
     rejects = normalise.reject_missing_key(raw).unionByName(normalise.reject_bad_dates(raw))
     return SyncResult(
-        registry=reg_ops.upsert(registry, classified, "batch_no", single_version=max_batch == 0),
+        registry=reg_ops.upsert(registry, classified, "batch_no"),
         report=diff.change_report(classified, extra=["batch_no", "pos"]),
         totals=diff.change_totals(classified),
         classified=classified,
@@ -77,16 +75,20 @@ def apply_corrections(corr: DataFrame, registry: DataFrame, run_ts, mapping: dic
 
 
 def verify_and_correct(raw_keys: DataFrame, registry: DataFrame, lookups: DataFrame, run_ts,
-                       mapping: dict = STATUS_CORRECTION) -> tuple[DataFrame, DataFrame, DataFrame]:
+                       mapping: dict = STATUS_CORRECTION,
+                       read=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """C4: missing keys -> their looked-up statuses -> corrected registry.
 
     ``lookups`` stands in for the live per-key lookups: rows of
     (request_number, extracted_status, error, pos), e.g. from
     ``operators.pages.detail_status`` over fetched detail pages. Only
-    lookups of missing keys are applied.
+    lookups of missing keys are applied. With ``read``, ``lookups`` are raw
+    rows with the key (fetched pages) that are turned into such rows only
+    after the semi join, so pages of other keys are never parsed.
     """
     missing = audit_missing(raw_keys, registry)
     wanted = lookups.join(missing.select(F.col("missing_request_number").alias(KEY)), KEY, "left_semi")
+    wanted = wanted if read is None else read(wanted)
     new_reg, unmapped = apply_corrections(wanted, registry, run_ts, mapping)
     return missing, new_reg, unmapped
 
@@ -109,7 +111,8 @@ def full_sync(spark, landing, registry: DataFrame, lookups: DataFrame, run_ts, g
     files = snapshots.number_batches(snapshots.read_files(spark, landing, glob, recursive))
     raw, rejects = snapshots.snapshot_raw(files)
     result = sync_registry(raw, registry, run_ts, **sync_options)
-    result.rejects = result.rejects.unionByName(rejects)
+    result.rejects = (result.rejects.unionByName(rejects)
+                      .unionByName(snapshots.empty_files(spark, landing, glob)))
     seen = snapshots.raw_keys(files)
     missing, corrected, unmapped = verify_and_correct(seen, result.registry, lookups, run_ts)
     return FullSyncResult(result, missing, corrected, unmapped)

@@ -288,8 +288,7 @@ ORACLE["slice_overflow"] = _with(OB, REG, TAGGED) + """
 SELECT slice_id, count(*) AS n, count(*) >= 200 AS overflow FROM mon_assigned GROUP BY slice_id"""
 
 ORACLE["slice_kept_rows"] = _with(OB, REG, TAGGED) + """
-SELECT id, slice_id FROM mon_assigned
-WHERE slice_id IN (SELECT slice_id FROM mon_assigned GROUP BY slice_id HAVING count(*) < 200)"""
+SELECT id, slice_id, count(*) OVER (PARTITION BY slice_id) >= 200 AS overflow FROM mon_assigned"""
 
 ORACLE["pending_slices"] = _with(OB, REG, TAGGED) + """
 SELECT slice_id, tag FROM months WHERE slice_id NOT IN (SELECT slice_id FROM mon_assigned)"""

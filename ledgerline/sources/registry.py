@@ -9,11 +9,10 @@ sent as an IN literal: lookups are semi joins against a key frame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.operators.audit import active_keys, in_country
 from ledgerline.operators.diff import touched
-from ledgerline.schemas import ACTIVE_STATES, COMPARED, COUNTRY, COUNTRY_COL, KEY, REGISTRY_SCHEMA
+from ledgerline.schemas import ACTIVE_STATES, COMPARED, COUNTRY, KEY, REGISTRY_SCHEMA
 
 READ_COLUMNS = [KEY] + COMPARED
 
@@ -44,5 +43,3 @@ def scan_active_keys(registry: DataFrame, states=ACTIVE_STATES) -> DataFrame:
     """Distinct keys with an active status, every country (as the source system)."""
     return active_keys(registry, states)
 
-
-_ = (F, COUNTRY_COL)

@@ -48,3 +48,17 @@ def test_classify_and_count(spark):
            for r in pages.result_count(pages.classify_page(df)).collect()}
     assert out == {1: ("listing", 12000, True), 2: ("detail", None, False), 3: ("no_result", None, False),
                    4: ("unknown", None, False)}
+
+
+def test_nested_pager_and_long_grid(spark):
+    pager = ('<tr class="gridview_pager"><td colspan="11"><table><tr><td><span>1</span></td><td><a href="#">2</a></td>'
+             '<td><a href="#">3</a></td></tr></table></td></tr>')
+    cells = [[str(i), f"SD{i}", "R", "Z", "", "5 ene. 2030", "Negada", "C", "9", "1"] for i in range(300)]
+    page = _page("Fecha de vencimiento", cells)
+    top = page.replace("<tbody>", "<tbody>" + pager)
+    foot = page.replace("</tbody>", pager + "</tbody>")
+    layout = "<table><tr><td>menu</td><td>x</td></tr><tr><td>" + foot + "</td></tr></table>"
+    df = spark.createDataFrame([("top", top), ("foot", foot), ("layout", layout)], "page_id string, html string")
+    got = pages.parse_result_rows(df).select("page_id", "request_number").collect()
+    for p in ("top", "foot", "layout"):
+        assert sorted(r[1] for r in got if r[0] == p) == sorted(f"SD{i}" for i in range(300))

@@ -96,6 +96,6 @@ def test_missing_disjoint_from_seen(spark):
 def test_colocated_registry_same_result(spark):
     reg = derived.registry_from_orders(spark, SF)
     raw = derived.snapshot_batch(derived.snapshot_from_orders(spark, SF))
-    a = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0)
-    b = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, max_batch=0, colocate_registry=True)
+    a = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False)
+    b = jobs.sync_registry(raw, reg, derived.RUN_TS, persist=False, colocate_registry=True)
     assert sorted(map(tuple, a.registry.collect())) == sorted(map(tuple, b.registry.collect()))

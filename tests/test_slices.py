@@ -57,13 +57,17 @@ def test_assign_matches_brute_force(spark):
     assert fast == brute and len(fast) == in_plan
 
 
-def test_overflow_skips_whole_slice(spark):
+def test_overflow_is_marked_and_keeps_rows(spark):
     plan = slices.day_slices(spark, "2020-01-01", "2020-01-02")
     rows = spark.range(0, 2000 + 1999).select(
         F.when(F.col("id") < 2000, F.lit(D(2020, 1, 1))).otherwise(F.lit(D(2020, 1, 2))).alias("d"))
     assigned = slices.assign_slices(rows, "d", plan)
-    kept = slices.drop_overflow(assigned, 2000)
+    marked = slices.flag_overflow(assigned, 2000)
+    assert marked.count() == 3999
+    kept = marked.filter("not overflow")
     assert kept.count() == 1999
+    other = rows.unionByName(spark.sql("SELECT DATE'1850-01-01' AS d UNION ALL SELECT CAST(NULL AS DATE)"))
+    assert sorted(str(r.d) for r in slices.outside_plan(other, "d", plan).collect()) == ["1850-01-01", "None"]
     flags = {r.slice_id: r.overflow for r in slices.slice_overflow(assigned, 2000).collect()}
     assert sorted(flags.values()) == [False, True]
     pending = slices.pending_slices(plan, kept.select("slice_id").distinct()).collect()
