@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerline.llm import ann, attention, gridjoin, lm, mixing, neardup, packing, pii, quality, secrets, substrings
+from ledgerline.llm import ann, attention, gridjoin, lm, mixing, neardup, packing, pii, quality, secrets, substrings, wordpieces
 from ledgerline.llm.subwords import encoder, tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -228,6 +228,16 @@ def test_language_model(spark, docs):
     assert all(abs(r.base_score - base[str(r.doc_id)]) < 1e-6 * abs(base[str(r.doc_id)]) and r.score < 0 for r in got)
 
 
+def test_word_ids_do_not_depend_on_neighbours():
+    words = [w.encode() for w in ["it's", "a\u00a0b", "\u2003", "x" * 700, "漢字" * 90, "plain", "\x1c", "12.5%", "naïve", "\ufffd", "y"]]
+    for these in (words, words[::-1], words[:1], words[3:4], []):
+        ids, count = wordpieces.word_ids(these)
+        alone = [wordpieces.word_ids([w])[0].tolist() for w in these]
+        assert ids.tolist() == [x for a in alone for x in a] and count.tolist() == [len(a) for a in alone]
+        bpe = wordpieces._bpe()[0]
+        assert bpe.decode(ids.tolist()) == "".join(" " + w.decode() for w in these)
+
+
 def test_attention_gradient_and_windows():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in attention.unpack(attention.initial(np.ones(attention.CLASSES))).items()}
