@@ -19,14 +19,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.session import ensure_checkpoint_dir, table_path
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Most rows and bytes of one Arrow batch, which the JVM and the Python worker each hold whole.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 #: Odd multiplier of the polynomial hashes (mod 2**64) and its inverse.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches; a smaller bound that is set stays. Results do not depend on it."""
+    for key, most in BATCH.items():
+        if not 0 < int(spark.conf.get(key).rstrip("bB")) <= most:
+            spark.conf.set(key, most)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -37,6 +47,7 @@ def materialise(df: DataFrame) -> DataFrame:
     share, so a lost executor only repeats its own tasks.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

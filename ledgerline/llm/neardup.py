@@ -72,8 +72,8 @@ def signature(s: np.ndarray) -> np.ndarray:
     """Minima of HASHES keyed permutations of the set, in slices that bound the memory."""
     x = (s >> np.uint64(32)).astype(np.uint32)
     low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 8192):
-        h = _A[:, None] * x[None, at:at + 8192] + _B[:, None]
+    for at in range(0, len(x), 1024):
+        h = _A[:, None] * x[None, at:at + 1024] + _B[:, None]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
         np.minimum(low, h.min(axis=1), out=low)
