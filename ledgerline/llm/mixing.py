@@ -151,13 +151,15 @@ def rules(rows: DataFrame, most: float = MAX_REPEATS) -> DataFrame:
     cut = inside.groupBy("pattern").agg(
         F.max(F.when(fits, F.col("key"))).alias("in_edge"),
         F.min(F.col("rest") - F.when(fits, F.col("upto")).otherwise(F.col("base"))).alias("gap"))
-    below = edge.select("pattern", F.expr(f"shiftleft(slot, {64 - RANGE_BITS}) - 1").alias("below"))
+    # Nothing lies below the lowest range: its cut stays null, which takes nobody.
+    below = edge.where(f"rest > 0 and slot > {-1 << RANGE_BITS - 1}").select(
+        "pattern", F.expr(f"shiftleft(slot, {64 - RANGE_BITS}) - 1").alias("below"))
     plan = _with(_with(plan, cut, "left"), below, "left").selectExpr(
         "pattern", "source_size", "target", "passes", "coalesce(in_edge, below) as cut", "coalesce(gap, 0) as gap")
     plan = plan.withColumn("tops", F.expr("cast(array() as array<bigint>)"))
     for nearest in (False, False, True):
         open_gaps = plan.where("gap > 0").select("pattern", "cut", "gap", "tops")
-        near = _with(rows, open_gaps).where("key > cut and size > 0 and not array_contains(tops, key)")
+        near = _with(rows, open_gaps).where("coalesce(key > cut, true) and size > 0 and not array_contains(tops, key)")
         near = near.groupBy("pattern", "key", "gap").agg(F.sum("size").alias("size")).where(
             "abs(gap - size) < gap" if nearest else "size <= gap")
         top = near.groupBy("pattern").agg(F.min_by(F.struct("key", "size"), F.struct(

@@ -141,6 +141,22 @@ def test_mixing(docs, none):
     assert mixing.take(docs).columns == docs.columns
 
 
+def test_mixing_at_the_lowest_key_range(spark):
+    from pyspark.sql import functions as F
+
+    def lowest(text):
+        ids = spark.range(40_000).withColumn("key", F.xxhash64(F.lit(mixing.SEED), "id", F.lit(text)))
+        return [r.id for r in ids.where(F.shiftright("key", 64 - mixing.RANGE_BITS) == -1 << mixing.RANGE_BITS - 1).limit(5).collect()]
+
+    # Capped: all three times. Not capped: twice, and of the rest of 6 words the nearest document of 10.
+    for text, other, want in (("w", 1000, 15), (" ".join("w" * 10), 109, 110)):
+        ids = lowest(text)
+        assert len(ids) == 5
+        rows = [(-1, " ".join("w" * other), "a")] + [(i, text, "c") for i in ids]
+        got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        assert sum(r.taken for r in got if r.doc_id >= 0) == want
+
+
 def test_targets_and_route():
     assert mixing.targets([10, 100, 100], [3, 1, 1]) == [30, 90, 90]
     # One word pool in both sources, one in the first only: the shared pool is left for the second.
