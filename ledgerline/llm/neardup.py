@@ -242,7 +242,7 @@ def link(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
         open_rows = materialise(own.join(mixed, "band"))
         found = materialise(partners(open_rows, nodes, many).join(seen, ["a", "b"], "left_anti"))
         if found.isEmpty():
-            break
+            continue  # the best were all compared before; others may not have been
         new = materialise(verified(found, nodes, docs, k))
         seen = seen.unionByName(found)
         if not new.isEmpty():

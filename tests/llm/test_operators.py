@@ -97,6 +97,17 @@ def test_near_dedup(spark, docs, none, monkeypatch):
     assert neardup.link(none, 4).count() == 0
 
 
+def test_near_dedup_when_the_best_partners_were_already_rejected(spark):
+    # F has 88 of 100 words with X and with Y, X and Y share 89; by signatures F looks best to both.
+    w = [f"s27754w{i}" for i in range(200)]
+    core, fx, fy, xy, own = w[:80], w[80:88], w[90:98], w[100:109], iter(w[120:])
+    sets = [part + [next(own) for _ in range(100 - len(part))] for part in (core + fx + fy, core + fx + xy, core + fy + xy)]
+    rows = [(i, " ".join(s)) for i, s in enumerate(sets)]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.link(
+        spark.createDataFrame(rows, "doc_id long, text string"), 1).collect()}
+    assert got == linked_by_hand(rows, 1) == {0: (100, 0, True), 1: (100, 1, True), 2: (100, 1, False)}
+
+
 def test_least_agreeing_is_safe():
     assert neardup.least_agreeing(256) < 0.8 * 256 and neardup.least_agreeing(32) >= 12
 
