@@ -2,7 +2,8 @@
 
 Every whole text is scanned for three kinds of secrets. A worklist then unwraps
 what the text carries encoded: percent and backslash escapes, character
-references, base64 and, below base64, gzip, zlib, bz2, xz and zstd. Every new
+references, base64 (also broken into lines) and, below base64, gzip, zlib, bz2,
+xz and zstd, nested and with any number of members. Every new
 layer is scanned and unwrapped again until nothing new appears; a layer that
 was seen before at the same place ends its branch, so self-containing
 encodings stop. A finding in an unescaped layer maps to the characters that
@@ -26,6 +27,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BLOB = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Runs over single line breaks, and the run of one line in them.
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 WINDOW, OVERLAP = 8 << 20, 64 << 10
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -86,6 +91,26 @@ def unescape(text: str) -> tuple[str, list[int], list[tuple[int, int, int]]] | N
     return "".join(out), starts, places
 
 
+class _Frame:
+    """A zstd frame as the other decompressors are used; fed little by little, as its steps know no size limit."""
+
+    def __init__(self) -> None:
+        import zstandard
+
+        self.frame = zstandard.ZstdDecompressor().decompressobj()
+        self.eof, self.unused_data, self.unconsumed_tail = False, b"", b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out, size, at = [], 0, 0
+        while at < len(data) and size < most and not self.eof:
+            out.append(self.frame.decompress(data[at:at + 256]))
+            size, at, self.eof = size + len(out[-1]), at + 256, self.frame.eof
+        if self.eof:
+            self.unused_data = self.frame.unused_data + data[at:]
+        self.unconsumed_tail = data[at:]
+        return b"".join(out)
+
+
 def _unpacker(blob: bytes):
     if blob[:2] == b"\x1f\x8b" or blob[:1] == b"\x78" and len(blob) > 6 and (blob[0] << 8 | blob[1]) % 31 == 0:
         return zlib.decompressobj(47)
@@ -93,33 +118,74 @@ def _unpacker(blob: bytes):
         return bz2.BZ2Decompressor()
     if blob[:6] == b"\xfd7zXZ\x00":
         return lzma.LZMADecompressor()
-    return None
-
-
-def unpacked(blob: bytes) -> Iterator[bytes]:
-    """What the blob holds, in pieces of at most WINDOW bytes: unpacked if compressed, else itself."""
-    if blob[:4] == b"\x28\xb5\x2f\xfd":
-        import zstandard
-
-        try:
-            with zstandard.ZstdDecompressor().stream_reader(blob) as r:
-                while piece := r.read(WINDOW):
-                    yield piece
-        except zstandard.ZstdError:
-            return
-        return
-    d = _unpacker(blob)
-    if d is None:
-        yield blob
-        return
-    try:
-        piece, rest = d.decompress(blob, WINDOW), None
-        while piece:
-            yield piece
+    return _Frame() if blob[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+def _members(rest: bytes, pieces: Iterator[bytes]) -> Iterator[Iterator[bytes]]:
+    """What packed bytes hold: member after member (stream, frame), each in pieces, and last what is not packed."""
+    def member(d) -> Iterator[bytes]:
+        nonlocal rest
+        while True:
+            try:
+                piece = d.decompress(rest, WINDOW)
+            except Exception as e:  # zstandard's error type is known only where it is installed
+                if not isinstance(e, (zlib.error, OSError, EOFError, lzma.LZMAError)) and type(e).__name__ != "ZstdError":
+                    raise
+                rest = b""
+                return
             rest = getattr(d, "unconsumed_tail", b"")
-            piece = b"" if getattr(d, "eof", False) else d.decompress(rest, WINDOW)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return
+            if piece:
+                yield piece
+            if d.eof:
+                rest = d.unused_data.lstrip(b"\0")  # padding
+                rest = rest if len(rest) > 6 else rest + next(pieces, b"")
+                return
+            if not piece and not rest:
+                rest = next(pieces, b"")
+                if not rest:
+                    return
+
+    while rest:
+        d = _unpacker(rest)
+        if d is None:
+            yield chain((rest,), pieces)
+            return
+        yield member(d)
+
+
+def _windows(pieces: Iterator[bytes], work: list[Iterator[bytes]], seen: set[bytes]) -> Iterator[bytes]:
+    held, size = [], 0
+    while size < WINDOW and (piece := next(pieces, b"")):
+        held.append(piece)
+        size += len(piece)
+    head = b"".join(held)
+    key, whole = hashlib.blake2b(head, digest_size=16).digest(), size < WINDOW
+    new = key not in seen
+    seen.add(key)
+    if new or not whole:
+        # As it is, too: what looks packed may be a text.
+        if whole or not new or _unpacker(head) is None:
+            tail = b""
+            for piece in chain((head,), pieces):
+                yield tail + piece
+                tail = piece[-OVERLAP:]
+        if new and _unpacker(head) is not None:
+            for inner in _members(head, pieces):
+                first, second = next(inner, b""), next(inner, b"")
+                if second:
+                    yield from _windows(chain((first, second), inner), work, seen)
+                elif first:
+                    work.append(iter((first,)))
+
+
+def byte_layers(blob: bytes) -> Iterator[bytes]:
+    """Overlapping windows of the blob and of all that is packed in it, layer below layer, all members.
+
+    A layer that comes in one piece waits in a worklist; a larger one is unpacked while it is read.
+    """
+    work, seen = [iter((blob,))], set()
+    while work:
+        yield from _windows(work.pop(), work, seen)
 
 
 def _readable(text: str) -> bool:
@@ -134,13 +200,28 @@ def blob_texts(run: str) -> Iterator[str]:
         raw = base64.b64decode(body[:len(body) - (len(body) % 4 == 1)] + "=" * (-len(body) % 4 % 3))
     except (binascii.Error, ValueError):
         return
-    tail = b""
-    for piece in unpacked(raw):
-        data, tail = tail + piece, piece[-OVERLAP:]
+    for data in byte_layers(raw):
         text = data.decode("utf-8", "replace")
-        if text.count("�") > 0.05 * len(text) or not _readable(text):
-            return
-        yield text
+        if text.count("�") <= 0.05 * len(text) and _readable(text):
+            yield text
+
+
+def wrapped(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and joined characters of base64 that is broken into lines: lines of one width, of which the
+    first may begin later in its line and the last may be shorter."""
+    for m in _LINES.finditer(text):
+        lines = list(_LINE.finditer(text, m.start(), m.end()))
+        size = [x.end() - x.start() for x in lines]
+        i = 0
+        while i + 1 < len(lines):
+            j = i + 1
+            while j + 1 < len(lines) and size[j] == size[i + 1] >= size[j + 1]:
+                j += 1
+            for first in (i, i + 1) if size[i] != size[i + 1] else (i,):
+                end = m.end() if j + 1 == len(lines) else lines[j].end()
+                if first < j and max(size[first:j + 1]) >= 16:
+                    yield lines[first].start(), end, "".join(x.group() for x in lines[first:j + 1])
+            i = j
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:
@@ -166,11 +247,15 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
             if step and step[0] != layer:
                 work.append((step[0], _mapped(step[1], step[2], back)))
         for m in _BLOB.finditer(layer):
-            if len(m.group()) >= 20 or "=" in m.group():
-                for inner in blob_texts(m.group()):
-                    if inner != layer:
-                        at = back(m.start(), m.end())
-                        work.append((inner, lambda a, b, at=at: at))
+            for inner in blob_texts(m.group()):
+                if inner != layer:
+                    at = back(m.start(), m.end())
+                    work.append((inner, lambda a, b, at=at: at))
+        for start, end, run in wrapped(layer) if "\n" in layer else ():
+            for inner in blob_texts(run):
+                if inner != layer:
+                    at = back(start, end)
+                    work.append((inner, lambda a, b, at=at: at))
     return base, sorted(found)
 
 

@@ -189,6 +189,29 @@ def test_secrets(spark, docs):
     assert secrets.redact(docs).count() == len(texts())
 
 
+def test_secrets_in_nested_members_and_wrapped_blobs():
+    import base64
+    import bz2
+    import gzip
+    import lzma
+
+    import zstandard
+
+    zstd = zstandard.ZstdCompressor().compress
+    plain, token = b"first line " * 9, b"key file: password=abcdef123"
+    lines = base64.encodebytes(gzip.compress(np.random.default_rng(1).bytes(300) + gzip.compress(token)) + gzip.compress(token)).decode()
+    blobs = [base64.b64encode(b).decode() for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstd) for b in (
+        gzip.compress(pack(token)), pack(pack(pack(token))), pack(plain) + pack(token), pack(plain) + token)]
+    blobs += [base64.b64encode(b).decode() for b in (b"token=abcdef", b"x token=abcdef")]
+    blobs.append(lines.rstrip())
+    blobs.append(base64.encodebytes(b"some words to fill the first line of the blob, token=abcdef").decode().rstrip())
+    for blob in blobs:
+        text = f"see {blob} end"
+        assert (4, 0, 4 + len(blob)) in secrets.spans(text)[1], blob
+        assert secrets.redacted(text) == "see [SECRET] end"
+    assert secrets.spans("plain words\nof_some_identifier_that_is_long\nand no secret")[1] == []
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(60, 12)).astype(np.float32)
