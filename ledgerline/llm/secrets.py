@@ -188,22 +188,25 @@ def byte_layers(blob: bytes) -> Iterator[bytes]:
         yield from _windows(work.pop(), work, seen)
 
 
-def _readable(text: str) -> bool:
-    plain = sum(c.isprintable() or c in "\t\r\n" for c in text[:4096])
-    return plain >= 0.9 * min(len(text), 4096)
+#: Runs of ASCII characters of two bytes, low or high byte first.
+_WIDE = re.compile(rb"(?:[\t\n\r -~]\0){6,}[\t\n\r -~]?|(?:\0[\t\n\r -~]){6,}")
 
 
 def blob_texts(run: str) -> Iterator[str]:
-    """Texts that a run of base64 characters decodes to; nothing if it is no text."""
+    """Texts that a run of base64 characters decodes to.
+
+    Bytes that are no text stay in as replacement characters: all patterns are ASCII, so a secret between them
+    is found. ASCII in UTF-16 is a text of its own.
+    """
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     try:
         raw = base64.b64decode(body[:len(body) - (len(body) % 4 == 1)] + "=" * (-len(body) % 4 % 3))
     except (binascii.Error, ValueError):
         return
     for data in byte_layers(raw):
-        text = data.decode("utf-8", "replace")
-        if text.count("�") <= 0.05 * len(text) and _readable(text):
-            yield text
+        yield data.decode("utf-8", "replace")
+        if wide := _WIDE.findall(data) if b"\0" in data else ():
+            yield "\n".join(x.replace(b"\0", b"").decode("ascii") for x in wide)
 
 
 def wrapped(text: str) -> Iterator[tuple[int, int, str]]:

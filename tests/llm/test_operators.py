@@ -212,6 +212,31 @@ def test_secrets_in_nested_members_and_wrapped_blobs():
     assert secrets.spans("plain words\nof_some_identifier_that_is_long\nand no secret")[1] == []
 
 
+def test_secrets_among_bytes_that_are_no_text(monkeypatch):
+    import base64
+    import gzip
+    import io
+    import tarfile
+
+    token = b"password=abcdef123"
+    packed = io.BytesIO()
+    with tarfile.open(fileobj=packed, mode="w:gz") as tar:
+        info = tarfile.TarInfo("key.txt")
+        info.size = len(token)
+        tar.addfile(info, io.BytesIO(token))
+    noise = np.random.default_rng(2).bytes(5000)
+    blobs = [packed.getvalue(), noise + b" " + token, token.decode().encode("utf-16"), token.decode().encode("utf-16-be"),
+             gzip.compress(noise + base64.b64encode(token))]
+    for blob in blobs:
+        blob = base64.b64encode(blob).decode()
+        assert (4, 0, 4 + len(blob)) in secrets.spans(f"see {blob} end")[1]
+    # A window that is no text does not end the layer.
+    monkeypatch.setattr(secrets, "WINDOW", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 64)
+    blob = base64.b64encode(gzip.compress(b"text " * 2000 + noise + b" " + token)).decode()
+    assert (0, 0, len(blob)) in secrets.spans(blob)[1]
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(60, 12)).astype(np.float32)
