@@ -5,9 +5,11 @@ IBANs, payment cards (valid check digit), phone numbers and names after a
 title. Every entity - its kind and canonical form, so that differently written
 mentions are one entity - gets a surrogate from a SHA-256 of the key, the
 kind, the canonical form and an attempt number: digits become digits, cards
-keep their first digit and get a right check digit, addresses stay addresses,
-names keep title, gender (from the title), script and number of words. Each
-mention keeps its own separators.
+keep their first digit and get a right check digit, phone numbers keep their
+country code if seven digits or more follow it, addresses stay addresses,
+names (all capitalised words after the titles) keep titles, gender (from the
+first title, neutral ones included), script and number of words. Each mention
+keeps its own separators.
 
 Distinctness is checked over all entities of the corpus: where two entities
 get one surrogate, or a surrogate is itself an entity of the corpus, all but
@@ -32,10 +34,11 @@ KEY = "surrogate-key"
 # Titles by gender, and the parts that surrogate names are made of, by script.
 MALE = "Mr|Sir|Herr|Herrn|Monsieur|Señor|Don|господин|г-н"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Señora|Señorita|Doña|госпожа|г-жа"
+NEUTRAL = "Dr|Doctor|Prof|Professor|Mx|доктор|профессор"
 LATIN = "bel cor dan el fen gar hal in jor kal lin mar nor ol per quin ros sel tam ul ven wil yor zan".split()
 CYRILLIC = "бел вор гор дан ел жан зор иг кал лин мар нор ол пер рос сел там ул фен хал чар шур юл яр".split()
-LATIN_ENDINGS = {"m": "o on us ert".split(), "f": "a ia elle ine".split(), "s": "er mann ley ez".split()}
-CYRILLIC_ENDINGS = {"m": "ан ей ил ор".split(), "f": "ана ия ина елла".split(), "s": "ко ич ук ян".split()}
+LATIN_ENDINGS = {"m": "o on us ert".split(), "f": "a ia elle ine".split(), "n": "in el an is".split(), "s": "er mann ley ez".split()}
+CYRILLIC_ENDINGS = {"m": "ан ей ил ор".split(), "f": "ана ия ина елла".split(), "n": "ай ень ис эль".split(), "s": "ко ич ук ян".split()}
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IP = r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9A-Za-z])"
@@ -44,7 +47,12 @@ _IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,
 _CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}(?:[ -]?[0-9]{1,7})(?![0-9A-Za-z])"
 _PHONE = (r"(?<![0-9A-Za-z+(])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
           r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z])")
-_NAME = rf"(?<![\p{{L}}])(?:{FEMALE}|{MALE})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+)?+"
+_TITLE = rf"(?:{FEMALE}|{MALE}|{NEUTRAL})\.? (?:(?:{NEUTRAL})\.? )*+"
+#: A capital with further letters, also capitals and after apostrophes; or an initial, if a name goes on after it.
+_PART = r"(?:\p{Lu}(?:['’]?[\p{L}\p{M}])++|\p{Lu}\.?(?=[ -]\p{Lu}))"
+_NAME = rf"(?<![\p{{L}}]){_TITLE}{_PART}(?:[ -]{_PART})*+"
+#: Country codes, where enough digits follow to keep numbers apart.
+_CODE = r"^[+](?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?=[0-9]{7})"
 PATTERN = "|".join((_EMAIL, _IP, _SSN, _IBAN, _CARD, _PHONE, _NAME))
 
 KINDS = "email ip ssn iban card phone name".split()
@@ -64,18 +72,18 @@ def kind(v: str) -> str:
 
 
 def _bare(v: str) -> str:
-    """SQL: a name without its title."""
-    return f"regexp_replace({v}, '^[^ ]+ ', '')"
+    """SQL: a name without its titles."""
+    return f"regexp_replace({v}, {_sql('^' + _TITLE)}, '')"
 
 
 def gender(v: str) -> str:
-    return f"if({v} rlike {_sql(f'^(?:{FEMALE})[. ]')}, 'f', 'm')"
+    return f"case when {v} rlike {_sql(f'^(?:{FEMALE})[. ]')} then 'f' when {v} rlike {_sql(f'^(?:{NEUTRAL})[. ]')} then 'n' else 'm' end"
 
 
 def canonical(v: str, of: str) -> str:
     """SQL: what all mentions of one entity share."""
     return (f"case {of} when 'email' then lower({v}) when 'name' then concat({gender(v)}, ':', lower({_bare(v)}))"
-            f" when 'ip' then {v} when 'iban' then replace({v}, ' ', '') else regexp_replace({v}, '[^0-9]', '') end")
+            f" when 'ip' then {v} when 'iban' then replace({v}, ' ', '') when 'phone' then regexp_replace({v}, '[^+0-9]', '') else regexp_replace({v}, '[^0-9]', '') end")
 
 
 def digest(of: str, entity: str, attempt: str) -> str:
@@ -103,6 +111,7 @@ def _word(h: str, last: str, entity: str, i: str, attempt: str) -> str:
     def build(parts: list[str], endings: dict[str, list[str]]) -> str:
         ending = (f"case when {last} then element_at({_array(endings['s'])}, {_number(h, f'9 * {i} + 8')} % 4 + 1)"
                   f" when {entity} like 'f:%' then element_at({_array(endings['f'])}, {_number(h, f'9 * {i} + 8')} % 4 + 1)"
+                  f" when {entity} like 'n:%' then element_at({_array(endings['n'])}, {_number(h, f'9 * {i} + 8')} % 4 + 1)"
                   f" else element_at({_array(endings['m'])}, {_number(h, f'9 * {i} + 8')} % 4 + 1) end")
         body = (f"array_join(transform(sequence(0, 1 + least({attempt}, 5)), j ->"
                 f" element_at({_array(parts)}, {_number(h, f'9 * {i} + j')} % {len(parts)} + 1)), '')")
@@ -125,19 +134,19 @@ def core(of: str, entity: str, attempt: str) -> str:
     name = (f"concat(substring({entity}, 1, 2), array_join(transform({words}, (w, i) ->"
             f" lower({_word(h, f'i = size({words}) - 1', entity, 'i', attempt)})), ' '))")
     iban = f"concat(substring({entity}, 1, 2), {_signs(f'substring({entity}, 3)', h)})"
-    return (f"case {of} when 'card' then {card} when 'ip' then {octets} when 'email' then {email}"
+    code = f"regexp_extract({entity}, {_sql(_CODE)}, 0)"
+    phone = f"concat({code}, substring({_signs(entity, h)}, length({code}) + 1))"
+    return (f"case {of} when 'card' then {card} when 'ip' then {octets} when 'email' then {email} when 'phone' then {phone}"
             f" when 'name' then {name} when 'iban' then {iban} else {_signs(entity, h)} end")
 
 
 def dressed(v: str, of: str, made: str) -> str:
-    """SQL: the surrogate in the form of the mention: its separators, title and country prefix."""
+    """SQL: the surrogate in the form of the mention: its separators and titles."""
     nth = "length(regexp_replace(substring({v}, 1, i + 1), '[^0-9A-Z]', ''))".format(v=v)
-    signs = f"array_join(transform(split({v}, ''), (c, i) -> if(c rlike '[0-9A-Z]', substring({made}, {nth}, 1), c)), '')"
-    code = f"regexp_extract({v}, '^[+][0-9]+(?=[^0-9])', 0)"
-    phone = f"concat({code}, substring({signs}, length({code}) + 1))"
-    name = f"concat(regexp_extract({v}, '^[^ ]+ ', 0), initcap(substring({made}, 3)))"
-    return (f"case {of} when 'email' then {made} when 'ip' then {made} when 'name' then {name} when 'phone' then {phone}"
-            f" else {signs} end")
+    plain = f"ltrim('+', {made})"
+    signs = f"array_join(transform(split({v}, ''), (c, i) -> if(c rlike '[0-9A-Z]', substring({plain}, {nth}, 1), c)), '')"
+    name = f"concat(regexp_extract({v}, {_sql('^' + _TITLE)}, 0), initcap(substring({made}, 3)))"
+    return f"case {of} when 'email' then {made} when 'ip' then {made} when 'name' then {name} else {signs} end"
 
 
 def entities(docs: DataFrame) -> DataFrame:

@@ -285,6 +285,29 @@ def test_pii(spark):
     assert {r.doc_id: r.text for r in got}[3] == "clean 12" and {r.doc_id: r.text for r in got}[2] is None
 
 
+def test_pii_whole_names(spark):
+    names = ["Mr John Henry Smith", "Mr. McDonald", "Mr O'Brien", "Dr. Ada Byron King", "Prof Jones", "Herr Dr. Schmidt", "Mr J. R. Ewing",
+             "Mrs Mary-Jane van", "Mr John Smith"]
+    got = pii.surrogates(spark.createDataFrame([(i, f"met {n}, today") for i, n in enumerate(names)], "doc_id long, text string")).collect()
+    text = {r.doc_id: r.text for r in got}
+    for i, n in enumerate(names):
+        for word in re.findall(r"[A-Z][A-Za-z']{2,}", n):
+            assert word in ("Mrs", "Prof", "Herr") or word not in text[i], (n, text[i])
+        assert text[i].startswith("met " + re.match(r"(?:Mrs|Mr|Dr|Prof|Herr Dr)\.? ", n).group()) and text[i].endswith(", today")
+    assert all(r.kinds == "name" for r in got)
+
+
+def test_pii_phone_cores_are_what_is_shown(spark):
+    rows = [(f"+1 ({200 + i}) 555-{1000 + i}", f"+1{200 + i}555{1000 + i}") for i in range(50)]
+    rows = spark.createDataFrame(rows, "v string, w string")
+    entity, same = (pii.canonical(c, "'phone'") for c in "vw")
+    made = pii.core("'phone'", entity, "0")
+    got = rows.selectExpr(f"{made} as made", f"{pii.dressed('v', chr(39) + 'phone' + chr(39), made)} as shown", f"{entity} = {same} as one").collect()
+    for r in got:
+        assert r.one and r.made.startswith("+1") and re.sub("[^+0-9]", "", r.shown) == r.made
+        assert re.fullmatch(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", r.shown)
+
+
 def test_pii_collisions_are_resolved(spark):
     found = spark.createDataFrame([("phone", f"{i:03d}") for i in range(60)], "kind string, entity string")
     again = {r.entity: r.attempt for r in pii.retried(found).collect()}
