@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.common import lower, materialise, read, text_chunks
-from ledgerline.llm.spans import SHARD_BYTES, distinct, gathered, runs, strings
+from ledgerline.llm.spans import SHARD_BYTES, distinct, gathered, numbers, runs, strings, varints
 
 #: Words of a window; a proximity match lies within this many words.
 LENGTH, WITHIN = 10, 20
@@ -49,34 +49,19 @@ _ROWS = pa.schema([("shard", pa.int64()), ("term", pa.string()), ("n", pa.int64(
 
 
 def coded(values: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gaps of sorted lists in 7-bit groups, low first, the high bit on all but the last; bytes and end of each value.
+    """Sorted lists, one after the other, as gaps; ``heads`` marks the first value of each, which is kept as it is."""
+    gap = np.diff(values, prepend=0)
+    gap[heads] = values[heads]
+    return varints(gap)
 
-    ``heads`` marks the first value of each list, which is stored as it is.
-    """
-    gap = np.diff(values, prepend=0).astype(np.uint64)
-    gap[heads] = values[heads].astype(np.uint64)
-    size = np.ones(len(gap), np.int64)
-    for bits in range(7, 64, 7):
-        more = gap >= np.uint64(1 << bits)
-        if not more.any():
-            break
-        size += more
-    ends = np.cumsum(size)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    begin = ends - size
-    for k in range(int(size.max(initial=0))):
-        has = size > k
-        out[begin[has] + k] = ((gap[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | ((size[has] > k + 1) * np.uint8(128))
-    return out, ends
-
-
-def decoded(raw: bytes) -> np.ndarray:
-    """The sorted list that ``coded`` wrote."""
-    b = np.frombuffer(raw, np.uint8)
-    last = np.flatnonzero(b < 128)
-    begin = np.concatenate([[0], last[:-1] + 1])
-    nth = np.arange(len(b)) - np.repeat(begin, last - begin + 1)
-    return np.cumsum(np.add.reduceat((b & 127).astype(np.int64) << (7 * nth), begin))
+
+def decoded(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists and the number of the list of each; ``ends`` are the ends of the lists in ``raw``."""
+    gap, stop = numbers(raw)
+    size = np.diff(np.searchsorted(stop, ends, "right"), prepend=0)
+    first = np.cumsum(size) - size
+    total = np.cumsum(gap)
+    return total - np.repeat(total[first] - gap[first], size), np.repeat(np.arange(len(ends)), size)
 
 
 def index(docs: DataFrame) -> DataFrame:
@@ -133,120 +118,169 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[head], np.concatenate([reach[head[1:] - 1], reach[-1:]])
 
 
-def _phrase(lists: list[np.ndarray], offsets: list[np.ndarray]) -> np.ndarray:
-    """Starts of the phrase: offset-adjusted lists intersected, in the order given."""
-    found = lists[0] - offsets[0][0]
-    for positions, places in zip(lists, offsets):
-        for o in places:
-            want = found + o
-            at = np.searchsorted(positions, want)
-            found = found[(at < len(positions)) & (positions[np.minimum(at, len(positions) - 1)] == want)]
-            if not len(found):
-                return found
-    return found
-
-
-def _close(lists: list[np.ndarray], begin: np.ndarray, end: np.ndarray, within: int) -> np.ndarray:
-    """For each position of the first list: do all lists meet within ``within`` words of its document begin:end?"""
-    ok = np.ones(len(lists[0]), bool)
-    for other in lists[1:]:
-        i = np.flatnonzero(ok)
-        if not len(i):
-            return ok
-        near = np.searchsorted(other, np.maximum(lists[0][i] - within + 1, begin[i]))
-        ok[i] = (near < len(other)) & (other[np.minimum(near, len(other) - 1)] < np.minimum(lists[0][i] + within, end[i]))
-    for i in np.flatnonzero(ok).tolist():
-        p = int(lists[0][i])
-        first = np.arange(max(p - within + 1, int(begin[i])), p + 1)
-        until = np.minimum(first + within, end[i])
-        all_in = np.ones(len(first), bool)
-        for other in lists[1:]:
-            near = np.searchsorted(other, first)
-            all_in &= (near < len(other)) & (other[np.minimum(near, len(other) - 1)] < until)
-        ok[i] = all_in.any()
-    return ok
+class Lists:
+    """The position lists of a shard in one sorted array of (list, position)."""
+
+    def __init__(self, values: np.ndarray, of: np.ndarray, n: int):
+        self.keys = (of << 40) | values
+        self.begin = np.searchsorted(self.keys, np.arange(n) << 40)
+        self.size = np.diff(np.append(self.begin, len(values)))
+
+    def has(self, of: np.ndarray, position: np.ndarray) -> np.ndarray:
+        want = (of << 40) | np.maximum(position, 0)
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        return (self.keys[at] == want) & (position >= 0)
+
+    def between(self, of: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Is a position of the list in begin:end?"""
+        at = np.searchsorted(self.keys, (of << 40) | begin)
+        return (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] < ((of << 40) | end))
+
+    def expand(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each entry of ``of`` the positions of that list: (entry, position)."""
+        size = self.size[of]
+        entry = np.repeat(np.arange(len(of)), size)
+        nth = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size)
+        return entry, self.keys[self.begin[of][entry] + nth] & ((1 << 40) - 1)
+
+
+#: Candidate positions looked at together.
+STEP = 1 << 20
+
+
+def phrases(lists: Lists, of: np.ndarray, places: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(window, start) of all phrases; window w has the terms head[w]:head[w + 1] of (list, offset), the rarest first.
+
+    Each list in turn is adjusted by its term's offset and intersected with what the lists before it left.
+    """
+    window, at = lists.expand(of[head[:-1]])
+    start = at - places[head[:-1]][window]
+    nth = 1
+    while True:
+        more = head[window] + nth < head[window + 1]
+        if not more.any():
+            return window, start
+        i = np.minimum(head[window] + nth, len(of) - 1)
+        ok = ~more | lists.has(of[i], start + places[i])
+        window, start, nth = window[ok], start[ok], nth + 1
+
+
+def proximities(lists: Lists, of: np.ndarray, head: np.ndarray, first: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window, document) with all terms of the window, in any order, within ``within`` words of the document."""
+    window, at = lists.expand(of[head[:-1]])
+    row = np.searchsorted(first, at, "right") - 1
+    low, high = np.maximum(at - within + 1, first[row]), np.minimum(at + within, first[row + 1])
+    for nth in range(1, int(np.diff(head).max(initial=0))):
+        i = head[window] + nth
+        inside = i < head[window + 1]
+        i = np.minimum(i, len(of) - 1)
+        ok = ~inside | lists.between(of[i], low, high)
+        window, at, row, low, high = (x[ok] for x in (window, at, row, low, high))
+    # What is left has all terms near the rarest one; the stretches that hold it are tried one by one.
+    hit = np.zeros(len(window), bool)
+    for back in range(within):
+        begin = at - back
+        ok = begin >= low
+        end = np.minimum(begin + within, high)
+        for nth in range(1, int(np.diff(head).max(initial=0))):
+            if not ok.any():
+                break
+            i = head[window] + nth
+            inside = i < head[window + 1]
+            i = np.minimum(i, len(of) - 1)
+            ok &= ~inside | lists.between(of[i], np.maximum(begin, 0), end)
+        hit |= ok
+    found = np.unique(np.stack([window[hit], row[hit]]), axis=1)
+    return found[0], found[1]
 
 
 _FOUND = "shard bigint, row int, window bigint, near boolean, begin bigint, until bigint"
 
 
+def _found(shard: int, row, window=None, near=None, begin=None, until=None) -> pa.Table:
+    n = len(row)
+    columns = zip((window, near, begin, until), (pa.int64(), pa.bool_(), pa.int64(), pa.int64()))
+    return pa.Table.from_arrays(
+        [pa.array(np.full(n, shard), pa.int64()), pa.array(row, pa.int32()), *(pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in columns)],
+        ["shard", "row", "window", "near", "begin", "until"])
+
+
 def matches(idx: DataFrame, asked: DataFrame, within: int = WITHIN) -> DataFrame:
     """Matches of the windows ``asked`` (window, words) in the index.
 
     Rows with ``window`` and near = false or true name a window that occurs
-    in a document as a phrase or in proximity only; rows without it hold
-    disjoint stretches begin:until of the document's words under phrases.
+    in a document as a phrase or in proximity; rows without it hold disjoint
+    stretches begin:until of the document's words under phrases.
     """
     terms = asked.select("window", F.posexplode("words").alias("o", "term"))
     lists = idx.where("term is not null")
-    weight = lists.join(terms.select("term").distinct(), "term").groupBy("term").agg(F.sum("n").alias("df"))
+    # Written tables: their sizes are known, so Spark joins small ones with the index in place and shuffles large ones.
+    vocabulary = materialise(terms.select("term").distinct())
+    weight = materialise(lists.join(vocabulary, "term").groupBy("term").agg(F.sum("n").alias("df"))).withColumn(
+        "id", F.monotonically_increasing_id())
+    weight = materialise(weight)
     # Windows with a term that the corpus lacks end here; the others get their terms from the rarest on.
-    ordered = terms.groupBy("window", "term").agg(F.array_sort(F.collect_list("o")).alias("places")).join(weight, "term", "left")
-    ordered = ordered.groupBy("window").agg(
-        F.array_sort(F.collect_list(F.struct("df", "term", "places"))).alias("parts"), F.min(F.col("df").isNotNull()).alias("all"))
-    ordered = materialise(ordered.where("all").select("window", F.expr("transform(parts, p -> struct(p.term, p.places))").alias("parts")))
+    ordered = terms.join(weight, "term", "left").groupBy("window").agg(
+        F.array_sort(F.collect_list(F.struct("df", "id", "o"))).alias("parts"), F.min(F.col("df").isNotNull()).alias("whole"))
+    ordered = materialise(ordered.where("whole").select(
+        "window", F.expr("parts.id").alias("ids"), F.expr("parts.o").alias("places")))
     blocks = max(1, -(-ordered.count() // WINDOWS))
-    ordered = ordered.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    alive = materialise(ordered.withColumn("term", F.expr("parts[0].term")).join(lists.select("term", "shard"), "term").select(
-        "shard", "block", "window", "parts"))
-    needed = alive.select("shard", "block", F.explode("parts.term").alias("term")).distinct()
-    fetched = lists.select("shard", "term", "at").join(needed, ["shard", "term"]).select("shard", "block", "term", "at", F.lit(None).cast("array<bigint>").alias("first"))
-    heads = idx.where("term is null").select("shard", F.expr("docs.first").alias("first"), F.col("n"))
-    heads = heads.join(alive.select("shard", "block").distinct(), "shard").select(
-        "shard", "block", F.lit(None).cast("string").alias("term"), F.lit(None).cast("binary").alias("at"),
-        F.expr("concat(first, array(n))").alias("first"))
+    ordered = ordered.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)).cast("int"))
+    rarest = materialise(ordered.withColumn("id", F.expr("ids[0]")).join(weight.select("id", "term"), "id").select("term", "block", "window", "ids", "places"))
+    alive = rarest.join(lists.select("term", "shard"), "term").select("shard", "block", "window", "ids", "places")
+    needed = materialise(ordered.select("block", F.explode("ids").alias("id")).distinct().join(weight, "id").select("term", "block", "id"))
+    fetched = lists.select("shard", "term", "at").join(needed, "term").select("shard", "block", "id", "at", F.lit(None).cast("array<bigint>").alias("first"))
+    heads = idx.where("term is null").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast("bigint").alias("id"),
+        F.lit(None).cast("binary").alias("at"), F.expr("concat(docs.first, array(n))").alias("first"))
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("row", "window", "near", "begin", "until")}
-        held, first = {}, None
-        for term, at, starts in zip(right.column("term"), right.column("at"), right.column("first")):
-            if term.is_valid:
-                held[term.as_py()] = decoded(at.as_py())
-            else:
-                first = starts.values.to_numpy()
-        spans = ([], [])
-        for window, parts in zip(left.column("window").to_pylist(), left.column("parts").to_pylist()):
-            if any(p["term"] not in held for p in parts):
+        none = _found(0, [])
+        if not len(left):
+            return none
+        shard, ids = key[0].as_py(), right.column("id").combine_chunks()
+        document = next(x for x, i in zip(right.column("first"), ids) if not i.is_valid)
+        first = document.values.to_numpy()
+        right = right.filter(ids.is_valid())
+        known, order = np.unique(right.column("id").to_numpy(), return_index=True)
+        raw = right.column("at").combine_chunks().take(pa.array(order))
+        raw = [x.as_buffer() for x in raw]
+        lists = Lists(*decoded(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw])), len(known))
+        # Windows of which this shard lacks a term are over.
+        window, term, place = (left.column(c).combine_chunks() for c in ("window", "ids", "places"))
+        size = np.diff(term.offsets.to_numpy())
+        of, place = np.searchsorted(known, term.flatten().to_numpy()), place.flatten().to_numpy().astype(np.int64)
+        there = known[np.minimum(of, len(known) - 1)] == term.flatten().to_numpy()
+        head = np.concatenate([[0], np.cumsum(size)])
+        whole = np.logical_and.reduceat(there, head[:-1])
+        kept = np.repeat(whole, size)
+        of, place, window, size = of[kept], place[kept], window.to_numpy()[whole], size[whole]
+        out, spans = [none], []
+        # So many windows at a time that their rarest lists stay within STEP positions.
+        head = np.concatenate([[0], np.cumsum(size)])
+        load = np.cumsum(lists.size[of[head[:-1]]]) // STEP
+        for w in np.split(np.arange(len(size)), np.flatnonzero(np.diff(load)) + 1):
+            if not len(w):
                 continue
-            at, places = [held[p["term"]] for p in parts], [p["places"] for p in parts]
-            size = sum(map(len, places))
-            begin = _phrase(at, places)
-            begin = begin[begin >= 0]
+            a, b = head[w[0]], head[w[-1] + 1]
+            part = head[w[0]:w[-1] + 2] - a
+            n, begin = phrases(lists, of[a:b], place[a:b], part)
             row = np.searchsorted(first, begin, "right") - 1
-            whole = begin + size <= first[row + 1]
-            begin, row = begin[whole], row[whole]
-            spans[0].append(begin)
-            spans[1].append(begin + size)
-            exact = np.unique(row)
-            home = np.searchsorted(first, at[0], "right") - 1
-            rest = ~np.isin(home, exact)
-            narrowed = [at[0][rest], *at[1:]]
-            home = home[rest]
-            close = np.unique(home[_close(narrowed, first[home], first[home + 1], within)])
-            for rows, near in ((exact, False), (close, True)):
-                out["row"] += rows.tolist()
-                out["window"] += [window] * len(rows)
-                out["near"] += [near] * len(rows)
-                out["begin"] += [None] * len(rows)
-                out["until"] += [None] * len(rows)
-        begin = np.concatenate(spans[0]) if spans[0] else np.zeros(0, np.int64)
+            inside = (begin >= 0) & (begin + size[w][n] <= first[np.minimum(row + 1, len(first) - 1)])
+            n, begin, row = n[inside], begin[inside], row[inside]
+            spans.append((begin, begin + size[w][n]))
+            near, home = proximities(lists, of[a:b], part, first, within)
+            for rows, windows, close in ((row, n, False), (home, near, True)):
+                pair = np.unique(np.stack([rows, windows]), axis=1)
+                out.append(_found(shard, pair[0], window[w][pair[1]], np.full(pair.shape[1], close)))
+        begin, until = (np.concatenate(x) for x in zip(*spans)) if spans else (np.zeros(0, np.int64),) * 2
         if len(begin):
-            begin, until = _spans(begin, np.concatenate(spans[1]))
-            # A stretch that two documents share at their border is cut there.
-            row, last = np.searchsorted(first, begin, "right") - 1, np.searchsorted(first, until - 1, "right") - 1
-            for r, l, b, u in zip(row.tolist(), last.tolist(), begin.tolist(), until.tolist()):
-                for k in range(r, l + 1):
-                    x, y = max(b, int(first[k])), min(u, int(first[k + 1]))
-                    if x < y:
-                        out["row"].append(k)
-                        out["window"].append(None)
-                        out["near"].append(None)
-                        out["begin"].append(x)
-                        out["until"].append(y)
-        n = len(out["row"])
-        return pa.table({"shard": pa.array([key[0].as_py()] * n, pa.int64()), "row": pa.array(out["row"], pa.int32()),
-                         "window": pa.array(out["window"], pa.int64()), "near": pa.array(out["near"], pa.bool_()),
-                         "begin": pa.array(out["begin"], pa.int64()), "until": pa.array(out["until"], pa.int64())})
+            # No phrase leaves its document, so stretches are joined with the document's number in front.
+            row = np.searchsorted(first, begin, "right") - 1
+            begin, until = _spans(begin + row, until + row)  # one word of distance between documents
+            row = np.searchsorted(first + np.arange(len(first)), begin, "right") - 1
+            out.append(_found(shard, row, begin=begin - row, until=until - row))
+        return pa.concat_tables(out)
 
     held = fetched.unionByName(heads).withColumnsRenamed({"shard": "of_shard", "block": "of_block"})
     return alive.groupBy("shard", "block").cogroup(held.groupBy("of_shard", "of_block")).applyInArrow(run, _FOUND)

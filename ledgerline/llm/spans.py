@@ -61,3 +61,31 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     h = span_hash(prefix_hashes(data), starts, ends)
     hashes, first, number = np.unique(h, return_index=True, return_inverse=True)
     return first, hashes, number.reshape(-1)
+
+
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 up in groups of 7 bits, low ones first, the high bit set on all but the last; bytes and end of each number."""
+    values = values.astype(np.uint64)
+    size = np.ones(len(values), np.int64)
+    for bits in range(7, 64, 7):
+        more = values >= np.uint64(1 << bits)
+        if not more.any():
+            break
+        size += more
+    ends = np.cumsum(size)
+    begin = ends - size
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(int(size.max(initial=0))):
+        has = np.flatnonzero(size > k) if k else slice(None)
+        out[begin[has] + k] = ((values[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | ((size[has] > k + 1) * np.uint8(128))
+    return out, ends
+
+
+def numbers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that ``varints`` wrote, and the end of each."""
+    if not len(raw):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    last = np.flatnonzero(raw < 128)
+    begin = np.concatenate([[0], last[:-1] + 1])
+    nth = np.arange(len(raw)) - np.repeat(begin, last - begin + 1)
+    return np.add.reduceat((raw & 127).astype(np.int64) << (7 * nth), begin), last + 1
