@@ -1,18 +1,21 @@
 """Phrase collocation mining with weighted acyclic automata.
 
-1. Words are counted per language. The frequent ones are marked in a bit array
-   of fixed size (``BITS``), which only serves to leave out windows that cannot
-   matter: a word marked by chance costs work, never a result.
-2. Every shard of the corpus sorts its windows of up to ``LONGEST`` frequent
-   words and builds from them, in order, an acyclic automaton: one state per
-   distinct prefix (language, then words), its weight the number of windows
+1. Words are counted per language.
+2. A first pass over the pairs of neighbouring words adds up their counts by
+   hash (sorted and delta-coded per shard and hash range, so a few bytes per
+   distinct pair) and marks the pairs whose sum reaches the least count in a
+   bit array of fixed size (``BITS``). No frequent phrase holds an unmarked
+   pair; a pair marked by chance costs work, never a result.
+3. Every shard of the corpus sorts its windows of up to ``LONGEST`` words in
+   marked pairs and builds from them, in order, an acyclic automaton: one state
+   per distinct prefix (language, then words), its weight the number of windows
    that pass, so the weight of a path is the phrase's count in the shard.
    States are not merged at the end of paths, as their weights differ.
-3. Automata are cut by prefix range (a hash of language and first two words)
+4. Automata are cut by prefix range (a hash of language and first two words)
    and united range by range, level by level: equal (parent, word) arcs become
    one and weights are summed; a state below the least count is cut off with
    all that follows it. Single words come from step 1.
-4. The paths left are the candidates. Both parts of every cut are looked up
+5. The paths left are the candidates. Both parts of every cut are looked up
    by walking the automaton of the part's own range.
 
 A state meets one row per shard at most, however frequent the phrase, and the
@@ -32,20 +35,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.common import lower, materialise, mix, prefix_hashes, read, span_hash, text_chunks
-from ledgerline.llm.spans import SHARD_BYTES, distinct, gathered, runs, strings
+from ledgerline.llm.spans import SHARD_BYTES, distinct, gathered, numbers, runs, strings, varints
 
 LONGEST, LEAST, TOP, UNKNOWN = 5, 100, 2000, "und"
 #: A phrase goes if a longer candidate around it reaches this per cent of its count.
 COVERED = 100
-#: Bits of the array that marks frequent words, two per word: 4 MB at any corpus size.
-BITS = 1 << 25
 SCORE = ("(cast(a as decimal(19, 0)) * cast(n as decimal(19, 0)) * cast(1000 as decimal(4, 0))) div "
          "(cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
-#: Word occurrences per prefix range.
-RANGE_WORDS = 1 << 20
+#: Bits of the array that marks frequent pairs, two per pair: 16 MB at any corpus size.
+BITS = 1 << 27
+#: Word occurrences per range.
+RANGE_WORDS = 2 << 20
+#: Rows of a language are ranked in this many parts before they are ranked together.
+PARTS = 64
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -92,7 +98,7 @@ def word_keys(codes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def prefix_range(first: np.ndarray, second: np.ndarray | None, ranges: int) -> np.ndarray:
     """The range (of a power of two) of phrases that begin with words of these keys."""
-    h = mix(first) if second is None else mix(first * np.uint64(3) + mix(second))
+    h = mix(first) if second is None else mix(pair_hash(first, second))
     return (h >> np.uint64(40)).astype(np.int64) % ranges
 
 
@@ -117,25 +123,104 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
 
 
+def pair_keys(s: Shard) -> np.ndarray:
+    """A hash of each word occurrence and the one after it; 0 at the end of a piece."""
+    own = s.keys[s.pair]
+    out = np.zeros(len(own), np.uint64)
+    out[:-1] = pair_hash(own[:-1], own[1:])
+    out[:-1][s.piece[:-1] != s.piece[1:]] = 0
+    return out
+
+
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * np.uint64(3) + mix(second)) | np.uint64(1)
+
+
+def key_bits(total: int) -> int:
+    """Bits of a pair's key: a key is shared by fewer than one pair in 16."""
+    return min(60, max(32, int(total).bit_length() + 4))
+
+
+def frequent_pairs(docs: DataFrame, total: int, least: int, ranges: int) -> DataFrame:
+    """(key): the top bits of the hashes of word pairs whose counts add up to ``least``."""
+    width = key_bits(total)
+    drop, each = np.uint64(64 - width), -(-(1 << width) // ranges)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in shards(batches):
+            keys = pair_keys(s)
+            kinds, n = np.unique((keys[keys > 0] >> drop).astype(np.int64), return_counts=True)
+            if not len(kinds):
+                continue
+            part = kinds // each
+            heads = np.flatnonzero(np.diff(part, prepend=-1))
+            gap = np.diff(kinds, prepend=0)
+            gap[heads] = kinds[heads]
+            (raw, stop), (raw_n, stop_n) = varints(gap), varints(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[heads]), *(_slices(r, e[np.append(heads[1:], len(kinds)) - 1]) for r, e in ((raw, stop), (raw_n, stop_n)))],
+                ["range", "gaps", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        gaps, sizes = _numbers(table.column("gaps"))
+        n, _ = _numbers(table.column("counts"))
+        keys = np.cumsum(gaps)
+        first = np.cumsum(sizes) - sizes
+        keys -= np.repeat(keys[first] - gaps[first], sizes)
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        head = np.flatnonzero(np.diff(keys, prepend=-1))
+        return pa.table({"key": keys[head[np.add.reduceat(n, head) >= least]]})
+
+    coded = docs.select("lang", "text").mapInArrow(count, "range bigint, gaps binary, counts binary")
+    return coded.groupBy("range").applyInArrow(add, "key bigint")
+
+
+def _slices(raw: np.ndarray, ends: np.ndarray) -> pa.Array:
+    cuts = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts), pa.py_buffer(raw)])
+
+
+def _numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a column of ``varints``, and how many each row has."""
+    raw = [x.as_buffer() for x in column]
+    values, stop = numbers(np.frombuffer(b"".join(raw), np.uint8))
+    return values, np.diff(np.searchsorted(stop, np.cumsum([len(x) for x in raw]), "right"), prepend=0)
+
+
+def _bits(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(keys.astype(np.uint64))
+    return h & np.uint64(size - 1), (h >> np.uint64(32)) & np.uint64(size - 1)
+
+
 def marks(keys: DataFrame) -> np.ndarray:
     """The bit array of the keys, built by the executors; at most BITS / 64 numbers reach the driver."""
-    bit = F.explode(F.array(F.col("key").bitwiseAND(BITS - 1), F.shiftrightunsigned("key", 32).bitwiseAND(BITS - 1)))
-    cells = keys.select(bit.alias("b")).groupBy(F.shiftright("b", 6).alias("cell")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("bits")).toArrow()
-    out = np.zeros(BITS // 64, np.int64)
+    size = BITS
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bit = np.unique(np.concatenate(_bits(b.column(0).to_numpy(), size))).astype(np.int64)
+            cell = bit >> 6
+            heads = np.flatnonzero(np.diff(cell, prepend=-1))
+            value = np.bitwise_or.reduceat(np.uint64(1) << (bit & 63).astype(np.uint64), heads) if len(heads) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell[heads]), pa.array(value.view(np.int64))], ["cell", "bits"])
+
+    cells = keys.mapInArrow(bits, "cell bigint, bits bigint").groupBy("cell").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.int64)
     out[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
 def marked(array: np.ndarray, keys: np.ndarray) -> np.ndarray:
     out = np.ones(len(keys), bool)
-    for bit in (keys & np.uint64(64 * len(array) - 1), (keys >> np.uint64(32)) & np.uint64(64 * len(array) - 1)):
+    for bit in _bits(keys, 64 * len(array)):
         out &= (array[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
     return out
 
 
-#: An automaton in preorder: of every state its depth (0 for the language) and the label of the arc to it, a place in ``labels``.
-_AUTOMATON = "range bigint, labels array<string>, depth binary, label array<int>, weight array<bigint>"
+#: An automaton in preorder: of every state its depth (0 for the language), the label of the arc to it (a place in
+#: ``labels``) and its weight, both as ``varints``.
+_AUTOMATON = "range bigint, labels array<string>, depth binary, label binary, weight binary"
 
 
 def automaton(windows: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,19 +244,17 @@ def automaton(windows: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> tu
     return depth.astype(np.uint8), windows[row, depth], weight[row, depth]
 
 
-def shard_automata(s: Shard, frequent: np.ndarray, longest: int, ranges: int) -> Iterator[tuple]:
-    """(range, labels, depth, label, weight) of the shard's windows of two words and more."""
-    if not len(s.number):
-        return
-    good = frequent[s.pair]
-    follows = np.zeros(len(good), bool)
-    follows[:-1] = good[:-1] & good[1:] & (s.piece[:-1] == s.piece[1:])
+def shard_automata(s: Shard, follows: np.ndarray, longest: int, ranges: int) -> Iterator[tuple]:
+    """(range, labels, depth, label, weight) of the shard's windows of two words and more.
+
+    ``follows`` marks the word occurrences that a window may join with the next one.
+    """
     at = np.flatnonzero(follows)
     if not len(at):
         return
     size, more = np.full(len(at), 2), np.ones(len(at), bool)
     for k in range(2, longest):
-        more &= (at + k < len(good)) & follows[np.minimum(at + k - 1, len(good) - 1)]
+        more &= follows[np.minimum(at + k - 1, len(follows) - 1)]
         size += more
     windows = np.full((len(at), longest + 1), -1, np.int64)
     windows[:, 0] = s.lang[at]
@@ -202,11 +285,8 @@ def shard_automata(s: Shard, frequent: np.ndarray, longest: int, ranges: int) ->
 
 
 def _row(part: int, labels: pa.Array, depth: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[pa.Array]:
-    def listed(values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-    return [pa.array([part], pa.int64()), listed(labels.cast(pa.string())), pa.array([depth.tobytes()], pa.binary()),
-            listed(pa.array(label, pa.int32())), listed(pa.array(weight, pa.int64()))]
+    return [pa.array([part], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(labels)], pa.int32()), labels.cast(pa.string())),
+            *(pa.array([x.tobytes()], pa.binary()) for x in (depth, varints(label)[0], varints(weight)[0]))]
 
 
 _NAMES = ["range", "labels", "depth", "label", "weight"]
@@ -215,10 +295,9 @@ _NAMES = ["range", "labels", "depth", "label", "weight"]
 class Automaton:
     """One automaton read back; states in preorder, with parents."""
 
-    def __init__(self, row: dict):
-        self.labels = row["labels"]
-        self.depth = np.frombuffer(row["depth"], np.uint8)
-        self.label, self.weight = np.asarray(row["label"], np.int64), np.asarray(row["weight"], np.int64)
+    def __init__(self, labels: pa.Array, depth: pa.Buffer, label: pa.Buffer, weight: pa.Buffer):
+        self.labels, self.depth = labels, np.frombuffer(depth, np.uint8)
+        self.label, self.weight = (numbers(np.frombuffer(x, np.uint8))[0] for x in (label, weight))
         self.parent = np.full(len(self.depth), -1)
         for d in range(1, int(self.depth.max(initial=0)) + 1):
             above, here = np.flatnonzero(self.depth == d - 1), np.flatnonzero(self.depth == d)
@@ -226,10 +305,8 @@ class Automaton:
 
 
 def rows_of(table: pa.Table) -> Iterator[Automaton]:
-    columns = [table.column(c).combine_chunks() for c in _NAMES[1:]]
-    for i in range(len(table)):
-        yield Automaton({"labels": columns[0][i].values, "depth": columns[1][i].as_py(),
-                         "label": columns[2][i].values.to_numpy(), "weight": columns[3][i].values.to_numpy()})
+    for labels, *rest in zip(*(table.column(c) for c in _NAMES[1:])):
+        yield Automaton(labels.values, *(x.as_buffer() for x in rest))
 
 
 def united(parts: list[Automaton], words: list[tuple[str, str, int]], least: int):
@@ -237,9 +314,11 @@ def united(parts: list[Automaton], words: list[tuple[str, str, int]], least: int
 
     Weights of single words are taken from ``words`` (lang, word, count) only.
     """
-    names: dict[str, int] = {}
-    number = [np.array([names.setdefault(x, len(names)) for x in p.labels.to_pylist()], np.int64) for p in parts]
-    singles = [(names.setdefault(lang, len(names)), names.setdefault(word, len(names)), n) for lang, word, n in words]
+    langs, own, n_of = (list(x) for x in zip(*words)) if words else ([], [], [])
+    held = [p.labels for p in parts] + [pa.array(langs, pa.string()), pa.array(own, pa.string())]
+    every = pc.dictionary_encode(pa.concat_arrays([x.cast(pa.string()) for x in held]))
+    names, places = every.dictionary, np.split(every.indices.to_numpy().astype(np.int64), np.cumsum([len(x) for x in held])[:-1])
+    number, singles = places[:-2], list(zip(places[-2].tolist(), places[-1].tolist(), n_of))
     deepest = max([1, *(int(p.depth.max(initial=0)) for p in parts)])
     label, parent, weight = [], [], []  # of each level
     state = [np.full(len(p.depth), -1) for p in parts]
@@ -258,10 +337,9 @@ def united(parts: list[Automaton], words: list[tuple[str, str, int]], least: int
             of = {int(x): i for i, x in enumerate(label[0])}
             arcs.append(np.array([of[x[0]] * len(names) + x[1] for x in singles], np.int64))
             counts.append(np.array([x[2] for x in singles], np.int64))
-        every = np.concatenate(arcs) if arcs else np.zeros(0, np.int64)
-        kinds, which = np.unique(every, return_inverse=True)
+        kinds, which = np.unique(np.concatenate(arcs), return_inverse=True)
         total = np.zeros(len(kinds), np.int64)
-        np.add.at(total, which.reshape(-1), np.concatenate(counts) if counts else np.zeros(0, np.int64))
+        np.add.at(total, which.reshape(-1), np.concatenate(counts))
         keep = total >= least if d > 1 else np.ones(len(kinds), bool)
         place = np.where(keep, np.cumsum(keep) - 1, -1)
         label.append(kinds[keep] % max(1, len(names)))
@@ -283,8 +361,7 @@ def united(parts: list[Automaton], words: list[tuple[str, str, int]], least: int
     order = np.lexsort(paths.T[::-1])
     depth = np.repeat(np.arange(deepest + 1), [len(x) for x in label]).astype(np.uint8)
     used, place = np.unique(np.concatenate(label), return_inverse=True)
-    every = np.array(list(names), object)
-    return pa.array(every[used].tolist() if len(used) else [], pa.string()), depth[order], place.reshape(-1)[order], np.concatenate(weight)[order]
+    return names.take(pa.array(used)), depth[order], place.reshape(-1)[order], np.concatenate(weight)[order]
 
 
 def count_automata(docs: DataFrame, counts: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, int]:
@@ -294,11 +371,13 @@ def count_automata(docs: DataFrame, counts: DataFrame, longest: int = LONGEST, l
     while ranges * RANGE_WORDS < total:
         ranges *= 2
     frequent = counts.where(F.col("n") >= least)
-    array = docs.sparkSession.sparkContext.broadcast(marks(frequent))
+    drop = np.uint64(64 - key_bits(total))
+    array = docs.sparkSession.sparkContext.broadcast(marks(frequent_pairs(docs, total, least, ranges)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in shards(batches):
-            for row in shard_automata(s, marked(array.value, s.keys), longest, ranges):
+            keys = pair_keys(s)
+            for row in shard_automata(s, (keys > 0) & marked(array.value, keys >> drop), longest, ranges):
                 yield pa.RecordBatch.from_arrays(_row(*row), _NAMES)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +481,10 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int =
     scored = scored.join(whole, "lang").withColumn("score", F.expr(SCORE))
     best = scored.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.first("n").alias("n"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     ranked = best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score").withColumn(
-        "rank", F.expr("row_number() over (partition by lang order by score desc, a desc, phrase)")).where(F.col("rank") <= top)
+        "part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for within in ("lang, part", "lang"):  # a language's rows meet only after each part kept its first ones
+        ranked = ranked.withColumn("rank", F.expr(f"row_number() over (partition by {within} order by score desc, a desc, phrase)")).where(
+            F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
 
 
