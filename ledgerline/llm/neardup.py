@@ -9,13 +9,14 @@ threshold falls below ``MISS``. Survivors are verified exactly on full sets.
 
 No bucket is expanded into all pairs. First every node is compared with the
 smallest node of each of its buckets; links found join nodes into components.
-After that only buckets that still hold several components are looked at:
-inside a task the signatures of nodes in different components are compared,
-and each node names its plausible partners - the best in the first round, the
-best four in the second, then all. What is linked in
-one round need not be compared in the next, so a bucket of n like nodes costs
-few verifications, while no plausible pair of nodes in different components is
-left out. Buckets of more than ``BLOCK`` nodes are compared block by block.
+After that only buckets that still hold several components are looked at, once:
+inside a task the signatures of nodes in different components are compared
+batch by batch, survivors are verified on the full sets right there, and a
+link joins their components, so a bucket of n like nodes costs few
+verifications while every plausible pair of nodes in different components is
+verified. Only links leave the task, never candidates. Buckets are cut into
+blocks of about ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles, dealt in
+pairs of blocks.
 With 28 bands of 4 rows a pair at similarity 0.8 shares no band with
 probability (1 - 0.8**4)**28 < 1e-6.
 
@@ -48,7 +49,7 @@ BANDS, ROWS = 28, 4
 HASHES, BATCH = 256, 32
 #: Chance of dropping a pair that reaches the threshold, per comparison step.
 MISS = 1e-4
-BLOCK = 1024
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 
 _A = mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _B = mix(np.arange(1001, HASHES + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -159,50 +160,74 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
-def partners(rows: DataFrame, nodes: DataFrame, k: int | None) -> DataFrame:
-    """(a, b): for each node of a bucket its k best (or all) plausible partners in other components.
+def links_inside(rows: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Links (a, b) between nodes of different components that share a bucket; enough of them to join the components.
 
-    A pair that shares several bands is named in the first of them only.
-    Buckets are dealt in pairs of blocks, so a group holds at most about
-    2 * BLOCK rows.
+    A pair that shares several bands is looked at in the first of them only.
+    Buckets are dealt in pairs of blocks, so a group holds at most about two
+    blocks.
     """
     def run(table: pa.Table) -> pa.Table:
-        node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+        node = table.column("node").to_numpy()
+        comp = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1].reshape(-1)
         size, sig = table.column("n_shingles").to_numpy(), _matrix(table.column("sig").combine_chunks())
+        whole = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("whole")]
         side, i, j = table.column("part").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
         bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         here = int(np.flatnonzero((bands == table.column("band")[0].as_py()).all(axis=0))[0])
-        kinds, count = np.unique(comp, return_counts=True)
+        most = np.bincount(comp).argmax()
+        # From each node outside the most frequent component: that component and the nodes that come later.
+        index, rest = np.arange(len(node)), np.flatnonzero(comp != most)
+        first = comp == most
         out = ([], [])
-        for x in np.flatnonzero(comp != kinds[count.argmax()]):
-            other = (comp != comp[x]) & (100 * np.minimum(size, size[x]) >= THRESHOLD * np.maximum(size, size[x]))
+        for x in rest.tolist():
+            other = (comp != comp[x]) & (first | (index > x)) & (100 * np.minimum(size, size[x]) >= THRESHOLD * np.maximum(size, size[x]))
             y = np.flatnonzero(other & (side != side[x]) if i != j else other)
             y = y[~(bands[y, :here] == bands[x, :here]).any(axis=1)]
             near, same = agreeing(sig[x], sig[y])
-            for z in node[y[near[np.lexsort((node[y[near]], -same))[:k]]]].tolist():
-                out[0].append(min(z, int(node[x])))
-                out[1].append(max(z, int(node[x])))
+            for z in y[near[np.argsort(-same, kind="stable")]].tolist():
+                if comp[z] != comp[x]:
+                    both = len(np.intersect1d(whole[x], whole[z], assume_unique=True))
+                    if 100 * both >= THRESHOLD * (size[x] + size[z] - both):
+                        out[0].append(min(int(node[z]), int(node[x])))
+                        out[1].append(max(int(node[z]), int(node[x])))
+                        comp[comp == comp[z]] = comp[x]
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
-    held = rows.join(nodes.select("node", "n_shingles", "bands", "sig"), "node")
-    held = held.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    load = rows.join(nodes.select("node", "n_shingles"), "node").groupBy("band").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    parts = load.select("band", F.expr(f"cast(ceil(greatest(n / {BLOCK}, total / {BLOCK_SHINGLES})) as int)").alias("parts"))
+    held = rows.select("band", "node", "comp").join(parts, "band").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     held = held.withColumn("with", F.explode(F.expr("sequence(0, parts - 1)")))
     held = held.withColumn("i", F.least("part", "with")).withColumn("j", F.greatest("part", "with"))
-    return held.select("band", "node", "comp", "n_shingles", "bands", "sig", "part", "i", "j").groupBy(
+    full = texts_of(rows.select("node").distinct(), nodes, docs, k).mapInArrow(_sets(k), "node bigint, whole binary")
+    own = nodes.select("node", "n_shingles", "bands", "sig").join(full, "node")
+    return held.select("band", "node", "comp", "part", "i", "j").join(own, "node").groupBy(
         "band", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold, from the whole texts of one document per node."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node")
-    texts = docs.select("doc_id", "text").join(needed, "doc_id")
+def _sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets(b.column(1), k)], pa.binary())], ["node", "whole"])
+
+    return run
+
+
+def texts_of(needed: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, text) of the rows ``needed`` (node): the whole text of one document each."""
     # A doc_id with several texts may bring the wrong one: the set decides.
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [node_of(s) == n for s, n in zip(sets(b.column(1), k), b.column(0).to_pylist())]
             yield b.filter(pa.array(own, pa.bool_()))
 
+    texts = docs.select("doc_id", "text").join(needed.join(nodes.select("node", "doc_id"), "node"), "doc_id")
+    return texts.select("node", "text").mapInArrow(right, "node bigint, text string").groupBy("node").agg(F.first("text").alias("text"))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold, from the whole texts of one document per node."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hit, kept = [], {}
@@ -216,8 +241,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> Dat
                 hit.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
             yield b.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
 
-    texts = texts.select("node", "text").mapInArrow(right, "node bigint, text string").groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialise(texts)
+    texts = materialise(texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, docs, k))
     return pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(
         check, "a bigint, b bigint")
 
@@ -235,20 +259,12 @@ def link(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     links = materialise(verified(seen, nodes, docs, k))
     comps = components(links)
     # A bucket of two is settled by its first comparison.
-    rows = rows.where("n > 2").select("band", "node", "n")
-    for many in (1, 4, None):
-        own = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = own.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
-        open_rows = materialise(own.join(mixed, "band"))
-        found = materialise(partners(open_rows, nodes, many).join(seen, ["a", "b"], "left_anti"))
-        if found.isEmpty():
-            continue  # the best were all compared before; others may not have been
-        new = materialise(verified(found, nodes, docs, k))
-        seen = seen.unionByName(found)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            comps = components(links)
-        rows = open_rows.drop("comp")
+    own = rows.where("n > 2").select("band", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = own.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("band")
+    new = materialise(links_inside(materialise(own.join(mixed, "band")), nodes, docs, k))
+    if not new.isEmpty():
+        links = links.unionByName(new)
+        comps = components(links)
     # The same doc_id is one document: its nodes belong together.
     same = sketches.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
     twice = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
