@@ -32,21 +32,43 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
     UPDATED columns of their last changed version.
     """
     key_cols = list(key_cols)
-    # W3 in one aggregate per changed key (shared by both branches below):
-    # UPDATED columns of the last changed version, and for a new key the
-    # insert-only columns of its INSERT version (the first one).
-    upd = ", ".join(f"`{c}`" for c in updated)
-    insert_only = [c for c in columns if c not in updated and c not in key_cols and c != "id"]
-    ins_cols = ", ".join(f"`{c}`" for c in insert_only) or "1 AS _none"
-    changed = classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
-    changes = (changed.groupBy(*key_cols)
-               .agg(F.expr(f"max_by(struct({upd}), `{order_col}`)").alias("_last"),
-                    F.expr(f"min_by(struct({ins_cols}), CASE WHEN change_type = '{INSERT}' "
-                           f"THEN `{order_col}` END)").alias("_ins")))
+    changes = key_changes(classified, order_col, key_cols, updated, columns)
     # Registry keys: every stored row of a changed key takes those values.
     kept = (registry.join(changes.filter("_ins IS NULL").select(*key_cols, "_last"), key_cols, "left")
             .selectExpr(*[(f"CASE WHEN _last IS NOT NULL THEN _last.`{c}` ELSE `{c}` END AS `{c}`"
                            if c in updated else f"`{c}`") for c in columns]))
+    return kept.unionByName(_inserted(changes, key_cols, updated, columns))
+
+
+def change_set(registry: DataFrame, classified: DataFrame, order_col: str = "batch_no",
+               key_cols=DEFAULT_KEYS, updated=UPDATED, columns=REGISTRY_COLUMNS) -> DataFrame:
+    """K1 + K2 as changes only: the rows to write, ``op`` INSERT or UPDATE, in the registry's columns.
+
+    An update gives one row per stored row of the key (its ``id`` names it); no
+    row of an untouched key leaves the join. These rows are the input of a
+    MERGE on ``id`` and of ``sinks.store.commit_changes``' rewrite.
+    """
+    key_cols = list(key_cols)
+    changes = key_changes(classified, order_col, key_cols, updated, columns)
+    hit = registry.join(changes.filter("_ins IS NULL").select(*key_cols, "_last"), key_cols)
+    rows = hit.selectExpr(f"'{UPDATE}' AS op", *[f"_last.`{c}` AS `{c}`" if c in updated else f"`{c}`" for c in columns])
+    return rows.unionByName(_inserted(changes, key_cols, updated, columns).withColumn("op", F.lit(INSERT)))
+
+
+def key_changes(classified: DataFrame, order_col: str, key_cols, updated=UPDATED, columns=REGISTRY_COLUMNS) -> DataFrame:
+    """W3 in one aggregate per changed key: ``_last``, the UPDATED columns of the last changed version, and for a
+    new key ``_ins``, the insert-only columns of its INSERT version (the first one)."""
+    upd = ", ".join(f"`{c}`" for c in updated)
+    insert_only = [c for c in columns if c not in updated and c not in key_cols and c != "id"]
+    ins_cols = ", ".join(f"`{c}`" for c in insert_only) or "1 AS _none"
+    changed = classified.filter(f"change_type IN ('{INSERT}', '{UPDATE}')")
+    return (changed.groupBy(*key_cols)
+            .agg(F.expr(f"max_by(struct({upd}), `{order_col}`)").alias("_last"),
+                 F.expr(f"min_by(struct({ins_cols}), CASE WHEN change_type = '{INSERT}' "
+                        f"THEN `{order_col}` END)").alias("_ins")))
+
+
+def _inserted(changes: DataFrame, key_cols, updated, columns) -> DataFrame:
     new_cols = []
     for c in columns:
         if c == "id":
@@ -57,7 +79,7 @@ def upsert(registry: DataFrame, classified: DataFrame, order_col: str = "batch_n
             new_cols.append(f"_last.`{c}` AS `{c}`")
         else:
             new_cols.append(f"_ins.`{c}` AS `{c}`")
-    return kept.unionByName(changes.filter("_ins IS NOT NULL").selectExpr(*new_cols))
+    return changes.filter("_ins IS NOT NULL").selectExpr(*new_cols)
 
 
 def apply_status(registry: DataFrame, corrections: DataFrame, run_ts, order_col: str = "pos",

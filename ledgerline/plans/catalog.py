@@ -19,11 +19,12 @@ import uuid
 from ledgerline.functions.codes import map_correction_status, map_status
 from ledgerline.functions.dates import bad_date, parse_es_date
 from ledgerline.functions.text import normalise_holder
+from ledgerline.operators.registry import change_set
 from ledgerline.operators import audit, corrections, diff, normalise, pages, slices
 from ledgerline.plans import derived, jobs
 from ledgerline.schemas import KEY, RAW_COLUMNS
 from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sinks import writers
+from ledgerline.sinks import store, writers
 from ledgerline.sources import snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,24 @@ def q_upsert_registry(spark, sf_dir):
     return iso_text(_sync(spark, sf_dir).registry)
 
 
+def q_registry_changes(spark, sf_dir):
+    """K1 + K2 as a change set: only the rows to insert or update."""
+    reg = derived.registry_from_orders(spark, sf_dir)
+    return iso_text(change_set(reg, _sync(spark, sf_dir).classified, "batch_no"))
+
+
+#: Key-hash partitions of the registry store in the queries.
+STORE_BUCKETS = 16
+
+
+def q_store_commit(spark, sf_dir):
+    """K1 + K2 into a partitioned store: the registry stored, the snapshot's changes committed, the next version read back."""
+    base = scratch_dir(spark, "store")
+    store.create_store(derived.registry_from_orders(spark, sf_dir), base, STORE_BUCKETS)
+    version = store.commit_changes(_sync(spark, sf_dir).classified, base, 0)
+    return iso_text(store.read_store(spark, base, version))
+
+
 def q_change_totals(spark, sf_dir):
     """A1: inserts / updates / unchanged of the run."""
     return _sync(spark, sf_dir).totals
@@ -385,8 +404,8 @@ def q_status_mapping(spark, sf_dir):
 
 def q_stream_sync(spark, sf_dir):
     """T1 + T2: both feeds landed as JSON files (class feed first), streamed
-    oldest-first through foreachBatch; the final registry version equals the
-    batch result of ``feeds_registry``."""
+    oldest-first through foreachBatch into a partitioned store; the final
+    registry version equals the batch result of ``feeds_registry``."""
     from ledgerline.streaming.sync import stream_sync
 
     root = scratch_dir(spark, "stream")
@@ -397,10 +416,10 @@ def q_stream_sync(spark, sf_dir):
     for i, feed in enumerate((class_feed, month_feed), start=1):
         writers.write_snapshot_json(feed.withColumn("slice_id", F.col("batch_no").cast("string")),
                                     f"{root}/landing/feed={i}")
-    writers.write_registry_snapshot(derived.registry_from_orders(spark, sf_dir), f"{root}/registry", 0)
+    store.create_store(derived.registry_from_orders(spark, sf_dir), f"{root}/registry", STORE_BUCKETS)
     version = stream_sync(spark, f"{root}/landing/feed=*/slice_id=*/*.txt", f"{root}/registry",
                           f"{root}/checkpoint", derived.RUN_TS, files_per_trigger=64)
-    return iso_text(spark.read.parquet(f"{root}/registry/snapshot={version}"))
+    return iso_text(store.read_store(spark, f"{root}/registry", version))
 
 
 # --- registry scans and sink round trips -------------------------------------------
@@ -476,6 +495,8 @@ def q_verify_and_correct(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
+    "registry_changes": q_registry_changes,
+    "store_commit": q_store_commit,
     "change_totals": q_change_totals,
     "diff_batch": q_diff_batch,
     "normalise_snapshot": q_normalise_snapshot,

@@ -202,6 +202,20 @@ SELECT {REG_OUT} FROM (
          badger_country
   FROM diffed WHERE NOT in_reg)"""
 
+ORACLE["store_commit"] = ORACLE["upsert_registry"]
+
+ORACLE["registry_changes"] = _with(OB, REG, SNAP, DIFF) + f"""
+SELECT op, {REG_OUT} FROM (
+  SELECT 'UPDATE' AS op, r.id, r.request_number, u.registry_number, u.denomination, u.logo_url, r.logo, u.filing_date,
+         u.expiration_date, u.status, u.holder, u.niza_class, u.gazette_number, u.updated_at, r.badger_country
+  FROM reg r JOIN diffed u ON u.request_number = r.request_number AND u.badger_country = r.badger_country
+  WHERE u.columns_changed IS NOT NULL
+  UNION ALL
+  SELECT 'INSERT', {_uuid("badger_country || chr(1) || request_number")}, request_number, registry_number, denomination,
+         logo_url, logo, filing_date, expiration_date, status, holder, niza_class, gazette_number, updated_at,
+         badger_country
+  FROM diffed WHERE NOT in_reg)"""
+
 ORACLE["normalise_snapshot"] = _with(OB, SNAP) + """
 SELECT request_number, registry_number, denomination, logo_url, logo,
        CAST(filing_date AS VARCHAR) AS filing_date, CAST(expiration_date AS VARCHAR) AS expiration_date,
