@@ -108,7 +108,7 @@ def full_sync(spark, landing, registry: DataFrame, lookups: DataFrame, run_ts, g
     the missing keys (``lookups``: request_number, extracted_status, error, pos)."""
     from ledgerline.sources import snapshots
 
-    files = snapshots.number_batches(snapshots.read_files(spark, landing, glob, recursive))
+    files = snapshots.read_numbered(spark, landing, glob, recursive)
     raw, rejects = snapshots.snapshot_raw(files)
     result = sync_registry(raw, registry, run_ts, **sync_options)
     result.rejects = (result.rejects.unionByName(rejects)
