@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 import os
 import uuid
 
-from ledgerline.functions.codes import map_correction_status, map_status
-from ledgerline.functions.dates import bad_date, parse_es_date
+from ledgerline.functions.codes import map_correction_status, map_status, normalise_state, state_index, state_tag
+from ledgerline.functions.dates import bad_date, format_dmy, parse_dmy, parse_es_date
 from ledgerline.functions.text import normalise_holder
 from ledgerline.operators.registry import change_set
 from ledgerline.operators import audit, corrections, diff, normalise, pages, slices
@@ -506,7 +506,107 @@ def q_verify_and_correct(spark, sf_dir):
     return iso_text(new_reg.select("id", KEY, "badger_country", "status", "updated_at"))
 
 
+# --- the remaining operators on driver tables --------------------------------------
+
+def q_full_sync(spark, sf_dir):
+    """Landed class files -> C1 -> C2 on their raw keys -> C3 with looked-up detail pages: the corrected registry."""
+    reg = derived.registry_from_orders(spark, sf_dir)
+    details = derived.detail_pages(spark, sf_dir).withColumn("pos", F.lit(0).cast("bigint"))
+    lookups = pages.detail_status(details, keep=["pos"])
+    out = jobs.full_sync(spark, _landed_snapshot(spark, sf_dir), reg, lookups, derived.RUN_TS,
+                         glob="*.txt", recursive=True, persist=False)
+    return iso_text(out.registry.select("id", KEY, "badger_country", "status", "updated_at"))
+
+
+def _shifted_orders(spark, sf_dir):
+    """Orders with a date moved over the whole calendar of the plans (some before, some after, some null) and a state tag."""
+    o = derived.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return o.selectExpr("o_orderkey", "IF(o_orderkey % 31 = 0, NULL, "
+                        "date_add(to_date(o_orderdate), CAST((o_orderkey % 211 - 170) * 210 AS INT))) AS d",
+                        "IF(o_orderstatus = 'F', 'ACTIVE', 'INACTIVE') AS tag")
+
+
+def q_full_plan_slices(spark, sf_dir):
+    """G1-G6 + G8 + J7: every dated order in the year, month, week or day slice of its state."""
+    plan = slices.full_plan(spark, derived.TODAY)
+    return slices.assign_slices(_shifted_orders(spark, sf_dir), "d", plan, tag_col="tag").select("o_orderkey", "slice_id", "kind")
+
+
+def q_outside_plan(spark, sf_dir):
+    """Orders that no slice of the history plan (G5, active state) holds, those without a date included."""
+    out = slices.outside_plan(_shifted_orders(spark, sf_dir), "d", slices.history_plan(spark), tag_col="tag")
+    return iso_text(out.select("o_orderkey", "d", "tag"))
+
+
+def q_year_block_counts(spark, sf_dir):
+    """G1 + A5: orders per block of five years from 2 January 1900, cut at the end of 1998."""
+    plan = slices.year_slices(spark, "1900-01-02", "1998-12-31", 5)
+    return slices.slice_counts(slices.assign_slices(_shifted_orders(spark, sf_dir), "d", plan), plan)
+
+
+def q_day_slice_counts(spark, sf_dir):
+    """G4 + A5: events per day slice of one quarter, zero for days without."""
+    plan = slices.day_slices(spark, "2024-01-01", "2024-03-31")
+    ev = derived.load(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("d"))
+    return slices.slice_counts(slices.assign_slices(ev, "d", plan), plan)
+
+
+def q_date_range(spark, sf_dir):
+    """P10: active registry rows filed in an inclusive range of dates."""
+    out = slices.date_range_rows(_tagged_registry(spark, sf_dir), "filing_date", "1994-02-28", "1996-02-29", "tag", "ACTIVE")
+    return iso_text(out.select("id", "filing_date", "tag"))
+
+
+def q_class_filter(spark, sf_dir):
+    """Registry rows of one class code."""
+    return slices.class_rows(derived.registry_from_orders(spark, sf_dir), "niza_class", 35).select("id", "niza_class")
+
+
+def q_state_tags(spark, sf_dir):
+    """state words with padding, case and other values -> state, slice tag and form index."""
+    raw = ("CASE o_orderkey % 7 WHEN 0 THEN 'active' WHEN 1 THEN '  Active ' WHEN 2 THEN 'INACTIVE' WHEN 3 THEN 'ACTIVE' "
+           "WHEN 4 THEN '' WHEN 5 THEN 'activo' END")
+    o = derived.load(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{raw} AS raw")
+    return o.select("o_orderkey", normalise_state("raw").alias("state"), state_tag("raw").alias("tag"), state_index("raw").alias("form_index"))
+
+
+def q_dmy_dates(spark, sf_dir):
+    """F16: dates written as dd/MM/yyyy and read back; texts of other forms give no date."""
+    o = derived.load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    text = (F.when(F.col("o_orderkey") % 5 == 0, F.date_format("d", "yyyy-MM-dd"))
+            .when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("31/02/"), F.year("d").cast("string"))).otherwise(format_dmy("d")))
+    return iso_text(o.select("o_orderkey", text.alias("text"), parse_dmy(text).alias("parsed"), format_dmy("d", "_").alias("written")))
+
+
+def q_missing_key_rejects(spark, sf_dir):
+    """Q1: snapshot records that landed without a request number, as reject rows."""
+    raw = derived.snapshot_batch(derived.snapshot_from_orders(spark, sf_dir)).withColumn(
+        KEY, F.expr(f"CASE WHEN pos % 9 = 0 THEN NULL WHEN pos % 9 = 1 THEN '' ELSE {KEY} END"))
+    return normalise.reject_missing_key(raw).select("source", "pos", "request_number", "column", "reason")
+
+
+def q_common_columns(spark, sf_dir):
+    """P3 + P4: customers and suppliers over the columns that both have, in the customers' order."""
+    c = derived.load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS request_number", "c_name AS name", "c_nationkey AS nation", "c_acctbal AS balance", "c_mktsegment AS segment")
+    p = derived.load(spark, sf_dir, "supplier").selectExpr(
+        "s_acctbal AS balance", "s_suppkey AS request_number", "s_nationkey AS nation", "s_name AS name")
+    both = normalise.common_columns(c, p)
+    return normalise.align_columns(c, ["absent", *both]).unionByName(normalise.align_columns(p, both))
+
+
 QUERIES: dict[str, Query] = {
+    "full_sync": q_full_sync,
+    "full_plan_slices": q_full_plan_slices,
+    "outside_plan": q_outside_plan,
+    "year_block_counts": q_year_block_counts,
+    "day_slice_counts": q_day_slice_counts,
+    "date_range": q_date_range,
+    "class_filter": q_class_filter,
+    "state_tags": q_state_tags,
+    "dmy_dates": q_dmy_dates,
+    "missing_key_rejects": q_missing_key_rejects,
+    "common_columns": q_common_columns,
     "sync_report": q_sync_report,
     "upsert_registry": q_upsert_registry,
     "registry_changes": q_registry_changes,

@@ -534,3 +534,92 @@ SELECT r.id, r.request_number, r.badger_country,
        CAST(CASE WHEN f.request_number IS NOT NULL AND r.badger_country = 'COLOMBIA' THEN TIMESTAMP '{RUN_TS}'
                  ELSE r.updated_at END AS VARCHAR) AS updated_at
 FROM reg r LEFT JOIN fix f ON f.request_number = r.request_number"""
+
+ORACLE["full_sync"] = _with(OB, SNAP) + f"""
+, next AS ({ORACLE["upsert_registry"]}),
+fix AS (
+  SELECT DISTINCT n.request_number FROM next n JOIN ob ON ob.request_number = n.request_number
+  WHERE n.status IN ({ACTIVE}) AND ob.o_orderstatus = 'O' AND n.request_number NOT IN (SELECT request_number FROM snap))
+SELECT n.id, n.request_number, n.badger_country,
+       CASE WHEN f.request_number IS NOT NULL AND n.badger_country = 'COLOMBIA' THEN 'EXAMEN_DE_FONDO' ELSE n.status END AS status,
+       CASE WHEN f.request_number IS NOT NULL AND n.badger_country = 'COLOMBIA' THEN '{RUN_TS}' ELSE n.updated_at END AS updated_at
+FROM next n LEFT JOIN fix f ON f.request_number = n.request_number"""
+
+SHIFTED = """
+shifted AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 THEN
+           CAST(CAST(o_orderdate AS DATE) + INTERVAL ((o_orderkey % 211 - 170) * 210) DAY AS DATE) END AS d,
+         CASE WHEN o_orderstatus = 'F' THEN 'ACTIVE' ELSE 'INACTIVE' END AS tag
+  FROM orders)"""
+
+_NAME = "strftime(lo, '%d_%m_%Y') || '_' || strftime(hi, '%d_%m_%Y')"
+
+
+def _weeks(lo: str, hi: str) -> str:
+    return (f"SELECT CAST(m AS DATE) AS lo, CAST(least(m + INTERVAL 6 DAY, DATE '{hi}') AS DATE) AS hi, 'week' AS kind "
+            f"FROM generate_series(DATE '{lo}', DATE '{hi}', INTERVAL 7 DAY) g(m)")
+
+
+HISTORY = f"""
+history AS (
+  SELECT CAST(lo AS DATE) AS lo, CAST(hi AS DATE) AS hi, 'year' AS kind FROM (VALUES
+    ('1900-01-02', '1970-12-31'), ('1971-01-01', '1975-12-31'), ('1976-01-01', '1980-12-31'), ('1981-01-01', '1985-12-31'),
+    ('1986-01-01', '1986-12-31'), ('1987-01-01', '1987-12-31'), ('1988-01-01', '1988-12-31')) y(lo, hi)
+  UNION ALL
+  SELECT CAST(m AS DATE), last_day(m), 'month' FROM generate_series(DATE '1989-01-01', DATE '2014-11-01', INTERVAL 1 MONTH) g(m)
+  UNION ALL {_weeks('2014-12-01', '2018-12-31')})"""
+
+ORACLE["full_plan_slices"] = _with(SHIFTED, HISTORY) + f"""
+, plan AS (
+  SELECT * FROM history
+  UNION ALL {_weeks('2019-01-01', '2022-12-27')}
+  UNION ALL SELECT CAST(m AS DATE), CAST(m AS DATE), 'day' FROM generate_series(DATE '2022-12-28', DATE '2022-12-31', INTERVAL 1 DAY) g(m)
+  UNION ALL {_weeks('2023-01-01', derived_today)})
+SELECT o_orderkey, {_NAME} || '_' || tag AS slice_id, kind FROM shifted JOIN plan ON d BETWEEN lo AND hi"""
+
+ORACLE["outside_plan"] = _with(SHIFTED, HISTORY) + """
+SELECT o_orderkey, CAST(d AS VARCHAR) AS d, tag FROM shifted
+WHERE d IS NULL OR tag <> 'ACTIVE' OR NOT EXISTS (SELECT 1 FROM history WHERE d BETWEEN lo AND hi)"""
+
+ORACLE["year_block_counts"] = _with(SHIFTED) + f"""
+, plan AS (
+  SELECT CAST(m AS DATE) AS lo, CAST(least(m + INTERVAL 5 YEAR - INTERVAL 1 DAY, DATE '1998-12-31') AS DATE) AS hi
+  FROM generate_series(DATE '1900-01-02', DATE '1998-12-31', INTERVAL 5 YEAR) g(m))
+SELECT {_NAME} || '_ACTIVE' AS slice_id, 'year' AS kind, count(o_orderkey) AS n
+FROM plan LEFT JOIN shifted ON d BETWEEN lo AND hi GROUP BY ALL"""
+
+ORACLE["day_slice_counts"] = f"""
+WITH plan AS (
+  SELECT CAST(m AS DATE) AS lo, CAST(m AS DATE) AS hi FROM generate_series(DATE '2024-01-01', DATE '2024-03-31', INTERVAL 1 DAY) g(m))
+SELECT {_NAME} || '_ACTIVE' AS slice_id, 'day' AS kind, count(event_id) AS n
+FROM plan LEFT JOIN events ON CAST(ts AS DATE) = lo GROUP BY ALL"""
+
+ORACLE["date_range"] = _with(OB, REG, TAGGED) + """
+SELECT id, CAST(filing_date AS VARCHAR) AS filing_date, tag FROM tagged
+WHERE tag = 'ACTIVE' AND filing_date >= DATE '1994-02-28' AND filing_date <= DATE '1996-02-29'"""
+
+ORACLE["class_filter"] = _with(OB, REG) + """
+SELECT id, niza_class FROM reg WHERE niza_class = '35'"""
+
+ORACLE["state_tags"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 3) THEN 'active' ELSE 'inactive' END AS state,
+       CASE WHEN o_orderkey % 7 IN (0, 1, 3) THEN 'ACTIVE' ELSE 'INACTIVE' END AS tag,
+       CASE WHEN o_orderkey % 7 IN (0, 1, 3) THEN '0' ELSE '1' END AS form_index
+FROM orders"""
+
+ORACLE["dmy_dates"] = """
+SELECT o_orderkey,
+       CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN '31/02/' || strftime(o_orderdate, '%Y')
+         ELSE strftime(o_orderdate, '%d/%m/%Y') END AS text,
+       CASE WHEN o_orderkey % 5 > 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS parsed,
+       strftime(o_orderdate, '%d_%m_%Y') AS written
+FROM orders"""
+
+ORACLE["missing_key_rejects"] = _with(OB, SNAP) + """
+SELECT 'snapshot' AS source, o_orderkey AS pos, CASE WHEN o_orderkey % 9 = 1 THEN '' END AS request_number,
+       'request_number' AS "column", 'missing key' AS reason
+FROM snap WHERE o_orderkey % 9 < 2"""
+
+ORACLE["common_columns"] = """
+SELECT c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM customer
+UNION ALL SELECT s_name, s_nationkey, s_acctbal FROM supplier"""
