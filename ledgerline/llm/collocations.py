@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.common import lower, materialise, mix, prefix_hashes, read, span_hash, text_chunks
-from ledgerline.llm.spans import SHARD_BYTES, distinct, gathered, numbers, runs, strings, varints
+from ledgerline.llm.spans import distinct, gathered, numbers, runs, strings, varints
 
 LONGEST, LEAST, TOP, UNKNOWN = 5, 100, 2000, "und"
 #: A phrase goes if a longer candidate around it reaches this per cent of its count.
@@ -48,6 +48,8 @@ SCORE = ("(cast(a as decimal(19, 0)) * cast(n as decimal(19, 0)) * cast(1000 as
          "(cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
 #: Bits of the array that marks frequent pairs, two per pair: 16 MB at any corpus size.
 BITS = 1 << 27
+#: Text bytes of a shard; a word takes some hundred bytes of working memory.
+SHARD = 2 << 20
 #: Word occurrences per range.
 RANGE_WORDS = 2 << 20
 #: Rows of a language are ranked in this many parts before they are ranked together.
@@ -104,9 +106,9 @@ def prefix_range(first: np.ndarray, second: np.ndarray | None, ranges: int) -> n
 
 def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
     """Shards of batches of (lang, text)."""
-    for batch in gathered(batches):
+    for batch in gathered(batches, limit=SHARD):
         langs = batch.column(0).to_pylist()
-        for a, b, data, offs in text_chunks(batch.column(1), SHARD_BYTES):
+        for a, b, data, offs in text_chunks(batch.column(1), SHARD):
             yield Shard(langs, a, b, data, offs)
 
 
