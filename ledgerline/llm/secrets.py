@@ -41,6 +41,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BLOB = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Base64 in the URL-safe alphabet, from a run's first character on.
+_URLSAFE = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*+[-_])[A-Za-z0-9_-]{16,}+={0,2}")
 #: Runs over single line breaks, and the run of one line in them.
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)++={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
@@ -227,15 +229,45 @@ def wrapped(text: str) -> Iterator[tuple[int, int, str]]:
             i = j
 
 
+class Places:
+    """How a layer's positions map to the whole text: stretches by their start, each with its span there and whether
+    it maps as a whole (1) or sign by sign (0). One list per layer, however deep it lies."""
+
+    def __init__(self, starts: list[int], places: list[tuple[int, int, int]]):
+        self.starts, self.places = starts, places
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        i, j = bisect_right(self.starts, a) - 1, bisect_right(self.starts, max(a, b - 1)) - 1
+        start = self.places[i][0] if self.places[i][2] else self.places[i][0] + a - self.starts[i]
+        end = self.places[j][1] if self.places[j][2] else self.places[j][0] + b - self.starts[j]
+        return start, end
+
+    def under(self, starts: list[int], places: list[tuple[int, int, int]]) -> Places:
+        """The map of a layer whose stretches map to this layer by ``places``."""
+        new_starts, new_places = [], []
+        for at, (a, b, whole) in zip(starts, places):
+            if whole:
+                new_starts.append(at)
+                new_places.append((*self.span(a, b), 1))
+                continue
+            i = bisect_right(self.starts, a) - 1
+            while i < len(self.starts) and (self.starts[i] < b or self.starts[i] <= a):
+                first = max(a, self.starts[i])
+                x, y, one = self.places[i]
+                new_starts.append(at + first - a)
+                new_places.append((x, y, 1) if one else (x + first - self.starts[i], y, 0))
+                i += 1
+        return Places(new_starts, new_places)
+
+
 def spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base findings, and all findings including those of every decoded layer, both sorted."""
     base = sorted(scan(text))
     found, seen = set(base), set()
-    # Layer text, and how its positions map to the whole text: breakpoints with places, or one place for all.
-    work: list[tuple[str, object]] = [(text, lambda a, b: (a, b))]
+    work: list[tuple[str, Places]] = [(text, Places([0], [(0, len(text), 0)]))]
     while work:
         layer, back = work.pop()
-        place = back(0, len(layer)) if layer else (0, 0)
+        place = back.span(0, len(layer)) if layer else (0, 0)
         key = (hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest(), place) if seen or work or layer is not text else None
         if key is not None:
             if key in seen:
@@ -243,35 +275,22 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
             seen.add(key)
         if layer is not text:
             for a, kind, b in scan(layer):
-                start, end = back(a, b)
+                start, end = back.span(a, b)
                 found.add((start, kind, end))
         if "%" in layer or "\\" in layer or "&#" in layer:
             step = unescape(layer)
             if step and step[0] != layer:
-                work.append((step[0], _mapped(step[1], step[2], back)))
-        for m in _BLOB.finditer(layer):
-            for inner in blob_texts(m.group()):
-                if inner != layer:
-                    at = back(m.start(), m.end())
-                    work.append((inner, lambda a, b, at=at: at))
-        for start, end, run in wrapped(layer) if "\n" in layer else ():
+                work.append((step[0], back.under(step[1], step[2])))
+        blobs = [(m.start(), m.end(), m.group()) for m in _BLOB.finditer(layer)]
+        if "-" in layer or "_" in layer:
+            blobs += [(m.start(), m.end(), m.group()) for m in _URLSAFE.finditer(layer)]
+        for start, end, run in chain(dict.fromkeys(blobs), wrapped(layer) if "\n" in layer else ()):
             for inner in blob_texts(run):
                 if inner != layer:
-                    at = back(start, end)
-                    work.append((inner, lambda a, b, at=at: at))
+                    work.append((inner, Places([0], [(*back.span(start, end), 1)])))
     return base, sorted(found)
 
 
-def _mapped(starts: list[int], places: list[tuple[int, int, int]], back):
-    def to_parent(a: int, b: int) -> tuple[int, int]:
-        i, j = bisect_right(starts, a) - 1, bisect_right(starts, max(a, b - 1)) - 1
-        start = places[i][0] if places[i][2] else places[i][0] + a - starts[i]
-        end = places[j][1] if places[j][2] else places[j][0] + b - starts[j]
-        return back(start, end)
-
-    return to_parent
-
-
 def joined(found: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in found)
 
