@@ -40,7 +40,9 @@ CYRILLIC = "бел вор гор дан ел жан зор иг кал лин м
 LATIN_ENDINGS = {"m": "o on us ert".split(), "f": "a ia elle ine".split(), "n": "in el an is".split(), "s": "er mann ley ez".split()}
 CYRILLIC_ENDINGS = {"m": "ан ей ил ор".split(), "f": "ана ия ина елла".split(), "n": "ай ень ис эль".split(), "s": "ко ич ук ян".split()}
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: Labels are taken for good, up to the next one that begins with two letters, so long domains need no stack.
+_EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++"
+          r"@(?:(?:[A-Za-z0-9-]++\.(?![A-Za-z]{2}))*+[A-Za-z0-9-]++\.(?=[A-Za-z]{2}))++[A-Za-z]{2,}")
 _IP = r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
@@ -129,7 +131,9 @@ def core(of: str, entity: str, attempt: str) -> str:
     card = f"element_at(transform(array({body}), b -> concat(b, cast({luhn} as string))), 1)"
     octets = f"array_join(transform(split({entity}, '[.]'), (o, i) -> cast(1 + {_number(h, 'i')} % 223 as string)), '.')"
     local = f"substring_index({entity}, '@', 1)"
-    email = f"concat({_signs(local, h)}, '@mail', cast({_number(h, '31')} as string), '.example.net')"
+    # Later attempts bring further numbers: one-sign names at many domains never run out.
+    hosts = f"array_join(transform(sequence(0, least({attempt}, 12)), j -> cast({_number(h, '31 - j')} as string)), '-')"
+    email = f"concat({_signs(local, h)}, '@mail', {hosts}, '.example.net')"
     words = f"split(substring({entity}, 3), '[ -]')"
     name = (f"concat(substring({entity}, 1, 2), array_join(transform({words}, (w, i) ->"
             f" lower({_word(h, f'i = size({words}) - 1', entity, 'i', attempt)})), ' '))")
