@@ -30,8 +30,7 @@ TAG_RE = r"(?s)<[^>]*>"
 #: A table that is not the grid and holds no further table (a pager in a cell).
 NESTED_RE = (r'(?is)<table\b(?![^>]*\bid="' + GRID_ID + r'")[^>]*>(?:(?!</?table\b).)*+</table>')
 PAGER_RE = r'(?is)<tr\b[^>]*\bclass="[^"]*gridview_pager[^"]*"[^>]*>.*?</tr>'
-#: Tables in cells are removed from the inside out, this many levels deep.
-NESTING = 3
+TABLE_TAG_RE = r"(?i)</?table\b"
 TR = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 TD = r"(?is)<td\b[^>]*>(.*?)</td>"
 TH = r"(?is)<th\b[^>]*>(.*?)</th>"
@@ -42,6 +41,20 @@ def _element_text(html: Column, element_id: str) -> Column:
     return F.regexp_extract(html, r'(?is)<(\w+)\b[^>]*\bid="' + element_id + r'"[^>]*>(.*?)</\1>', 2)
 
 
+def _depth(html: str) -> str:
+    """SQL: how deep tables nest in the page, by counting its table tags up and down."""
+    return (f"aggregate(regexp_extract_all({html}, {sql_lit(TABLE_TAG_RE)}, 0), struct(0 AS now, 0 AS most), "
+            "(s, t) -> struct(if(t LIKE '</%', greatest(s.now - 1, 0), s.now + 1) AS now, "
+            "greatest(s.most, if(t LIKE '</%', 0, s.now + 1)) AS most), s -> s.most)")
+
+
+def without_inner_tables(html: str) -> str:
+    """SQL: the page without the tables nested in its grid's cells, however deep: innermost ones go first,
+    one level a step, as many steps as the page has levels."""
+    return (f"if({_depth(html)} < 2, {html}, aggregate(sequence(2, greatest({_depth(html)}, 2)), {html}, "
+            f"(page, i) -> regexp_replace(page, {sql_lit(NESTED_RE)}, '')))")
+
+
 def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",)) -> DataFrame:
     """X1 + X2 + P9: one row of RAW_COLUMNS per data line of each page's result grid.
 
@@ -59,9 +72,7 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     All cells of a line are decoded together: two Arrow calls per batch.
     """
     keep = [f"`{k}`" for k in keep]
-    flat = f"`{html_col}`"
-    for _ in range(NESTING):
-        flat = f"regexp_replace({flat}, {sql_lit(NESTED_RE)}, '')"
+    flat = without_inner_tables(f"`{html_col}`")
     # A pager row stays as an empty row, so the row numbers are the grid's.
     grid = f"regexp_replace(regexp_extract({flat}, {sql_lit(GRID_RE)}, 1), {sql_lit(PAGER_RE)}, '<tr></tr>')"
     trs = pages.selectExpr(*keep, f"regexp_extract_all({grid}, {sql_lit(TR)}, 1) AS _trs")

@@ -297,30 +297,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def q_json_roundtrip(spark, sf_dir):
-    """K6 -> S1 + S2 + S3 + O2 -> P2: the snapshot landed as one batch per class
-    slice (above the cap of several documents), read back whole-file by the
-    manifest, parsed as VARIANT and normalised. Every key of a slice lands
-    twice, the later record with another status: the first one counts (W1)."""
-    files = snapshots.read_batches(spark, _landed_twice(spark, sf_dir))
+    """K6 -> S1 + S2 + S3 + O2 -> P2: the snapshot landed as one JSON array per
+    class slice, read back whole-file, parsed as VARIANT and normalised."""
+    files = snapshots.read_numbered(spark, _landed_snapshot(spark, sf_dir), glob="*.txt", recursive=True)
     raw, _ = snapshots.snapshot_raw(files)
-    first = diff.first_per_key(raw, ["batch_no", KEY], "pos")
-    return iso_text(normalise.normalise(first, derived.RUN_TS).drop("batch_id", "batch_no", "pos"))
+    return iso_text(normalise.normalise(raw, derived.RUN_TS).drop("batch_id", "batch_no", "pos"))
 
 
-#: Rows of a document in ``_landed_twice``: less than a slice at any scale factor.
-LANDED_CAP = 100
+#: Slices of ``json_batches``: few enough to be above the cap of a document, the last one empty.
+WIDE_SLICES = 5
 
 
-def _landed_twice(spark, sf_dir) -> str:
+def q_json_batches(spark, sf_dir):
+    """K6 with a manifest -> S1 + O2 -> W1 -> P2: slices above the cap landed as several documents, an empty one as
+    ``[]``, read back as one batch each. Every key lands twice in its slice, the later record with another status:
+    the first one by original position counts."""
     snap = derived.snapshot_from_orders(spark, sf_dir)
     last = derived.load(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0
-    landing = scratch_dir(spark, "landing")
-    slice_id = F.concat(F.lit("niza_"), F.col("niza_class"), F.lit("_1900_1900_ACTIVE")).alias("slice_id")
+    slice_id = F.expr(f"concat('niza_', CAST(niza_class AS INT) % {WIDE_SLICES} + 1, '_1900_1900_ACTIVE')").alias("slice_id")
     first = snap.select(slice_id, F.col("o_orderkey").alias("pos"), *RAW_COLUMNS)
     again = snap.withColumn("status", F.lit("Negada")).select(slice_id, (F.col("o_orderkey") + last + 1).alias("pos"), *RAW_COLUMNS)
-    writers.write_snapshot_json(first.unionByName(again), landing, max_records=LANDED_CAP,
-                                slices=slices.class_plan(spark).select("slice_id"))
-    return landing
+    landing = scratch_dir(spark, "landing")
+    writers.write_snapshot_json(first.unionByName(again), landing,
+                                slices=slices.class_plan(spark, WIDE_SLICES + 1).select("slice_id"))
+    raw, _ = snapshots.snapshot_raw(snapshots.read_batches(spark, landing))
+    kept = diff.first_per_key(raw, ["batch_no", KEY], "pos")
+    return iso_text(normalise.normalise(kept, derived.RUN_TS).drop("batch_id", "batch_no", "pos"))
 
 
 def _event_docs(spark, sf_dir):
@@ -635,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "classify_pages": q_classify_pages,
     "page_titles": q_page_titles,
     "json_roundtrip": q_json_roundtrip,
+    "json_batches": q_json_batches,
     "json_records": q_json_records,
     "json_rejects": q_json_rejects,
     "union_feeds": q_union_feeds,

@@ -232,9 +232,11 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = ("concat('<html><body><span id=\"MainContent_ctrlTMSearch_ctrlProcList_hdrNbItems\">Resultados: ', "
             f"CAST(size(rows) AS STRING), '</span><table id=\"{GRID}\" class=\"grid\"><tbody>', {header}, "
             f"array_join(transform(rows, (r, i) -> {render}), ''), "
-            "'<tr class=\"gridview_pager\"><td colspan=\"11\"><table><tbody><tr><td><span>1</span></td>"
-            "<td><a href=\"#2\">2</a></td><td><a href=\"#3\">3</a></td></tr></tbody></table></td></tr>"
-            "</tbody></table></body></html>')")
+            "'<tr class=\"gridview_pager\"><td colspan=\"11\">', "
+            # The pager of page n lies in n % 6 tables, one in the other.
+            "repeat('<table><tbody><tr><td>', page_no % 6), '<table><tbody><tr><td><span>1</span></td>"
+            "<td><a href=\"#2\">2</a></td><td><a href=\"#3\">3</a></td></tr></tbody></table>', "
+            "repeat('</td></tr></tbody></table>', page_no % 6), '</td></tr></tbody></table></body></html>')")
     return pages.selectExpr(
         "concat('L', CAST(listing_id AS STRING), '-', CAST(page_no AS STRING)) AS page_id",
         "listing_id", "page_no", f"{html} AS html")

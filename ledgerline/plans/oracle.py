@@ -373,6 +373,8 @@ FROM pages"""
 
 ORACLE["json_roundtrip"] = ORACLE["normalise_snapshot"]
 
+ORACLE["json_batches"] = ORACLE["normalise_snapshot"]
+
 ORACLE["json_records"] = """
 SELECT event_id, CAST(p AS BIGINT) AS pos, json_extract_string(props, '$.k') AS k
 FROM events, (SELECT unnest([0, 1]) AS p) ps

@@ -62,3 +62,21 @@ def test_nested_pager_and_long_grid(spark):
     got = pages.parse_result_rows(df).select("page_id", "request_number").collect()
     for p in ("top", "foot", "layout"):
         assert sorted(r[1] for r in got if r[0] == p) == sorted(f"SD{i}" for i in range(300))
+
+
+def test_tables_nested_to_any_depth(spark):
+    """Rows of tables in cells are not the grid's, at whatever depth, in text cells and pagers alike."""
+    from ledgerline.operators.pages import GRID_ID, parse_result_rows, without_inner_tables
+
+    def nested(depth):
+        return "<table><tr><td>x</td><td>y</td></tr><tr><td>a</td><td>" * depth + "<table id='n'></table>" + "</td></tr></table>" * depth
+
+    for depth in (0, 1, 3, 5, 12):
+        grid = (f'<table id="{GRID_ID}"><tr><th>h</th></tr><tr><td>1</td><td>K1{nested(depth)}</td></tr>'
+                f'<tr class="gridview_pager"><td>{nested(depth)}</td></tr><tr><td>2</td><td>K2</td></tr></table>')
+        page = f"<html><table><tr><td><TABLE class='l'><tr><td>{grid}</td></tr></TABLE></td></tr></table><table><tr><td>after</td></tr></table></html>"
+        rows = parse_result_rows(spark.createDataFrame([("p", page)], "page_id string, html string")).collect()
+        assert [(r.row_no, r.request_number) for r in sorted(rows, key=lambda r: r.row_no)] == [(2, "K1"), (4, "K2")], depth
+    odd = [("",), (None,), ("</table></table><table>",), ("no tables",)]
+    got = spark.createDataFrame(odd, "h string").selectExpr(f"{without_inner_tables('h')} AS v").collect()
+    assert [r.v for r in got] == ["", None, "</table></table><table>", "no tables"]
