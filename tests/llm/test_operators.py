@@ -354,6 +354,66 @@ def test_attention_gradient_and_windows():
     assert np.allclose(whole[5:120], alone, atol=1e-5) and (whole < 0).all()
 
 
+def _plain_log_share(p, before, target):
+    """Log share of class ``target`` after the input classes ``before``, one sum at a time in double precision."""
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    h = [p["embed"][c] + p["place"][i] for i, c in enumerate(before)]
+    q = h[-1] @ p["q"]
+    a = [q @ (x @ p["k"]) / math.sqrt(attention.WIDTH) for x in h]
+    a = [math.exp(x - max(a)) for x in a]
+    mixed = sum(w * (x @ p["v"]) for w, x in zip(a, h)) / sum(a)
+    z = (h[-1] + mixed @ p["o"]) @ p["out"] + p["bias"]
+    return z[target] - np.logaddexp.reduce(z)
+
+
+def test_attention_scores_are_those_of_the_plain_model():
+    rng = np.random.default_rng(1)
+    p = attention.unpack(attention.initial(np.arange(attention.CLASSES)))
+    ids = rng.integers(0, attention.CLASSES, 100)
+    for scale in (1, 4):  # the larger weights need the guarded exponentials
+        scaled = {k: v * np.float32(scale) for k, v in p.items()}
+        got = attention.score(scaled, ids, np.array([0, 3, 100]))
+        for first, end in ((0, 3), (3, 100)):
+            inputs = [attention.START, *ids[first:end].tolist()]
+            for t in range(end - first):
+                begin = max(0, -(-(t + 1 - attention.LENGTH) // attention.STRIDE)) * attention.STRIDE
+                want = _plain_log_share(scaled, inputs[begin:t + 1], ids[first + t])
+                assert abs(got[first + t] - want) < 1e-3 * max(1.0, abs(want))
+
+
+def test_padding_is_not_learnt_from():
+    rng = np.random.default_rng(2)
+    p = {k: v.astype(np.float64) for k, v in attention.unpack(attention.initial(np.ones(attention.CLASSES))).items()}
+    w = rng.integers(0, attention.CLASSES, (3, 9))
+    padded = np.concatenate([w, np.full((3, 6), -1)], axis=1)
+    (loss, g), (same, h) = (attention.loss_and_gradient(p, x[:, :-1], x[:, 1:]) for x in (w, padded))
+    assert abs(loss - same) < 1e-9
+    assert all(np.allclose(g[k], h[k], atol=1e-9) for k in g)
+
+
+def test_every_training_text_gives_windows(spark):
+    rows = [(0, "", False), (1, "one", False), (2, "word " * 40, False), (3, "word " * 3000, False), (4, "word", True), (5, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    got = [r.ids for r in lm.windows(docs).collect()]
+    assert all(len(w) == attention.LENGTH + 1 for w in got)
+    assert len(got) == 1 + 1 + 1 + 1 + 3000 // lm.WORDS_PER_WINDOW + 1
+    assert got.count([lm.START_ID, lm.END_TOKEN] + [lm.PADDING] * (attention.LENGTH - 1)) == 2
+
+
+def test_lexicon_keeps_every_word_once():
+    texts = [b"b a b", b"c a", b"", b"d c e"]
+    lexicon, seen = lm.Lexicon(), []
+    for t in texts:
+        data, starts, ends, h, _ = lm.word_hashes(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
+        kind, at, of = np.unique(h, return_index=True, return_inverse=True)
+        seen += lexicon.rows_of(kind, data, starts[at], ends[at])[of].tolist() if len(h) else []
+    assert lexicon.rows == 5 and len(set(seen)) == 5
+    ids, size = lexicon.tables()
+    begin = np.cumsum(size) - size
+    got = [ids[begin[r]:begin[r] + size[r]].tolist() for r in seen]
+    assert got == [wordpieces.word_ids([w])[0].tolist() for t in texts for w in t.split()]
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(15)] + [(3, None, 0)], "doc_id long, quality int, toxic int")
     got = quality.classify(docs, labels).collect()
