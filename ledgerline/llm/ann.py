@@ -5,8 +5,10 @@ sorted arrays. A query opens a window around its own value in every array; the
 windows are widened round by round (virtual rehashing: the same arrays serve
 every radius), and a vector that lies in enough windows - its collision count
 reaches the threshold - is verified by its exact distance. A round is the last
-when the k-th verified distance lies within the round's radius, or when a share
-``VERIFIED`` of the vectors has been verified.
+when the k-th verified distance lies within the round's radius. Where a share
+``VERIFIED`` of the block has been verified before that - as where many copies
+collide - counting on costs more than measuring, and all the block's other
+vectors are verified too: such a query is answered exactly on the block.
 
 Vectors are dealt into blocks of about ``BLOCK`` rows by a hash of their id and
 queries into chunks; each (block, chunk) is one independent unit that returns
@@ -33,10 +35,11 @@ from ledgerline.llm.vectors import matrix, usable
 NEAREST = 10
 BLOCK, CHUNK = 8192, 512
 PROJECTIONS = 160
+#: Verified share of a block from which the rest of it is verified as well.
+VERIFIED = 0.2
 #: Window half-width per unit of radius, and the share of windows that makes a candidate.
 HALF_WIDTH, COLLIDING = 0.8, 0.51
 FIRST_RADIUS, GROWTH = 0.05, 1.25
-VERIFIED = 0.2
 SEED = 9
 
 
@@ -50,7 +53,7 @@ def search_block(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
     order = order.astype(np.int32)
     centres = queries @ axes
     scale = float(np.median(np.linalg.norm(x, axis=1)))
-    enough, most = int(np.ceil(COLLIDING * PROJECTIONS)), max(4 * k, int(VERIFIED * n))
+    enough, many = int(np.ceil(COLLIDING * PROJECTIONS)), max(4 * k, int(VERIFIED * n))
     # The radii are the same for all queries, so each array is searched once for all windows of all rounds.
     widest = max(float(np.abs(values).max() + np.abs(centres).max()), 1e-300)
     first = FIRST_RADIUS * scale
@@ -74,12 +77,15 @@ def search_block(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids:
             if slices:
                 count += np.bincount(np.concatenate(slices), minlength=n)
             fresh = np.flatnonzero((count >= enough) & ~done)
+            exact = len(found) + len(fresh) >= many
+            if exact:
+                fresh = np.flatnonzero(~done)
             if len(fresh):
                 done[fresh] = True
                 diff = x[fresh] - queries[q]
                 found = np.concatenate([found, fresh])
                 dist = np.concatenate([dist, np.sqrt((diff * diff).sum(axis=1))])
-            if len(found) >= most or len(found) >= k and np.partition(dist, k - 1)[k - 1] <= radius:
+            if exact or len(found) >= k and np.partition(dist, k - 1)[k - 1] <= radius:
                 break
         best = np.lexsort((ids[found], dist))[:k]
         yield q, found[best], dist[best]
