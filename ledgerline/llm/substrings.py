@@ -357,7 +357,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     marks = known.where("pure").selectExpr(
         "k", "t", "anchor", "span", "cast(null as array<int>) as starts", "cast(null as array<int>) as ends").unionByName(
         known.where("not pure").drop("pure").join(sorted_spans, ["anchor", "span"]).select("k", "t", "anchor", "span", "starts", "ends"))
-    lists = marks.groupBy("k", "t").agg(F.collect_list(F.struct("anchor", "span", "starts", "ends")).alias("found"))
+    # A set: rows that are equal in doc_id and text name the same marks, so their list does not grow with their number.
+    lists = marks.groupBy("k", "t").agg(F.collect_set(F.struct("anchor", "span", "starts", "ends")).alias("found"))
     return cut(texts.join(lists, ["k", "t"], "left").select("doc_id", "text", "found"))
 
 
