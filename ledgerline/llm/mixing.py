@@ -8,9 +8,11 @@ most its quota. Successive shortest paths give the cheapest routing of as many
 words as possible. Each pattern's flow is then realised by whole passes over
 its documents plus a seeded selection for the rest.
 
-Only the pattern table (one row per distinct set of sources, counted and
-summed by Spark) reaches the driver; more than ``MAX_PATTERNS`` patterns raise
-an error instead of being cut. Documents are selected without gathering a
+Only a pattern table of at most ``MAX_PATTERNS`` rows (one per distinct set of
+sources, counted and summed by Spark) reaches the driver. Where there are more
+and each holds one source, the flow has a closed form - every source its quota,
+three passes at most - and Spark computes it without the driver; more patterns
+that may overlap raise an error instead of being cut. Documents are selected without gathering a
 source: seeded keys are cut into ranges, range sums give each pattern's
 boundary range, and only boundary ranges are summed row by row.
 
@@ -22,10 +24,12 @@ documents; an empty table gives no rows; without any words nothing is taken.
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.common import materialise, read
+from ledgerline.operators.order import dense_index
 
 SEED = 20_240_229
 MAX_REPEATS = 3
@@ -44,26 +48,42 @@ def size_of(text: str = "text"):
 
 def targets(sizes: list[int], weights: list[float], most: float = MAX_REPEATS) -> list[float]:
     """Shares of the total by weight; what is above ``most`` times a size goes to the others by weight."""
-    total, capped = float(sum(sizes)), set()
-    while True:
-        free = [i for i in range(len(sizes)) if i not in capped]
-        rest = total - sum(most * sizes[i] for i in capped)
-        whole = sum(weights[i] for i in free)
-        out = [most * sizes[i] if i in capped else rest * weights[i] / whole for i in range(len(sizes))]
-        over = {i for i in free if out[i] > most * sizes[i]}
-        if not over:
-            return out
-        capped |= over
-        if len(capped) == len(sizes):
-            return [float(most * s) for s in sizes]
+    rest, whole = float(sum(sizes)), float(sum(weights))
+    capped = set()
+    # A source is capped if the level (rest / whole) is above most * size / weight; each one capped raises the level.
+    for i in sorted(range(len(sizes)), key=lambda i: most * sizes[i] / weights[i]):
+        if not rest * weights[i] / whole > most * sizes[i]:
+            break
+        capped.add(i)
+        rest, whole = rest - most * sizes[i], whole - weights[i]
+    return [most * sizes[i] if i in capped else rest * weights[i] / whole for i in range(len(sizes))]
 
 
 def route(patterns: list[tuple[int, tuple[int, ...]]], quotas: list[int]) -> list[dict[int, int]]:
     """Cheapest largest flow: for each (words, sources) pattern its words to each source.
 
-    Successive shortest paths with Dijkstra on reduced costs. Nodes: 0 is the
-    start, then patterns, then sources, then the end.
+    A pattern whose only source no other pattern has is a path of its own, the
+    only one to that source, and is filled at once. The others: successive
+    shortest paths with Dijkstra on reduced costs.
     """
+    users = Counter(s for _, sources in patterns for s in sources)
+    flows: list[dict[int, int]] = [{} for _ in patterns]
+    shared = []
+    for i, (words, sources) in enumerate(patterns):
+        if len(sources) == 1 and users[sources[0]] == 1:
+            flows[i] = {s: f for s in sources if (f := min(words * len(PASS_COSTS), quotas[s]))}
+        elif sources:
+            shared.append(i)
+    used = sorted({s for i in shared for s in patterns[i][1]})
+    number = {s: k for k, s in enumerate(used)}
+    found = _shortest_paths([(patterns[i][0], tuple(number[s] for s in patterns[i][1])) for i in shared], [quotas[s] for s in used])
+    for i, flow in zip(shared, found):
+        flows[i] = {used[k]: f for k, f in flow.items()}
+    return flows
+
+
+def _shortest_paths(patterns: list[tuple[int, tuple[int, ...]]], quotas: list[int]) -> list[dict[int, int]]:
+    """``route`` by successive shortest paths; nodes: 0 is the start, then patterns, then sources, then the end."""
     n, m = len(patterns), len(quotas)
     end = n + m + 1
     graph: list[list[list[int]]] = [[] for _ in range(end + 1)]  # arcs: to, capacity, cost, index of the reverse
@@ -115,30 +135,73 @@ def _keyed(docs: DataFrame, sources=None) -> DataFrame:
         member.alias("pattern"), size_of().alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("key")))
 
 
-def rules(rows: DataFrame, most: float = MAX_REPEATS) -> DataFrame:
-    """One row per membership pattern: source_size, target, passes over all its documents and who is taken once more.
-
-    ``rows`` has pattern, size and key. Taken once more are the documents with
-    key <= cut (a seeded prefix that fits into what whole passes leave over)
-    and those with their key in tops (documents of which the first two fit
-    best into the gap that the prefix leaves and the last is nearest to it). Rows that are equal in doc_id and text share a
-    key and are treated alike.
-    """
-    spark = rows.sparkSession
-    found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+def _routed(patterns: DataFrame, most: float) -> DataFrame:
+    """The plan of at most MAX_PATTERNS patterns by the flow network, on the driver."""
+    spark, found = patterns.sparkSession, patterns.collect()
     found.sort(key=lambda r: [(s is None, s or "") for s in r.pattern])
     names = sorted({s for r in found for s in r.pattern}, key=lambda s: (s is None, s or ""))
     number = {s: i for i, s in enumerate(names)}
     patterns = [(int(r.words), tuple(number[s] for s in r.pattern)) for r in found]
-    sizes = [sum(w for w, p in patterns if i in p) for i in range(len(names))]
+    sizes = [0] * len(names)
+    for w, p in patterns:
+        for i in p:
+            sizes[i] += w
     goal = targets(sizes, [1.0 + i % 3 for i in range(len(names))], most) if names else []
     flow = [sum(f.values()) for f in route(patterns, [round(g) for g in goal])]
-    plan = spark.createDataFrame(
+    return spark.createDataFrame(
         [(r.pattern, sum(sizes[i] for i in p), float(sum(goal[i] for i in p)), f // w if w else 0, f % w if w else 0)
          for r, (w, p), f in zip(found, patterns, flow)],
         "pattern array<string>, source_size bigint, target double, passes bigint, rest bigint")
+
+
+def _levelled(patterns: DataFrame, most: float) -> DataFrame:
+    """The plan of any number of patterns of one source each: the flow's closed form, computed by Spark.
+
+    Sources are numbered in order; a few sums at a time give the level at which
+    words per weight are shared among the sources below their limit.
+    """
+    if not patterns.where("size(pattern) <> 1").isEmpty():
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns that may overlap")
+    numbered = dense_index(patterns.selectExpr("pattern", "words", "pattern[0] is null as last", "pattern[0] as source"), ["last", "source"], "nth")
+    table = materialise(numbered.selectExpr("pattern", "words", "cast(1 + nth % 3 as double) as weight"))
+    total = float(table.agg(F.sum("words")).first()[0] or 0)
+    rest, whole, capped = total, 0.0, -1
+    level = 0.0
+    over = lambda: F.lit(level) * F.col("weight") > most * F.col("words")
+    while True:
+        sums = table.agg(F.sum(F.when(over(), F.col("words"))).alias("words"), F.sum(F.when(~over(), F.col("weight"))).alias("weight"),
+                         F.count_if(over()).alias("capped")).first()
+        if sums.capped == capped:
+            break
+        rest, whole, capped = total - most * (sums.words or 0), sums.weight or 0.0, sums.capped
+        if not whole:
+            break
+        level = rest / whole
+    share = F.col("words") * F.lit(float(most)) if not whole else F.when(over(), F.col("words") * F.lit(float(most))).otherwise(
+        F.lit(rest) * F.col("weight") / F.lit(whole))
+    return materialise(table.withColumn("target", share).withColumn(
+        "flow", F.least(F.col("words") * len(PASS_COSTS), F.bround("target").cast("bigint"))).selectExpr(
+        "pattern", "words as source_size", "target", "if(words > 0, flow div words, 0) as passes", "if(words > 0, flow % words, 0) as rest"))
+
+
+def rules(rows: DataFrame, most: float = MAX_REPEATS) -> tuple[DataFrame, bool]:
+    """One row per membership pattern: source_size, target, passes over all its documents and who is taken once more.
+
+    With it goes whether these are at most MAX_PATTERNS rows, which may be broadcast.
+
+    ``rows`` has pattern, size and key. Taken once more are the documents with
+    key <= cut (a seeded prefix that fits into what whole passes leave over)
+    and those with their key in tops (documents of which the first two fit
+    best into the gap that the prefix leaves and the last is nearest to it). Rows that are equal in doc_id and text share a
+    key and are treated alike.
+    """
+    patterns = materialise(rows.groupBy("pattern").agg(F.sum("size").alias("words")))
+    few = patterns.limit(MAX_PATTERNS + 1).count() <= MAX_PATTERNS
+    plan = _routed(patterns, most) if few else _levelled(patterns, most)
+
+    def _with(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+        return with_pattern(rows, table, few, how)
+
     # Ranges of the key in order; only the range that holds a pattern's boundary is summed key by key.
     slots = rows.withColumn("slot", F.shiftright("key", 64 - RANGE_BITS))
     base = slots.groupBy("pattern", "slot").agg(F.sum("size").alias("words")).selectExpr(
@@ -167,13 +230,13 @@ def rules(rows: DataFrame, most: float = MAX_REPEATS) -> DataFrame:
         plan = materialise(_with(plan, top, "left").selectExpr(
             "pattern", "source_size", "target", "passes", "cut", "gap - coalesce(top.size, 0) as gap",
             "if(top is null, tops, array_append(tops, top.key)) as tops"))
-    return plan.drop("gap")
+    return plan.drop("gap"), few
 
 
-def _with(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
-    """Join with a table of at most one row per pattern (at most MAX_PATTERNS: a bounded broadcast)."""
+def with_pattern(rows: DataFrame, table: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """Join with a table of at most one row per pattern, broadcast if these are few (at most MAX_PATTERNS)."""
     table = table.withColumnRenamed("pattern", "of")
-    return rows.join(F.broadcast(table), F.col("pattern").eqNullSafe(F.col("of")), how).drop("of")
+    return rows.join(F.broadcast(table) if few else table, F.col("pattern").eqNullSafe(F.col("of")), how).drop("of")
 
 
 _EXTRA = "size > 0 and (coalesce(key <= cut, false) or array_contains(tops, key))"
@@ -186,7 +249,7 @@ def mix(docs: DataFrame, sources=None, most: float = MAX_REPEATS) -> DataFrame:
     ``source``, null included); source_size and target are summed over them.
     """
     rows = materialise(_keyed(docs, sources).select("doc_id", "mix.*"))
-    return _with(rows, rules(rows, most)).selectExpr(
+    return with_pattern(rows, *rules(rows, most)).selectExpr(
         "doc_id", "size", "source_size", "target",
         f"size * (passes + case when {_EXTRA} then 1 else 0 end) as taken")
 
@@ -197,7 +260,7 @@ def take(docs: DataFrame) -> DataFrame:
     rows = _keyed(docs.select(F.struct("*").alias("row"), "doc_id", "text", "source")).select("row", "mix.*")
     rule = rules(materialise(rows.select("pattern", "size", "key")))
     times = f"cast(case when size > 0 then passes else 0 end + case when {_EXTRA} then 1 else 0 end as int)"
-    return _with(rows, rule).selectExpr("row", f"explode(array_repeat(0, {times})) as nth").select(
+    return with_pattern(rows, *rule).selectExpr("row", f"explode(array_repeat(0, {times})) as nth").select(
         *[F.col("row")[c].alias(c) for c in columns])
 
 

@@ -59,6 +59,16 @@ def test_substrings(docs, none, monkeypatch):
     assert substrings.dedup(none).count() == 0
 
 
+def test_substrings_of_many_equal_rows(spark):
+    text = prose(9, 200)
+    rows = [(None, text)] * 300 + [(1, prose(8, 80)), (2, text[:500])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.dedup(docs).collect()
+    size = len(text.encode())
+    assert sum(r.doc_id is None and r.n_bytes == r.n_removed == size and r.n_spans == 1 for r in got) == 300
+    assert {r.doc_id: r.n_removed for r in got if r.doc_id is not None} == {1: 0, 2: len(text[:500].encode())}
+
+
 def test_suffix_sort_matches_plain_sort():
     rng = np.random.default_rng(3)
     data = np.concatenate([rng.integers(97, 99, 700), np.tile([97, 98], 300)]).astype(np.uint8)
@@ -175,6 +185,57 @@ def test_targets_and_route():
     assert flow == [{1: 10}, {0: 10}]
 
 
+def _reshared(sizes, weights, most):
+    """Targets by the words of the rule: share by weight, stop at the limit, share the excess again."""
+    out, capped = [0.0] * len(sizes), set()
+    while True:
+        free = [i for i in range(len(sizes)) if i not in capped]
+        rest = sum(sizes) - sum(most * sizes[i] for i in capped)
+        for i in range(len(sizes)):
+            out[i] = most * sizes[i] if i in capped else rest * weights[i] / sum(weights[j] for j in free)
+        over = {i for i in free if out[i] > most * sizes[i]}
+        if not over:
+            return out
+        capped |= over
+
+
+def test_targets_by_level_are_those_of_resharing():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 40):
+        for _ in range(50):
+            sizes = (rng.pareto(0.5, n) * 10).astype(np.int64).tolist()
+            weights = [1.0 + i % 3 for i in range(n)]
+            assert mixing.targets(sizes, weights) == pytest.approx(_reshared(sizes, weights, 3), rel=1e-9)
+
+
+def test_route_of_sole_sources_is_that_of_shortest_paths():
+    rng = np.random.default_rng(5)
+    for _ in range(100):
+        quotas = rng.integers(0, 60, 6).tolist()
+        patterns = [(int(rng.integers(0, 20)), tuple(sorted(rng.choice(6, rng.integers(1, 4), replace=False).tolist()))) for _ in range(5)]
+        got, plain = mixing.route(patterns, quotas), mixing._shortest_paths(patterns, quotas)
+        cost = lambda flows: sum(
+            sum(c * min(max(sum(f.values()) - k * w, 0), w) for k, c in enumerate(mixing.PASS_COSTS)) for f, (w, _) in zip(flows, patterns))
+        assert sum(sum(f.values()) for f in got) == sum(sum(f.values()) for f in plain) and cost(got) == cost(plain)
+        for s in range(6):
+            assert sum(f.get(s, 0) for f in got) <= quotas[s]
+    many = 100_000
+    flow = mixing.route([(10, (i,)) for i in range(many)], [i % 50 for i in range(many)])
+    assert all(sum(f.values()) == min(30, i % 50) for i, f in enumerate(flow))
+
+
+def test_mixing_of_more_sources_than_reach_the_driver(spark, docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, "w " * int(rng.integers(0, 30)), "hot" if i % 3 == 0 else None if i % 50 == 1 else f"s{rng.integers(0, 150)}") for i in range(1500)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for table in (odd, docs):
+        monkeypatch.setattr(mixing, "MAX_PATTERNS", 100_000)
+        want, taken = (sorted(map(str, f(table).collect())) for f in (mixing.mix, mixing.take))
+        monkeypatch.setattr(mixing, "MAX_PATTERNS", 1)
+        assert sorted(map(str, mixing.mix(table).collect())) == want
+        assert sorted(map(str, mixing.take(table).collect())) == taken
+
+
 def test_secrets(spark, docs):
     import base64
     import gzip
@@ -272,6 +333,36 @@ def test_nearest_neighbours(spark):
     assert found >= 0.85 * 60
 
 
+@pytest.mark.parametrize("d", [32, 64])
+def test_nearest_neighbours_where_a_third_are_copies(spark, d):
+    rng = np.random.default_rng(d)
+    copy = rng.standard_normal(d)
+    x = rng.standard_normal((4000, d))
+    x[1::3] = copy
+    # Ten neighbours of the first query at nine tenths of the copies' distance from it.
+    for i in range(10):
+        step = rng.standard_normal(d)
+        x[3 * i + 2] = x[0] + step / np.linalg.norm(step) * 0.9 * np.linalg.norm(copy - x[0])
+    queries = np.arange(0, 4000, 100)
+    found = hits = 0
+    for q, at, dist in ann.search_block(x, np.arange(4000), x[queries], queries):
+        real = np.sqrt(((x - x[queries[q]]) ** 2).sum(axis=1))
+        real[queries[q]] = np.inf
+        bound = np.sort(real)[9]
+        assert np.allclose(dist, real[at])
+        found, hits = found + 10, hits + int((dist <= bound + 1e-12).sum())
+    assert hits >= 0.95 * found
+
+
+def test_nearest_neighbours_ties_and_empty_tables(spark):
+    schema = "vec_id long, embedding array<double>, d int, block int"
+    assert ann.search(spark.createDataFrame([], schema)).count() == 0
+    rows = [(i, [1.0, float(i % 2)], 0, 0) for i in range(30)] + [(30, None, 0, 0), (31, [0.0, 0.0], 0, 0), (None, [1.0, 0.0], 0, 0)]
+    got = ann.search(spark.createDataFrame(rows, schema), every=10).collect()
+    for q in (0, 10, 20):
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [i for i in range(0, 24, 2) if i != q][:10]
+
+
 def test_pii(spark):
     t = "Bob.4@mail.example.com BOB.4@mail.example.com 4111 1111 1111 1111 4111111111111112 Frau Anna Schmidt 49.37.233.206 +1 (168) 555-5254"
     got = pii.surrogates(spark.createDataFrame([(1, t), (2, None), (3, "clean 12"), (None, "Frau Anna Schmidt")], "doc_id long, text string")).collect()
