@@ -8,6 +8,6 @@ from ledgerline.functions.dates import (  # noqa: F401
     bad_date, coerce_date, es_date_text, format_dmy, parse_dmy, parse_es_date,
 )
 from ledgerline.functions.text import (  # noqa: F401
-    clean_inner_html, clean_text, crawler_text, dom_text, html_unescape_all, split_br, coalesce_blank, collapse_ws, compare_key, html_unescape,
+    clean_text, dom_text, coalesce_blank, collapse_ws, compare_key,
     non_blank, normalise_holder, normalise_name, py_strip, strip_tags,
 )

@@ -1,19 +1,14 @@
 """Text scalars: whitespace handling, holder names, change comparison, HTML cells.
 
-All but ``html_unescape`` are JVM expressions and stay inside whole-stage
-codegen. ``html_unescape`` is an Arrow-batched pandas UDF because Spark has
-no HTML entity decoder; callers only route cells that contain ``&`` to it.
+All are JVM expressions; HTML entities are decoded by ``functions/entities.py``.
 """
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
+
+from ledgerline.functions.entities import html_unescape
 
 # Whitespace as Python's str.isspace() defines it (str.strip/str.split use
 # the same set): derived from the rule, not listed by hand. Java's \s
@@ -96,38 +91,6 @@ def coalesce_blank(*cols) -> Column:
     return F.coalesce(*[F.nullif(py_strip(_col(c)), F.lit("")) for c in cols])
 
 
-@pandas_udf(StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
-
-
-@pandas_udf(ArrayType(StringType()))
-def _unescape_all(s: pd.Series) -> pd.Series:
-    def one(arr):
-        if arr is None:
-            return None
-        return [html.unescape(v) if isinstance(v, str) and "&" in v else v for v in arr]
-    return s.map(one)
-
-
-# Marked non-deterministic only so the optimizer neither pushes filters
-# below the decode nor inlines it twice: each decode then runs once per row.
-_unescape_all_once = _unescape_all.asNondeterministic()
-_unescape_once = _unescape.asNondeterministic()
-
-
-def html_unescape_all(arr) -> Column:
-    """Entity decoding of every element of an ARRAY<STRING> in one Arrow call
-    (one Python round trip per row batch instead of one per cell)."""
-    return _unescape_all_once(_col(arr))
-
-
-def html_unescape(c) -> Column:
-    """HTML entity decoding (HTML5 rules); only cells containing '&' pay for it."""
-    c = _col(c)
-    return F.when(F.instr(c, "&") > 0, _unescape_once(c)).otherwise(c)
-
-
 def strip_tags(c) -> Column:
     """Text content of an HTML fragment: all tags removed."""
     return F.regexp_replace(_col(c), r"(?s)<[^>]*>", "")
@@ -149,29 +112,3 @@ def dom_text(c) -> Column:
 
 
 BR_SPLIT = r"(?i)<br\s*/?>"
-
-
-def crawler_text(dom: Column) -> Column:
-    """The crawler's cleanup of a text it already holds: strip, newline -> space
-    (entity decoding follows separately)."""
-    return F.replace(py_strip(dom), F.lit("\n"), F.lit(" "))
-
-
-def split_br(cleaned: Column) -> Column:
-    """F10 on decoded inner HTML: parts between <br>, stripped; always an array."""
-    parts = F.transform(F.split(cleaned, BR_SPLIT, -1), py_strip)
-    return (F.when(F.coalesce(cleaned, F.lit("")) == "", F.array().cast("array<string>"))
-            .when(cleaned.rlike(BR_SPLIT), parts)
-            .otherwise(F.array(cleaned)))
-
-
-def clean_inner_html(c) -> Column:
-    """F9 + F10 on a cell read as inner HTML: strip, newline -> space, decode;
-    then split on <br> into stripped parts. Always returns ARRAY<STRING>: a
-    cell without <br> is a 1-element array, an empty cell an empty array."""
-    c = _col(c)
-    cleaned = html_unescape(F.replace(py_strip(c), F.lit("\n"), F.lit(" ")))
-    parts = F.transform(F.split(cleaned, BR_SPLIT, -1), py_strip)
-    return (F.when(F.coalesce(cleaned, F.lit("")) == "", F.array().cast("array<string>"))
-            .when(cleaned.rlike(BR_SPLIT), parts)
-            .otherwise(F.array(cleaned)))

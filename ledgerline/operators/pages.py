@@ -12,9 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import (
-    BR_SPLIT, clean_text, coalesce_blank, dom_text, html_unescape_all, sql_lit, sql_strip,
-)
+from ledgerline.functions.entities import html_unescape_all
+from ledgerline.functions.text import BR_SPLIT, clean_text, coalesce_blank, dom_text, sql_lit, sql_strip
 from ledgerline.operators.normalise import blank_row
 from ledgerline.schemas import (
     COUNT_HEADER_ID, DETAIL_PANEL_ID, GRID_ID, HEADER_WITH_FILING, IMAGE_SUFFIX, NO_RESULT_ID,
@@ -69,7 +68,7 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     Text cells are read as a browser's text content (tags dropped, entities
     decoded), then stripped, newline -> space and decoded again, as the
     crawler did; the holder cell is read as inner HTML and split on <br>.
-    All cells of a line are decoded together: two Arrow calls per batch.
+    All cells of a line are decoded together, twice.
     """
     keep = [f"`{k}`" for k in keep]
     flat = without_inner_tables(f"`{html_col}`")
@@ -80,9 +79,10 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     th6 = f"try_element_at(regexp_extract_all({head}, {sql_lit(TH)}, 1), 6)"
     has_filing = F.coalesce(clean_text(F.expr(th6)).contains(HEADER_WITH_FILING), F.lit(False))
     # Rows without a second cell (pager, header) are skipped; no row number ends the grid.
-    # Page-level values first: in the exploding select they would run per line.
+    # Page-level values first: in the exploding select they would run per line. The outer form, because
+    # the plain one tests the array's size below this select, which splits every page twice.
     lines = (trs.select(*[F.col(k) for k in keep], "_trs", has_filing.alias("_has_filing"))
-             .selectExpr(*keep, "_has_filing", "posexplode(_trs) AS (_i, _tr)")
+             .selectExpr(*keep, "_has_filing", "posexplode_outer(_trs) AS (_i, _tr)")
              .filter(f"_i + 1 >= {FIRST_DATA_ROW} AND size(regexp_extract_all(_tr, {sql_lit(TD)}, 1)) >= 2")
              .selectExpr(*keep, "CAST(_i + 1 AS BIGINT) AS row_no", "_has_filing", "_tr",
                          f"regexp_extract_all(_tr, {sql_lit(TD)}, 1) AS _tds"))
@@ -109,8 +109,9 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
                         F.expr(crawler.format(x=pick(9, 8))).alias("_hol"))
     # Pass 2: the crawler's strip / newline / unescape, holder included.
     second = (f"concat(transform(slice(_dom, 1, {n}), x -> {crawler.format(x='x')}), array(_hol))")
+    # One element, exploded: the blank-row filter is not pushed below it, which would decode once per column.
     step = step.select(*[F.col(k) for k in keep], "row_no", F.expr(f"_dom[{n}]").alias("_href"),
-                       html_unescape_all(F.expr(second)).alias("_txt"))
+                       F.explode(F.array(html_unescape_all(F.expr(second)))).alias("_txt"))
     br = sql_lit(BR_SPLIT)
     hol = f"_txt[{n}]"
     holder = (f"CASE WHEN coalesce({hol}, '') = '' THEN CAST(array() AS ARRAY<STRING>) "
@@ -129,7 +130,8 @@ def result_count(pages: DataFrame, html_col: str = "html", cap: int = SLICE_CAP)
     text = clean_text(_element_text(F.col(html_col), COUNT_HEADER_ID))
     n = F.nullif(F.regexp_replace(F.regexp_extract(text, r"(\d[\d.,]*)", 1), r"[.,]", ""),
                  F.lit("")).try_cast("bigint")
-    return pages.withColumn("result_count", n).withColumn("overflow", F.coalesce(n >= F.lit(cap), F.lit(False)))
+    return pages.withColumn("result_count", n).withColumn(
+        "overflow", F.coalesce(F.col("result_count") >= F.lit(cap), F.lit(False)))
 
 
 def detail_status(pages: DataFrame, key_col: str = "request_number", html_col: str = "html",
@@ -141,9 +143,8 @@ def detail_status(pages: DataFrame, key_col: str = "request_number", html_col: s
     """
     html = F.col(html_col)
     found = coalesce_blank(*[dom_text(_element_text(html, lab)) for lab in labels])
-    return pages.select(*keep, F.col(key_col).alias("request_number"),
-                        F.coalesce(found, F.lit("")).alias("extracted_status"),
-                        F.when(found.isNull(), F.lit(NOT_FOUND_ERROR)).alias("error"))
+    read = pages.select(*keep, F.col(key_col).alias("request_number"), F.coalesce(found, F.lit("")).alias("extracted_status"))
+    return read.withColumn("error", F.when(F.col("extracted_status") == "", F.lit(NOT_FOUND_ERROR)))
 
 
 def classify_page(pages: DataFrame, html_col: str = "html") -> DataFrame:
