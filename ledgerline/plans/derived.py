@@ -110,13 +110,19 @@ def registry_from_orders(spark: SparkSession, sf_dir: str, prefix: str = DEFAULT
         "'COLOMBIA' AS badger_country",
         "o_orderpriority", "o_orderstatus", "o_orderkey")
     cols = [c for c in base.columns if c not in ("o_orderpriority", "o_orderstatus", "o_orderkey")]
-    ecuador = (base.filter("o_orderpriority = '2-HIGH'")
-               .withColumns({"id": F.expr("concat('ec-', CAST(o_orderkey AS STRING))"),
-                             "status": F.lit("VIGENTE"), "badger_country": F.lit("ECUADOR")}))
-    dup = (base.filter("o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F'")
-           .withColumns({"id": F.expr("concat('reg-dup-', CAST(o_orderkey AS STRING))"),
-                         "denomination": F.expr("concat('OLD ', denomination)")}))
-    return base.select(*cols).unionByName(ecuador.select(*cols)).unionByName(dup.select(*cols))
+    # All stored rows of an order come from one pass over the joined orders.
+    own = ("id", "denomination", "status", "badger_country")
+
+    def stored(**other: str) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {other.get(c, c)}" for c in own) + ")"
+
+    copies = (f"array({stored()}, "
+              "IF(o_orderpriority = '2-HIGH', "
+              + stored(id="concat('ec-', CAST(o_orderkey AS STRING))", status="'VIGENTE'", badger_country="'ECUADOR'") + ", NULL), "
+              "IF(o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F', "
+              + stored(id="concat('reg-dup-', CAST(o_orderkey AS STRING))", denomination="concat('OLD ', denomination)") + ", NULL))")
+    rest = [c for c in cols if c not in own]
+    return base.selectExpr(*rest, f"inline(filter({copies}, c -> c IS NOT NULL))").select(*cols)
 
 
 def raw_status_word(status_col: str = "o_orderstatus") -> Column:
