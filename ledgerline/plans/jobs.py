@@ -17,6 +17,7 @@ from ledgerline.operators import audit, corrections, diff, normalise, registry a
 from ledgerline.schemas import (
     ACTIVE_STATES, COUNTRY, DEFAULT_LOGO_PREFIX, KEY, STATUS_CORRECTION, STATUS_RAW,
 )
+from ledgerline.session import written
 
 
 @dataclass
@@ -105,12 +106,17 @@ def full_sync(spark, landing, registry: DataFrame, lookups: DataFrame, run_ts, g
               recursive: bool = False, **sync_options) -> FullSyncResult:
     """C1 over every file of one landing area (U4: all feeds share it),
     then C2 on the raw keys of the same files, then C3 with the lookups of
-    the missing keys (``lookups``: request_number, extracted_status, error, pos)."""
+    the missing keys (``lookups``: request_number, extracted_status, error, pos).
+
+    The parsed records and the registry after C1 are read by several steps, so both are written once to the
+    checkpoint folder: documents are parsed once for C1, and C2 and C3 do not run C1 again.
+    """
     from ledgerline.sources import snapshots
 
     files = snapshots.read_numbered(spark, landing, glob, recursive)
     raw, rejects = snapshots.snapshot_raw(files)
-    result = sync_registry(raw, registry, run_ts, **sync_options)
+    result = sync_registry(written(raw), registry, run_ts, **sync_options)
+    result.registry = written(result.registry)
     result.rejects = (result.rejects.unionByName(rejects)
                       .unionByName(snapshots.empty_files(spark, landing, glob)))
     seen = snapshots.raw_keys(files)
