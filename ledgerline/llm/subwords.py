@@ -27,6 +27,8 @@ CACHED = 500_000
 #: Texts are encoded in groups of about this many characters.
 GROUP = 4 << 20
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+#: The same cuts of a lower-cased ASCII text, without a look at character classes.
+_ASCII_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9\s]+")
 #: Characters whose case, class or normal form is left to the tokenizer, and the start of its special tokens.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0ªµº²³¹¼-¾İȺ-‏ -\U0010ffff]|<\\|")
 
@@ -68,10 +70,11 @@ class Encoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         cut, need = [], set()
         for t in texts:
-            if _UNSURE.search(t) or not unicodedata.is_normalized("NFC", t):
+            plain = t.isascii()
+            if _UNSURE.search(t) or not (plain or unicodedata.is_normalized("NFC", t)):
                 cut.append(None)
             else:
-                cut.append(_PIECE.findall(t.lower()))
+                cut.append((_ASCII_PIECE if plain else _PIECE).findall(t.lower()))
                 need.update(cut[-1])
         new = list(need.difference(self.pieces))
         if len(self.pieces) + len(new) > CACHED:

@@ -519,3 +519,13 @@ def test_quality_held_out_accuracy(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     held = [r for r in quality.op1_quality_classifier(spark, folder).collect() if r.held_out and r.doc_id in labels]
     assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_ascii_texts_are_cut_as_any_other():
+    from ledgerline.llm import subwords
+
+    rng = np.random.default_rng(3)
+    signs = [chr(i) for i in range(128) if not 0x1C <= i <= 0x1F] + ["'s", "'re", "__", " ", "12"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs, rng.integers(0, 30))).lower()
+        assert subwords._ASCII_PIECE.findall(text) == subwords._PIECE.findall(text)
