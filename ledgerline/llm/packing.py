@@ -55,7 +55,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
-        encode.pieces.clear()  # the worker goes on with other stages
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -529,3 +529,26 @@ def test_ascii_texts_are_cut_as_any_other():
     for _ in range(3000):
         text = "".join(rng.choice(signs, rng.integers(0, 30))).lower()
         assert subwords._ASCII_PIECE.findall(text) == subwords._PIECE.findall(text)
+
+
+def test_cuts_follow_the_pattern():
+    """op3: pieces are cut in numpy as the pattern cuts them; a piece goes to the tokenizer once, in whatever group it comes."""
+    import random
+
+    from ledgerline.llm import subwords
+
+    rng = random.Random(3)
+    signs = "ab'strevmld '''s 12,_.-\t\nßéÀĳ–…‘’\x01\x7f×"
+    these = ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(2000)]
+    these += ["'s", "'", "x'", "'l", "'ll'llama", "''ve", "1'm2", "'re're", "'d\n't", "", " "]
+    these += [chr(x) for x in range(0x2100) if not subwords._UNSURE.search(chr(x))]
+    for t in these:
+        text = t.lower() + "\n"
+        assert len(text) == len(t) + 1
+        start, end = subwords.cuts(np.frombuffer(text.encode("utf-32-le"), "<u4"))
+        assert [text[a:b] for a, b in zip(start.tolist(), end.tolist())] == subwords._PIECE.findall(text)
+    plain, encode = tokenizer(), subwords.Encoder()
+    want = [plain.encode(t, add_special_tokens=False).ids for t in these]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(these)] == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(these[::-1])] == want[::-1]
+    assert len(encode.piece) == len(np.unique(encode.piece)) == len(encode.size)
