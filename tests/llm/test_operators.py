@@ -552,3 +552,29 @@ def test_cuts_follow_the_pattern():
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(these)] == want
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(these[::-1])] == want[::-1]
     assert len(encode.piece) == len(np.unique(encode.piece)) == len(encode.size)
+
+
+def test_every_id_of_every_training_text_is_learnt(spark):
+    """op8: windows hold each id of each training text once, in order, and training sees a change of any one word."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["alpha", "be", "gamma's", "delta", "0.5"], n)) for n in (0, 1, 47, 48, 49, 2000)] + ["漢字 " * 70, None]
+    docs = spark.createDataFrame([(i, t, i == 4) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").coalesce(1)
+    got, n = [r.ids for r in lm.windows(docs).collect()], attention.LENGTH
+    at = 0
+    for t in [t or "" for i, t in enumerate(texts) if i != 4]:
+        ids = [*wordpieces.word_ids([w.encode() for w in t.split()])[0].tolist(), lm.END_TOKEN]
+        mine = got[at:at - (-len(ids) // n)]
+        at += len(mine)
+        assert [w[0] for w in mine] == [lm.START_ID] + ids[n - 1::n][:len(mine) - 1]
+        assert [x for w in mine for x in w[1:]] == ids + [lm.PADDING] * (n * len(mine) - len(ids))
+    assert at == len(got)
+    counts = np.ones(lm.VOCABULARY, np.int64)
+    of, _, class_counts = lm.classes_of(counts)
+    flats = []
+    for i in (None, 700, 1500):
+        words = ["alpha", "be"] * 1000
+        if i is not None:
+            words[i] = "gamma"
+        flats.append(lm.fit(spark.createDataFrame([(1, " ".join(words), False)], docs.schema), 9000, of, class_counts))
+    assert not np.allclose(flats[0], flats[1]) and not np.allclose(flats[0], flats[2]) and not np.allclose(flats[1], flats[2])
+    assert np.array_equal(lm.fit(docs.limit(0), 0, of, class_counts), attention.initial(class_counts))
