@@ -86,7 +86,8 @@ def _text(c: Column) -> Column:
 def html_unescape_all(arr: Column | str) -> Column:
     """Entity decoding of every element of an ARRAY<STRING> by the rules of HTML5; null stays null."""
     arr = F.col(arr) if isinstance(arr, str) else arr
-    return F.transform(arr, lambda c: F.when(F.contains(c, F.lit("&")), _text(c)).otherwise(c))
+    # A text whose every & starts no reference stays as it is; the plain search for & is the cheap test.
+    return F.transform(arr, lambda c: F.when(F.contains(c, F.lit("&")) & F.rlike(c, F.lit(REFERENCE)), _text(c)).otherwise(c))
 
 
 def html_unescape(c: Column | str) -> Column:

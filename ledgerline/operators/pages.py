@@ -24,6 +24,8 @@ FIRST_DATA_ROW = 2
 
 GRID_RE = r'(?is)<table\b[^>]*\bid="' + GRID_ID + r'"[^>]*>(.*?)</table>'
 PICTURE_RE = r"(?is)(<a\b[^>]*hlnkCasePicture_\d+[^>]*>)"
+#: Lower-cased text without which a row has no picture.
+PICTURE_MARK = "hlnkcasepicture_"
 HREF_RE = r'(?is)\bhref="([^"]*)"'
 TAG_RE = r"(?s)<[^>]*>"
 #: A table that is not the grid and holds no further table (a pager in a cell).
@@ -50,8 +52,9 @@ def _depth(html: str) -> str:
 def without_inner_tables(html: str) -> str:
     """SQL: the page without the tables nested in its grid's cells, however deep: innermost ones go first,
     one level a step, as many steps as the page has levels."""
-    return (f"if({_depth(html)} < 2, {html}, aggregate(sequence(2, greatest({_depth(html)}, 2)), {html}, "
-            f"(page, i) -> regexp_replace(page, {sql_lit(NESTED_RE)}, '')))")
+    # As an array's element the depth is computed once, however often it is looked at.
+    return (f"element_at(transform(array({_depth(html)}), d -> if(d < 2, {html}, aggregate(sequence(2, greatest(d, 2)), {html}, "
+            f"(page, i) -> regexp_replace(page, {sql_lit(NESTED_RE)}, '')))), 1)")
 
 
 def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",)) -> DataFrame:
@@ -81,11 +84,13 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     # Rows without a second cell (pager, header) are skipped; no row number ends the grid.
     # Page-level values first: in the exploding select they would run per line. The outer form, because
     # the plain one tests the array's size below this select, which splits every page twice.
+    # Cells are split inside the page's array, once; a filter on an exploded row would be a second split.
+    split = (f"filter(transform(_trs, (r, i) -> struct(i AS _i, r AS _tr, regexp_extract_all(r, {sql_lit(TD)}, 1) AS _tds)), "
+             f"x -> x._i + 1 >= {FIRST_DATA_ROW} AND size(x._tds) >= 2)")
     lines = (trs.select(*[F.col(k) for k in keep], "_trs", has_filing.alias("_has_filing"))
-             .selectExpr(*keep, "_has_filing", "posexplode_outer(_trs) AS (_i, _tr)")
-             .filter(f"_i + 1 >= {FIRST_DATA_ROW} AND size(regexp_extract_all(_tr, {sql_lit(TD)}, 1)) >= 2")
-             .selectExpr(*keep, "CAST(_i + 1 AS BIGINT) AS row_no", "_has_filing", "_tr",
-                         f"regexp_extract_all(_tr, {sql_lit(TD)}, 1) AS _tds"))
+             .selectExpr(*keep, "_has_filing", f"inline_outer({split}) AS (_i, _tr, _tds)")
+             .filter("_i IS NOT NULL")
+             .selectExpr(*keep, "CAST(_i + 1 AS BIGINT) AS row_no", "_has_filing", "_tr", "_tds"))
 
     def cell(n: int) -> str:
         return f"coalesce(try_element_at(_tds, {n}), '')"
@@ -99,13 +104,13 @@ def parse_result_rows(pages: DataFrame, html_col: str = "html", keep=("page_id",
     text_names = ["request_number", "registry_number", "denomination", "filing_date",
                   "expiration_date", "status", "niza_class", "gazette_number"]
     n = len(text_cells)
-    anchor = f"regexp_extract(_tr, {sql_lit(PICTURE_RE)}, 1)"
+    anchor = f"if(contains(lower(_tr), {sql_lit(PICTURE_MARK)}), regexp_extract(_tr, {sql_lit(PICTURE_RE)}, 1), '')"
     href = f"regexp_extract({anchor}, {sql_lit(HREF_RE)}, 1)"
-    tags = ", ".join(f"regexp_replace({c}, {sql_lit(TAG_RE)}, '')" for c in text_cells)
+    tags = f"transform(array({', '.join(text_cells)}), c -> if(contains(c, '<'), regexp_replace(c, {sql_lit(TAG_RE)}, ''), c))"
     crawler = "replace(" + sql_strip("{x}") + ", '\\n', ' ')"
     # Pass 1: text content as the DOM gives it (and the anchor attribute).
     step = lines.select(*[F.col(k) for k in keep], "row_no",
-                        html_unescape_all(F.expr(f"array({tags}, {href})")).alias("_dom"),
+                        html_unescape_all(F.expr(f"concat({tags}, array({href}))")).alias("_dom"),
                         F.expr(crawler.format(x=pick(9, 8))).alias("_hol"))
     # Pass 2: the crawler's strip / newline / unescape, holder included.
     second = (f"concat(transform(slice(_dom, 1, {n}), x -> {crawler.format(x='x')}), array(_hol))")
