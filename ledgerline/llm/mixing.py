@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm.common import materialise, read
@@ -148,9 +149,12 @@ def _routed(patterns: DataFrame, most: float) -> DataFrame:
             sizes[i] += w
     goal = targets(sizes, [1.0 + i % 3 for i in range(len(names))], most) if names else []
     flow = [sum(f.values()) for f in route(patterns, [round(g) for g in goal])]
+    # As Arrow: a list of rows is read by Python workers of their own kind, which executors keep beside the others.
+    rows = [(r.pattern, sum(sizes[i] for i in p), float(sum(goal[i] for i in p)), f // w if w else 0, f % w if w else 0)
+            for r, (w, p), f in zip(found, patterns, flow)]
+    kinds = [pa.list_(pa.string()), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
     return spark.createDataFrame(
-        [(r.pattern, sum(sizes[i] for i in p), float(sum(goal[i] for i in p)), f // w if w else 0, f % w if w else 0)
-         for r, (w, p), f in zip(found, patterns, flow)],
+        pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["pattern", "source_size", "target", "passes", "rest"]),
         "pattern array<string>, source_size bigint, target double, passes bigint, rest bigint")
 
 

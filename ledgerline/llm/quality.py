@@ -132,13 +132,16 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(list(total))], ["y", "s"])
 
 
+def sums(feats: DataFrame, labels: DataFrame) -> DataFrame:
+    """(y, s): count, sums and products of the labelled rows that are not held out; one row per task and class."""
+    y = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("y")).distinct()
+    return feats.where("not held_out").join(y, "doc_id").select("y", "x").mapInArrow(_sums, "y bigint, s array<double>")
+
+
 def fit(feats: DataFrame, labels: DataFrame) -> Model:
     """Fit on every labelled row that is not held out."""
-    y = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("y")).distinct()
-    rows = feats.where("not held_out").join(y, "doc_id").select("y", "x")
-    # One row per task and class; summed again by position before the driver sees it.
-    parts = rows.mapInArrow(_sums, "y bigint, s array<double>")
-    found = parts.select("y", F.posexplode("s").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
+    # Summed again by position before the driver sees it.
+    found = sums(feats, labels).select("y", F.posexplode("s").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v")).collect()
     d = DIMENSIONS
     total = np.zeros((2, 1 + d + d * d))
     for r in found:
@@ -185,7 +188,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text the fitted model accepts."""
-    model = fit(features(docs), labels)
+    # A sort-merge join puts a shuffle between the statistics and their sums: with a broadcast join each task holds two
+    # Python workers, and an executor keeps all that it ever started.
+    model = fit(features(docs).hint("merge"), labels)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -578,3 +578,18 @@ def test_every_id_of_every_training_text_is_learnt(spark):
         flats.append(lm.fit(spark.createDataFrame([(1, " ".join(words), False)], docs.schema), 9000, of, class_counts))
     assert not np.allclose(flats[0], flats[1]) and not np.allclose(flats[0], flats[2]) and not np.allclose(flats[1], flats[2])
     assert np.array_equal(lm.fit(docs.limit(0), 0, of, class_counts), attention.initial(class_counts))
+
+
+def test_pipeline_stages_hold_one_python_worker_per_task(spark, docs, monkeypatch):
+    """pipeline: executors keep every Python worker that was started, with its caches."""
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(15)], "doc_id long, quality int, toxic int")
+    fit, plans = quality.fit, []
+    monkeypatch.setattr(quality, "fit", lambda f, y: plans.append(quality.sums(f, y)._jdf.queryExecution().toString()) or fit(f, y))
+    quality.keep_good(docs, labels)
+    physical = plans[0].split("== Physical Plan ==")[1]
+    kinds = re.findall(r"MapInArrow|BroadcastHashJoin|Exchange hashpartitioning", physical)
+    assert kinds.count("MapInArrow") == 2 and kinds[1] == "Exchange hashpartitioning" and kinds.index("MapInArrow") == 0
+    patterns = spark.createDataFrame([(["a"], 10), ([None], 4)], "pattern array<string>, words bigint")
+    flow = mixing._routed(patterns, 3.0)
+    assert "PythonRDD" not in flow._jdf.queryExecution().toRdd().toDebugString()
+    assert sorted((r.pattern[0] or "", r.source_size, round(3 * r.target, 6)) for r in flow.collect()) == [("", 4, 28.0), ("a", 10, 14.0)]
