@@ -593,3 +593,31 @@ def test_pipeline_stages_hold_one_python_worker_per_task(spark, docs, monkeypatc
     flow = mixing._routed(patterns, 3.0)
     assert "PythonRDD" not in flow._jdf.queryExecution().toRdd().toDebugString()
     assert sorted((r.pattern[0] or "", r.source_size, round(3 * r.target, 6)) for r in flow.collect()) == [("", 4, 28.0), ("a", 10, 14.0)]
+
+
+def test_words_of_any_kind_have_the_ids_of_each_alone():
+    """op8: spans of one text give the ids that ``word_ids`` gives; the lexicon keeps them over many chunks, without a copy for each."""
+    rng = np.random.default_rng(6)
+    kinds = ["a", "don't", "0.5", "x" * 127, "y" * 128, "z" * 300, "é", "漢字", "a\x1cb", "\x1f", "u\u00a0v", "\ufffd", "<|x|>", "\x00\x7f"]
+    words = [w.encode() for w in kinds + ["".join(rng.choice(list("abcé9'"), rng.integers(1, 9))) for _ in range(400)]]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    alone = [wordpieces.word_ids([w])[0].tolist() for w in words]
+    ids, size = wordpieces.spans_ids(data, starts, ends)
+    assert ids.tolist() == [x for a in alone for x in a] and size.tolist() == [len(a) for a in alone]
+    assert [len(x) for x in wordpieces.spans_ids(data, starts[:0], ends[:0])] == [0, 0]
+    lexicon, grown = lm.Lexicon(), 0
+    for at in range(0, len(words), 9):
+        h = lm.word_hashes(data[starts[at]:ends[min(at + 9, len(words)) - 1]], np.array([0, ends[min(at + 9, len(words)) - 1] - starts[at]]))
+        kind, place, of = lm.distinct(h[3])
+        before = lexicon.ids
+        rows = lexicon.rows_of(kind, h[0], h[1][place], h[2][place])[of]
+        grown += lexicon.ids is not before
+        lowered = [wordpieces.word_ids([w.decode().translate(LOWER).encode()])[0].tolist() for w in words[at:at + 9]]
+        assert lexicon.ids_of(rows)[0].tolist() == [x for a in lowered for x in a]
+    assert grown == 0
+    h = rng.integers(0, 50, 300).astype(np.uint64) << np.uint64(58)
+    for got, want in zip(lm.distinct(h), np.unique(h, return_index=True, return_inverse=True)):
+        assert np.array_equal(got, want)
+    assert [len(x) for x in lm.distinct(h[:0])] == [0, 0, 0]
