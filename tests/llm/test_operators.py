@@ -621,3 +621,41 @@ def test_words_of_any_kind_have_the_ids_of_each_alone():
     for got, want in zip(lm.distinct(h), np.unique(h, return_index=True, return_inverse=True)):
         assert np.array_equal(got, want)
     assert [len(x) for x in lm.distinct(h[:0])] == [0, 0, 0]
+
+
+def test_texts_are_encoded_once(spark, tmp_path):
+    """op8: training and both scores read the ids and word places that the first pass wrote; no text is read again or shuffled."""
+    texts = ["", None, "One two one", "漢字 two b", "x" * 300, " ".join(f"w{i}" for i in range(3000))] * 3
+    rows = [(None if i == 4 else i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    plan = lm.language_model(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and str(tmp_path / "documents") not in plan and "llm-" in plan
+    got = lm.encoded(docs.selectExpr("doc_id", "text", "doc_id = 3 as held_out").na.fill(False)).collect()
+    seen = [r for r in got if r.ids is not None]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in seen) == sorted((d is None, d or 0) for d, _ in rows)
+    assert len({r.row for r in got if r.row is not None}) == len(seen)
+    words = {(r.bucket, r.at): r.word for r in got if r.word is not None}
+    of, spelt, counts, ids = {}, {}, Counter(), Counter()
+    for r in seen:
+        text = (texts[4] if r.doc_id is None else texts[r.doc_id]) or ""
+        tokens = WORD.findall(text.translate(LOWER))
+        want = [x for w in tokens for x in wordpieces.word_ids([w.encode()])[0].tolist()] + [lm.END_TOKEN]
+        assert np.frombuffer(r.ids, np.uint16).tolist() == want and r.size == len(text.encode())
+        hashes = [words[r.bucket, at] for at in np.frombuffer(r.places, np.int32).tolist()]
+        assert len(hashes) == len(tokens)
+        for w, h in zip(tokens, hashes):
+            assert of.setdefault(w, h) == h and spelt.setdefault(h, w) == w
+        if not r.held_out:
+            counts.update([*hashes, int(lm.END.view(np.int64))])
+            ids.update(want)
+    found = Counter()
+    for r in got:
+        if r.word is not None:
+            found[r.word] += r.n
+    assert +found == counts
+    total = Counter()
+    for r in got:
+        if r.bucket is None:
+            total[r.at] += r.n
+    assert total == ids
