@@ -659,3 +659,124 @@ def test_texts_are_encoded_once(spark, tmp_path):
         if r.bucket is None:
             total[r.at] += r.n
     assert total == ids
+
+
+def _plain_id_share(p, before, target, own, given, asked):
+    """Log share of class ``target`` after the input classes ``before``, then of the id ``asked`` in it, with the own
+    rows of the ids ``given``, one sum at a time in double precision."""
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    h = [p["embed"][c] + p["place"][i] + own.inputs.table[t] for i, (c, t) in enumerate(zip(before, given))]
+    q = h[-1] @ p["q"]
+    a = [q @ (x @ p["k"]) / math.sqrt(attention.WIDTH) for x in h]
+    a = [math.exp(x - max(a)) for x in a]
+    h = h[-1] + (sum(w * (x @ p["v"]) for w, x in zip(a, h)) / sum(a)) @ p["o"]
+    z = h @ p["out"] + p["bias"]
+    path = range(own.begin[asked], own.begin[asked] + own.size[asked])
+    sides = [own.side[i] * (own.nodes.table[own.node[i]] @ np.append(h, 1)) for i in path]
+    return z[target] - np.logaddexp.reduce(z), -sum(np.logaddexp(0, -s) for s in sides)
+
+
+def _ids(seed, kind=np.float64):
+    """A small model in which 200 ids share the classes, with random weights of their own."""
+    rng = np.random.default_rng(seed)
+    of = rng.integers(0, attention.CLASSES, 200)
+    own = attention.Ids(attention.Tree(rng.integers(0, 30, 200) + 0.01, of))
+    own.inputs.table = np.where(own.many[:, None], rng.normal(0, 0.3, own.inputs.table.shape), 0).astype(kind)
+    own.nodes.table = (own.nodes.table + rng.normal(0, 0.3, own.nodes.table.shape)).astype(kind)
+    return rng, of, own
+
+
+def test_shares_of_ids_in_their_class_depend_on_context_and_sum_to_one():
+    rng, of, own = _ids(3)
+    every = np.flatnonzero(own.many[:-2])
+    assert set(every.tolist()) == {i for i in range(200) if (of == of[i]).sum() > 1}
+    shares = []
+    for _ in range(2):
+        h = np.append(rng.normal(size=attention.WIDTH), 1.0)
+        got = np.exp(own.log_shares(np.tile(h, (len(every), 1)), every))
+        assert np.allclose(np.bincount(of[every], got)[np.unique(of[every])], 1)
+        shares.append(got)
+    assert not np.allclose(*shares)
+    counts = rng.integers(0, 5, 200) + 0.01
+    fresh = attention.Ids(attention.Tree(counts, of))
+    got = np.exp(fresh.log_shares(np.tile(h, (len(every), 1)).astype(np.float32), every))
+    assert np.allclose(got, (counts / np.bincount(of, counts, attention.CLASSES)[of])[every], rtol=1e-4)
+    alone = attention.Tree(np.ones(5), np.arange(5))
+    assert len(alone.odds) == 0 and not attention.Ids(alone).many.any()
+
+
+def test_gradient_of_the_ids():
+    rng, of, own = _ids(4)
+    p = {k: v.astype(np.float64) for k, v in attention.unpack(attention.initial(np.ones(attention.CLASSES))).items()}
+    ids = rng.integers(0, 200, (2, 10))
+    ids[:, 0], ids[1, 8:] = 200, 201
+    classes = np.append(of, [attention.START, -1])[ids]
+
+    def loss():
+        """Of classes and ids."""
+        total, real = attention.loss_and_gradient(p, classes[:, :-1], classes[:, 1:], own, ids)[0], (classes[:, 1:] >= 0).sum()
+        logs = [_plain_id_share(p, row[:t].tolist(), row[t], own, given[:t], given[t])[1]
+                for row, given in zip(classes, ids) for t in range(1, 10) if row[t] >= 0]
+        return total - sum(logs) / real
+
+    _, g = attention.loss_and_gradient(p, classes[:, :-1], classes[:, 1:], own, ids)
+    for table, (rows, down, seen), k in ((own.inputs.table, g["inputs"], 3), (own.nodes.table, g["nodes"], 8), (own.nodes.table, g["nodes"], 2)):
+        assert (np.diff(rows) > 0).all() and len(rows) == len(down) == len(seen)
+        for at in (0, len(rows) // 2, len(rows) - 1):
+            before = table[rows[at], k]
+            table[rows[at], k] = before + 1e-4
+            up = loss()
+            table[rows[at], k] = before - 1e-4
+            slope = (up - loss()) / 2e-4
+            table[rows[at], k] = before
+            assert abs(slope - down[at, k]) < 1e-6
+    for name, at in (("embed", (classes[0, 3], 1)), ("out", (2, 5)), ("v", (1, 1)), ("q", (2, 0)), ("place", (1, 4))):
+        before = p[name][at]
+        p[name][at] = before + 1e-4
+        up = loss()
+        p[name][at] = before - 1e-4
+        slope = (up - loss()) / 2e-4
+        p[name][at] = before
+        assert abs(slope - g[name][at]) < 1e-6
+    assert g["inputs"][2].sum() == own.many[ids[:, :-1]].sum()
+
+
+def test_scores_of_ids_are_those_of_the_plain_model():
+    rng, of, own = _ids(5, np.float32)
+    p = attention.unpack(attention.initial(np.arange(attention.CLASSES)))
+    ids = rng.integers(0, 200, 100)
+    got = attention.score(p, of[ids], np.array([0, 3, 100]), own=own, ids=ids, tables=attention.look_up(p, own, of))
+    for first, end in ((0, 3), (3, 100)):
+        given = [200, *ids[first:end].tolist()]
+        inputs = [attention.START, *of[ids[first:end]].tolist()]
+        for t in range(end - first):
+            begin = max(0, -(-(t + 1 - attention.LENGTH) // attention.STRIDE)) * attention.STRIDE
+            want = sum(_plain_id_share(p, inputs[begin:t + 1], of[ids[first + t]], own, given[begin:t + 1], ids[first + t]))
+            assert abs(got[first + t] - want) < 1e-3 * max(1.0, abs(want))
+
+
+def test_ids_that_share_a_class_are_told_apart_by_context(spark):
+    """op8: of two equally frequent ids of one class, the one that always follows a word scores better after it."""
+    words = [w for w in (a + b for a in "bcdfghlmnprst" for b in ("an", "ad", "at", "en", "ed", "in", "it", "on", "op", "up", "ar", "ill", "ore"))
+             if len(wordpieces.word_ids([w.encode()])[0]) == 1]
+    ids = wordpieces.word_ids([w.encode() for w in words])[0]
+    common, rest = words[:attention.OWN], list(range(attention.OWN, len(words)))
+    counts = np.zeros(lm.VOCABULARY, np.int64)
+    counts[ids[:attention.OWN]], counts[lm.END_TOKEN] = 9, 9
+    of = lm.classes_of(counts)[0]
+    x, y = next((words[i], words[j]) for i in rest for j in rest if i < j and of[ids[i]] == of[ids[j]])
+    rng = np.random.default_rng(7)
+    pair = [[common[0], x], [common[1], y]]
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2][:300]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    # Every common word comes more often than x and y, so these share a class.
+    rows = [(i, " ".join([*common] * 3 + [w for k in range(20) for w in [*rng.choice(common, 3).tolist(), *(pair[(i + k // 10) % 2] if k % 10 == 0 else [])]]))
+            for i in train]
+    usual, swapped = (" ".join([common[0], a, common[1], b] * 20) for a, b in ((x, y), (y, x)))
+    docs = spark.createDataFrame([*rows, (held[0], usual), (held[1], swapped)], "doc_id long, text string")
+    seen = Counter(w for _, t in rows for w in t.split())
+    assert seen[x] == seen[y] == 300 < min(seen[w] for w in common)
+    got = {r.doc_id: r for r in lm.language_model(docs).collect()}
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-6
+    # The texts have the same classes in the same order, so a model of classes alone scores them alike.
+    assert got[held[0]].score > got[held[1]].score + 1
